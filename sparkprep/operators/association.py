@@ -100,3 +100,15 @@ def corr_drop_candidates(df: DataFrame, cols, threshold: float = 0.9) -> DataFra
     pos = F.create_map(*[x for c, i in order.items() for x in (F.lit(c), F.lit(i))])
     return (cm.filter((pos[F.col("a")] < pos[F.col("b")]) & (F.abs("corr") > threshold))
               .select(F.col("b").alias("column")).distinct())
+
+
+def pmi(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Pointwise mutual information ln(p(x,y) / (p(x) p(y))) of co-occurring
+    values, from counts: (x, y) cells, x and y marginals, and the total."""
+    xy = df.groupBy(x, y).agg(F.count(F.lit(1)).alias("_nxy"))
+    nx = xy.groupBy(x).agg(F.sum("_nxy").alias("_nx"))
+    ny = xy.groupBy(y).agg(F.sum("_nxy").alias("_ny"))
+    n = xy.select(F.sum("_nxy")).scalar()
+    j = xy.join(nx, x).join(ny, y)
+    return j.select(x, y, F.log((F.col("_nxy") / n) / ((F.col("_nx") / n) * (F.col("_ny") / n)))
+                    .alias("pmi"))
