@@ -21,11 +21,17 @@ def ranked(df: DataFrame, query: str, order_by, rel: str) -> DataFrame:
         "cum_rel": ("sum", F.col(rel).cast("long"))})
 
 
-def _totals(df: DataFrame, query: str, rel: str) -> DataFrame:
+def _totals(df: DataFrame, query: str, rel: str, totals: DataFrame | None = None) -> DataFrame:
+    """Relevant items per query: given (``totals``: query, total_rel) when
+    the collection holds relevant items that were not retrieved, else
+    counted from the ranked list itself."""
+    if totals is not None:
+        return totals.select(query, F.col("total_rel").cast("long").alias("total_rel"))
     return df.groupBy(query).agg(F.sum(F.col(rel).cast("long")).alias("total_rel"))
 
 
-def metrics_at_k(df: DataFrame, query: str, order_by, rel: str, ks=(5, 10, 20)) -> DataFrame:
+def metrics_at_k(df: DataFrame, query: str, order_by, rel: str, ks=(5, 10, 20),
+                 totals: DataFrame | None = None) -> DataFrame:
     """``(query, k, precision, recall, f1)``; recall over all relevant items
     of the query; F1 is 0 when precision + recall is 0."""
     r = ranked(df, query, order_by, rel)
@@ -33,16 +39,17 @@ def metrics_at_k(df: DataFrame, query: str, order_by, rel: str, ks=(5, 10, 20))
     hits = (r.select(query, "rank", F.col(rel).cast("long").alias("_rel"), ks_col)
              .groupBy(query, "k")
              .agg(F.sum(F.when(F.col("rank") <= F.col("k"), F.col("_rel")).otherwise(0)).alias("_hits")))
-    out = hits.join(_totals(df, query, rel), query)
+    out = hits.join(_totals(df, query, rel, totals), query)
     p = F.col("_hits") / F.col("k")
     rc = F.try_divide(F.col("_hits").cast("double"), F.col("total_rel"))
     f1 = F.when((p + rc) > 0, 2 * p * rc / (p + rc)).otherwise(F.lit(0.0))
     return out.select(query, "k", p.alias("precision"), rc.alias("recall"), f1.alias("f1"))
 
 
-def pr_curve(df: DataFrame, query: str, order_by, rel: str) -> DataFrame:
+def pr_curve(df: DataFrame, query: str, order_by, rel: str,
+             totals: DataFrame | None = None) -> DataFrame:
     """``(query, rank, precision, recall)`` after each retrieved item."""
-    r = ranked(df, query, order_by, rel).join(_totals(df, query, rel), query)
+    r = ranked(df, query, order_by, rel).join(_totals(df, query, rel, totals), query)
     return r.select(query, "rank", (F.col("cum_rel") / F.col("rank")).alias("precision"),
                     F.try_divide(F.col("cum_rel").cast("double"), F.col("total_rel")).alias("recall"))
 
