@@ -105,7 +105,9 @@ def corr_drop_candidates(df: DataFrame, cols, threshold: float = 0.9) -> DataFra
 def pmi(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pointwise mutual information ln(p(x,y) / (p(x) p(y))) of co-occurring
     values, from counts: (x, y) cells, x and y marginals, and the total."""
-    xy = df.groupBy(x, y).agg(F.count(F.lit(1)).alias("_nxy"))
+    from ..session import cut_lineage
+    # the (x, y) counts feed three branches: materialise them once
+    xy = cut_lineage(df.groupBy(x, y).agg(F.count(F.lit(1)).alias("_nxy")))
     nx = xy.groupBy(x).agg(F.sum("_nxy").alias("_nx"))
     ny = xy.groupBy(y).agg(F.sum("_nxy").alias("_ny"))
     n = xy.select(F.sum("_nxy")).scalar()

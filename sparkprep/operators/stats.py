@@ -25,8 +25,108 @@ def to_long(df: DataFrame, cols, by=(), value_type: str = "double") -> DataFrame
               .filter(F.col("value").isNotNull()))
 
 
+SELECT_BUCKETS = 4096
+SELECT_FETCH = 200_000
+
+
 def exact_quantiles(df: DataFrame, cols, probs, by=()) -> DataFrame:
-    """``(by..., column, prob, value)`` for every column and probability."""
+    """``(by..., column, prob, value)`` for every column and probability.
+
+    Without grouping keys the values are found by distributed selection
+    (``_select``): no sort of the data, a handful of scans. With grouping
+    keys (an unbounded number of groups) a distributed rank is used."""
+    if not by:
+        return _select(df, cols, probs)
+    return _ranked_quantiles(df, cols, probs, by)
+
+
+def _select(df: DataFrame, cols, probs) -> DataFrame:
+    """Exact order statistics by histogram refinement.
+
+    Every wanted 0-based rank r lives in an interval [lo, hi] of values
+    with ``below`` values under lo. One pass counts the values of each
+    active interval in ``SELECT_BUCKETS`` equal-width buckets (count, min,
+    max per bucket, a partial aggregate); the bucket holding r becomes the
+    new interval [bucket min, bucket max]. A target is done when its
+    interval holds one distinct value, or few enough values
+    (``SELECT_FETCH``) to be sorted inside one aggregate. The interval
+    table is bounded by columns x probabilities x 2, so it is broadcast;
+    the loop state on the driver has the same bound.
+    """
+    spark = df.sparkSession
+    long = to_long(df, cols)
+    st = {r["column"]: r for r in long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
+    targets = {}  # (column, rank) -> [lo, hi, below, value]
+    for c in cols:
+        if c not in st or st[c]["n"] == 0:
+            continue
+        n = st[c]["n"]
+        for p in probs:
+            pos = p * (n - 1)
+            for r in {int(pos // 1), int(-(-pos // 1))}:
+                targets[(c, r)] = [st[c]["lo"], st[c]["hi"], 0, None]
+    schema = "column string, lo double, hi double, below long"
+    while True:
+        for t in targets.values():
+            if t[3] is None and t[0] == t[1]:
+                t[3] = t[0]
+        active = {(c, t[0], t[1], t[2]) for (c, _), t in targets.items() if t[3] is None}
+        if not active:
+            break
+        iv = spark.createDataFrame(sorted(active), schema)
+        rows = long.join(F.broadcast(iv), "column").filter(
+            (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+        sizes = {(r["column"], r["lo"], r["hi"]): r["n"] for r in rows.groupBy("column", "lo", "hi").agg(
+            F.count(F.lit(1)).alias("n")).collect()}
+        small = [k for k, n in sizes.items() if n <= SELECT_FETCH]
+        if small:
+            sm = spark.createDataFrame([(c, lo, hi) for c, lo, hi in small], "column string, lo double, hi double")
+            got = (rows.join(F.broadcast(sm), ["column", "lo", "hi"])
+                       .groupBy("column", "lo", "hi").agg(F.array_sort(F.collect_list("value")).alias("vs"))
+                       .collect())
+            vals = {(r["column"], r["lo"], r["hi"]): r["vs"] for r in got}
+            for (c, r), t in targets.items():
+                k = (c, t[0], t[1])
+                if t[3] is None and k in vals:
+                    t[3] = vals[k][r - t[2]]
+        big = [k for k, n in sizes.items() if n > SELECT_FETCH]
+        if not big:
+            continue
+        bg = spark.createDataFrame([(c, lo, hi) for c, lo, hi in big], "column string, lo double, hi double")
+        b = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SELECT_BUCKETS),
+                    F.lit(SELECT_BUCKETS - 1)).cast("int")
+        hist = (rows.join(F.broadcast(bg), ["column", "lo", "hi"]).withColumn("b", b)
+                    .groupBy("column", "lo", "hi", "b")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("bmin"),
+                         F.max("value").alias("bmax")).collect())
+        per = {}
+        for r in hist:
+            per.setdefault((r["column"], r["lo"], r["hi"]), []).append((r["b"], r["n"], r["bmin"], r["bmax"]))
+        for (c, r), t in targets.items():
+            k = (c, t[0], t[1])
+            if t[3] is not None or k not in per:
+                continue
+            acc = t[2]
+            for _, n, bmin, bmax in sorted(per[k]):
+                if r < acc + n:
+                    t[0], t[1], t[2] = bmin, bmax, acc
+                    break
+                acc += n
+    out = []
+    for c in cols:
+        if c not in st or st[c]["n"] == 0:
+            continue
+        n = st[c]["n"]
+        for p in probs:
+            pos = p * (n - 1)
+            lo_r, hi_r = int(pos // 1), int(-(-pos // 1))
+            vlo, vhi = targets[(c, lo_r)][3], targets[(c, hi_r)][3]
+            out.append((c, float(p), vlo + (vhi - vlo) * (pos - lo_r)))
+    return spark.createDataFrame(out, "column string, prob double, value double")
+
+
+def _ranked_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:
     by = list(by)
     long = to_long(df, cols, by)
     ranked = global_rank(long, ["column", *by, "value"], "_rk")

@@ -93,14 +93,23 @@ def group_mean_vector(df: DataFrame, group, vec: str, weight: str | None = None,
     return agg.select(*group, vector_to_array("_m").alias(out))
 
 
-def doc_mean_vectors(tokens: DataFrame, vectors: DataFrame, doc: str, token: str,
-                     vec: str, dim: int) -> DataFrame:
+def doc_mean_vectors(tf: DataFrame, vectors: DataFrame, doc: str, token: str,
+                     vec: str, dim: int, tf_col: str = "tf") -> DataFrame:
     """Average word vector of each document's in-vocabulary tokens, long
-    form ``(doc, dim, value)``. Occurrences are first counted per (doc,
-    token) so each distinct token of a document joins its vector once."""
-    tf = tokens.groupBy(doc, token).agg(F.count(F.lit(1)).alias("_tf"))
-    joined = tf.join(vectors.select(token, vec), token)
-    means = group_mean_vector(joined, [doc], vec, "_tf", "_mean")
+    form ``(doc, dim, value)``, from term frequencies ``(doc, token, tf)``:
+    each distinct token of a document joins its vector once.
+    The fixed-width vector is spread into ``dim`` columns, so the weighted
+    sums are ``dim + 1`` plain sum aggregates in one code-generated hash
+    aggregate (partial per task, then final per document)."""
+    tf = tf.select(doc, token, F.col(tf_col).alias("_tf"))
+    wide = vectors.select(token, *[F.element_at(vec, i + 1).cast("double").alias(f"_v{i}")
+                                   for i in range(dim)])
+    # neither side has a size bound (postings, vocabulary): shuffle both on
+    # the token and build the hash table from the vocabulary side
+    joined = tf.join(wide.hint("shuffle_hash"), token)
+    sums = joined.groupBy(doc).agg(F.sum("_tf").alias("_w"), *[
+        F.sum(F.col("_tf") * F.col(f"_v{i}")).alias(f"_s{i}") for i in range(dim)])
+    means = sums.select(doc, F.array(*[F.col(f"_s{i}") / F.col("_w") for i in range(dim)]).alias("_mean"))
     return means.select(doc, F.posexplode("_mean").alias("dim", "value"))
 
 

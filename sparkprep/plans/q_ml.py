@@ -153,18 +153,13 @@ def q_top_features(spark, sf):
 def q_embedding_classifier(spark, sf):
     """Multinomial logistic regression over a pooled document vector
     concatenated with a second block (log length), predicting language."""
-    from ..operators.vectors import concat_features, doc_mean_vectors, group_mean_vector  # noqa: F401
-    from ..plans.q_text import vec_token_rows
-    from ..operators.ordering import global_rank
-    toks = vec_token_rows(spark, sf)
-    cnt = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2)
-    emb = load(spark, sf, "embeddings")
-    ne = emb.select(F.count(F.lit(1))).scalar()
-    vr = global_rank(cnt, ["token"], "r").withColumn("e", F.pmod(F.col("r") - 1, ne) + 1)
-    er = global_rank(emb.select("vec_id", "embedding"), ["vec_id"], "e")
-    vectors = vr.join(er.select("e", "embedding"), "e").select("token", "embedding")
-    tf = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("_tf"))
-    pooled = group_mean_vector(tf.join(vectors, "token"), ["doc_id"], "embedding", "_tf", "pooled")
+    from ..operators import index as IX
+    from ..operators.vectors import concat_features, doc_mean_vectors
+    from ..plans.q_text import token_vectors, vec_token_rows
+    tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
+    long = doc_mean_vectors(tf, token_vectors(spark, sf, tf), "doc_id", "token", "embedding", 64)
+    pooled = long.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_p")).select(
+        "doc_id", F.transform("_p", lambda s: s["value"]).alias("pooled"))
     docs = load(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     d = docs.join(pooled, "doc_id")
     langs = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}

@@ -12,7 +12,7 @@ from ..operators import sequences as SQ
 from ..operators import text as TX
 from ..operators.ordering import global_rank
 from ..operators.sampling import split_hash
-from ..sources.tables import load
+from ..sources.tables import load, spread
 from .common import rounded, sig_round, sig_round_sql
 from .registry import query
 
@@ -50,12 +50,19 @@ def _docs(spark, sf):
     return load(spark, sf, "documents")
 
 
+def _text_table(spark, sf, table, cols):
+    """Only the needed columns, spread over all task slots before the
+    regex work (see ``tables.spread``)."""
+    return spread(load(spark, sf, table).select(*cols))
+
+
 def word_token_rows(spark, sf):
-    return TX.explode_tokens(_docs(spark, sf), "doc_id", T.word_tokens(F.col("text")))
+    docs = _text_table(spark, sf, "documents", ["doc_id", "text"])
+    return TX.explode_tokens(docs, "doc_id", T.word_tokens(F.col("text")))
 
 
 def vec_token_rows(spark, sf, table="documents", keys=("doc_id",), text="text"):
-    df = load(spark, sf, table)
+    df = _text_table(spark, sf, table, [*keys, text])
     return df.select(*keys, F.posexplode(T.vectorizer_tokens(F.col(text))).alias("pos", "token"))
 
 
@@ -65,7 +72,7 @@ FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr
       FROM documents)
 """)
 def q_sent_split(spark, sf):
-    return TX.sentence_rows(_docs(spark, sf), "doc_id", "text")
+    return TX.sentence_rows(_text_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id", "text")
 
 
 @query("word_tokenize", "WITH " + _WORD_TOKENS_SQL + "SELECT token, count(*) AS n FROM wt GROUP BY token")
@@ -88,7 +95,8 @@ def q_stop_punct_filter(spark, sf):
 
 @query("tokenise_clean", "WITH " + _CLEAN_TOKENS_SQL + "SELECT token, count(*) AS n FROM ct GROUP BY token")
 def q_tokenise_clean(spark, sf):
-    return TX.token_counts(TX.clean_token_rows(_docs(spark, sf), "doc_id", "text"))
+    return TX.token_counts(TX.clean_token_rows(_text_table(spark, sf, "documents", ["doc_id", "text"]),
+                                               "doc_id", "text"))
 
 
 @query("stem_vocab", "WITH " + _CLEAN_TOKENS_SQL + f"""
@@ -97,7 +105,8 @@ SELECT CASE WHEN length(token) < {TX.STEM_MIN_LEN} THEN token
 FROM ct GROUP BY 1
 """)
 def q_stem_vocab(spark, sf):
-    return TX.stem_counts(TX.clean_token_rows(_docs(spark, sf), "doc_id", "text"))
+    return TX.stem_counts(TX.clean_token_rows(_text_table(spark, sf, "documents", ["doc_id", "text"]),
+                                              "doc_id", "text"))
 
 
 @query("lemma_lookup", "WITH " + _VEC_TOKENS_SQL + """
@@ -144,7 +153,7 @@ SELECT tf.doc_id, tf.token, tf.tf, round(tf.tf * ln(nd.n / dfq.df), 6) AS tfidf
 FROM tf JOIN dfq USING (token), nd
 """)
 def q_tfidf_raw(spark, sf):
-    tf = IX.term_frequencies(vec_token_rows(spark, sf))
+    tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
     return rounded(IX.tfidf_raw(tf, IX.doc_count(_docs(spark, sf))))
 
 
@@ -154,7 +163,7 @@ SELECT tf.doc_id, tf.token, tf.tf, round(tf.tf / dl.len * ln(nd.n / dfq.df), 9)
 FROM tf JOIN dfq USING (token) JOIN dl USING (doc_id), nd
 """)
 def q_tfidf_norm_tf(spark, sf):
-    tf = IX.term_frequencies(vec_token_rows(spark, sf))
+    tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
     return rounded(IX.tfidf_raw(tf, IX.doc_count(_docs(spark, sf)), normalise_tf=True), 9)
 
 
@@ -166,7 +175,7 @@ nw AS (SELECT doc_id, token, weight / sqrt(sum(weight * weight) OVER (PARTITION
 
 
 def _smooth_doc_weights(spark, sf):
-    tf = IX.term_frequencies(vec_token_rows(spark, sf))
+    tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
     idf = IX.idf_smooth_fit(tf, IX.doc_count(_docs(spark, sf)))
     return tf, idf, IX.tfidf_smooth_transform(tf, idf)
 
@@ -292,7 +301,7 @@ FROM xy JOIN x USING (token) JOIN y USING (lang), n
 """)
 def q_pmi(spark, sf):
     from ..operators.association import pmi
-    toks = vec_token_rows(spark, sf).join(_docs(spark, sf).select("doc_id", "lang"), "doc_id")
+    toks = vec_token_rows(spark, sf, keys=("doc_id", "lang"))
     return rounded(pmi(toks, "token", "lang"), 9)
 
 
@@ -391,22 +400,29 @@ SELECT g.doc_id, CAST(g.dim AS INTEGER) AS dim, {v} AS value
 FROM g LEFT JOIN m USING (doc_id, dim)
 """.format(v=sig_round_sql("coalesce(m.value, 0.0)", 9)))
 def q_doc_mean_vector(spark, sf):
-    toks = vec_token_rows(spark, sf)
-    cnt = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2)
-    vr = global_rank(cnt, ["token"], "r")
-    emb = load(spark, sf, "embeddings")
-    er = global_rank(emb.select("vec_id", "embedding"), ["vec_id"], "e")
-    ne = emb.select(F.count(F.lit(1))).scalar()
-    vectors = (vr.withColumn("e", F.pmod(F.col("r") - 1, ne) + 1)
-                 .join(er.select("e", "embedding"), "e").select("token", "embedding"))
     from ..operators.vectors import doc_mean_vectors
-    means = doc_mean_vectors(toks, vectors, "doc_id", "token", "embedding", dim=64)
+    tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
+    vectors = token_vectors(spark, sf, tf)
+    means = doc_mean_vectors(tf, vectors, "doc_id", "token", "embedding", dim=64)
     docs = _docs(spark, sf).select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("dim"))
     out = docs.join(means, ["doc_id", "dim"], "left").select(
         "doc_id", "dim", sig_round(F.coalesce("value", F.lit(0.0)), 9).alias("value"))
     return out
 
 
+def token_vectors(spark, sf, tf):
+    """Vocabulary vectors: tokens occurring at least twice, numbered in
+    token order, take the embedding at the same position (cyclically) of
+    the ``embeddings`` table ordered by id."""
+    cnt = tf.groupBy("token").agg(F.sum("tf").alias("n")).filter(F.col("n") >= 2)
+    vr = global_rank(cnt, ["token"], "r")
+    emb = load(spark, sf, "embeddings")
+    er = global_rank(emb.select("vec_id", "embedding"), ["vec_id"], "e")
+    ne = emb.select(F.count(F.lit(1))).scalar()
+    return (vr.withColumn("e", F.pmod(F.col("r") - 1, ne) + 1)
+              .join(er.select("e", "embedding"), "e").select("token", "embedding"))
+
+
 @query("feature_concat", """
 SELECT vec_id, list_concat(CAST(embedding AS DOUBLE[]), [CAST(label AS DOUBLE)]) AS features FROM embeddings
 """)

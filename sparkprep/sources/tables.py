@@ -18,6 +18,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when a scan yields fewer input
+    splits than there are task slots (a few large row groups of long
+    texts). On a cluster reading many files this is a no-op."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """pandas treats NaN as missing; Spark keeps NaN distinct from NULL and
     NaN poisons aggregates. Map NaN to NULL in float/double columns."""
