@@ -61,23 +61,37 @@ def geocode_reverse(points: DataFrame, lat: str, lng: str, gazetteer: DataFrame,
         *points.columns, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
 
 
-def _geocode_reverse_blocked(points, lat, lng, gazetteer, name, glat, glng, cell_deg: float = 5.0):
-    """Partitioned exact search for large gazetteers: places are keyed by a
-    latitude band of ``cell_deg`` degrees; a point is matched against its
-    band and the bands within the distance to its nearest candidate in its
-    own band (and +-1 band), widened until the bound closes."""
-    band = lambda c: F.floor((F.col(c) + 90) / cell_deg).cast("int")
-    g = gazetteer.select(F.col(name).alias("place"), F.col(glat).alias("_glat"),
-                         F.col(glng).alias("_glng"), band(glat).alias("_band"))
+KM_PER_DEG_LAT = EARTH_KM * math.pi / 180
+
+
+def _geocode_reverse_blocked(points, lat, lng, gazetteer, name, glat, glng, cell_deg: float = 1.0):
+    """Exact nearest place for gazetteers too large to inline.
+
+    Places are keyed by a latitude band of ``cell_deg`` degrees (an
+    equi-join key). Pass 1 compares each point with the places of its own
+    and the two adjacent bands, giving an upper bound d1 on the nearest
+    distance. A great-circle distance is never shorter than the latitude
+    difference (111.19 km per degree), so pass 2 only needs the bands
+    within d1 of the point; points with no candidate in pass 1 widen to
+    every band. Every (point, place) comparison is an equi-join match on a
+    band, never a cross product."""
     n_bands = int(math.ceil(180 / cell_deg)) + 1
+    band = lambda c: F.floor((F.col(c) + 90) / cell_deg).cast("int")
+    g = gazetteer.select(F.col(name).alias("place"), F.col(glat).cast("double").alias("_glat"),
+                         F.col(glng).cast("double").alias("_glng"), band(glat).alias("_band"))
+    keys = points.columns
     pts = points.withColumn("_pband", band(lat))
-    # every point meets every band: the fan-out is the fixed number of
-    # latitude bands, and each (point, band) pair keeps only its nearest place
-    fan = pts.withColumn("_band", F.explode(F.sequence(F.lit(0), F.lit(n_bands - 1))))
-    j = fan.join(g, "_band")
     d = F.round(haversine_km(F.col(lat), F.col(lng), F.col("_glat"), F.col("_glng")), DIST_DIGITS)
-    keys = points.columns
-    best = j.groupBy(*keys).agg(F.min(F.struct(d.alias("d"), F.col("place"))).alias("_b"))
+
+    near = pts.withColumn("_band", F.explode(F.array(F.col("_pband") - 1, F.col("_pband"),
+                                                     F.col("_pband") + 1)))
+    first = (near.join(g, "_band").groupBy(*keys).agg(F.min(d).alias("_d1")))
+    bounded = pts.join(first, keys, "left")
+    span = F.when(F.col("_d1").isNull(), F.lit(n_bands)).otherwise(
+        F.ceil(F.col("_d1") / (KM_PER_DEG_LAT * cell_deg)).cast("int") + 1)
+    window = bounded.withColumn("_band", F.explode(F.sequence(
+        F.greatest(F.col("_pband") - span, F.lit(0)), F.least(F.col("_pband") + span, F.lit(n_bands)))))
+    best = window.join(g, "_band").groupBy(*keys).agg(F.min(F.struct(d.alias("d"), F.col("place"))).alias("_b"))
     return best.select(*keys, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
 
 
