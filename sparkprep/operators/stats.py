@@ -66,23 +66,20 @@ def _select(df: DataFrame, cols, probs) -> DataFrame:
             pos = p * (n - 1)
             for r in {int(pos // 1), int(-(-pos // 1))}:
                 targets[(c, r)] = [st[c]["lo"], st[c]["hi"], 0, None]
-    schema = "column string, lo double, hi double, below long"
+    # target state: [lo, hi, below, value, size]; size = values in [lo, hi]
+    for (c, _), t in targets.items():
+        t.append(st[c]["n"])
+    ivs = "column string, lo double, hi double"
     while True:
         for t in targets.values():
             if t[3] is None and t[0] == t[1]:
                 t[3] = t[0]
-        active = {(c, t[0], t[1], t[2]) for (c, _), t in targets.items() if t[3] is None}
-        if not active:
-            break
-        iv = spark.createDataFrame(sorted(active), schema)
-        rows = long.join(F.broadcast(iv), "column").filter(
-            (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-        sizes = {(r["column"], r["lo"], r["hi"]): r["n"] for r in rows.groupBy("column", "lo", "hi").agg(
-            F.count(F.lit(1)).alias("n")).collect()}
-        small = [k for k, n in sizes.items() if n <= SELECT_FETCH]
-        if small:
-            sm = spark.createDataFrame([(c, lo, hi) for c, lo, hi in small], "column string, lo double, hi double")
-            got = (rows.join(F.broadcast(sm), ["column", "lo", "hi"])
+        fetch = {(c, t[0], t[1]) for (c, _), t in targets.items() if t[3] is None and t[4] <= SELECT_FETCH}
+        if fetch:
+            # one job sorts the values of every small interval (each <= SELECT_FETCH)
+            fv = spark.createDataFrame(sorted(fetch), ivs)
+            got = (long.join(F.broadcast(fv), "column")
+                       .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
                        .groupBy("column", "lo", "hi").agg(F.array_sort(F.collect_list("value")).alias("vs"))
                        .collect())
             vals = {(r["column"], r["lo"], r["hi"]): r["vs"] for r in got}
@@ -90,14 +87,16 @@ def _select(df: DataFrame, cols, probs) -> DataFrame:
                 k = (c, t[0], t[1])
                 if t[3] is None and k in vals:
                     t[3] = vals[k][r - t[2]]
-        big = [k for k, n in sizes.items() if n > SELECT_FETCH]
-        if not big:
-            continue
-        bg = spark.createDataFrame([(c, lo, hi) for c, lo, hi in big], "column string, lo double, hi double")
+        active = {(c, t[0], t[1]) for (c, _), t in targets.items() if t[3] is None}
+        if not active:
+            break
+        # one job: equal-width histogram (count, min, max per bucket) of every large interval
+        iv = spark.createDataFrame(sorted(active), ivs)
         b = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SELECT_BUCKETS),
                     F.lit(SELECT_BUCKETS - 1)).cast("int")
-        hist = (rows.join(F.broadcast(bg), ["column", "lo", "hi"]).withColumn("b", b)
-                    .groupBy("column", "lo", "hi", "b")
+        hist = (long.join(F.broadcast(iv), "column")
+                    .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+                    .withColumn("b", b).groupBy("column", "lo", "hi", "b")
                     .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("bmin"),
                          F.max("value").alias("bmax")).collect())
         per = {}
@@ -110,7 +109,7 @@ def _select(df: DataFrame, cols, probs) -> DataFrame:
             acc = t[2]
             for _, n, bmin, bmax in sorted(per[k]):
                 if r < acc + n:
-                    t[0], t[1], t[2] = bmin, bmax, acc
+                    t[0], t[1], t[2], t[4] = bmin, bmax, acc, n
                     break
                 acc += n
     out = []

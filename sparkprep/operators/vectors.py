@@ -95,8 +95,8 @@ def group_mean_vector(df: DataFrame, group, vec: str, weight: str | None = None,
 
 def doc_mean_vectors(tf: DataFrame, vectors: DataFrame, doc: str, token: str,
                      vec: str, dim: int, tf_col: str = "tf") -> DataFrame:
-    """Average word vector of each document's in-vocabulary tokens, long
-    form ``(doc, dim, value)``, from term frequencies ``(doc, token, tf)``:
+    """Average word vector ``(doc, mean array)`` of each document's
+    in-vocabulary tokens, from term frequencies ``(doc, token, tf)``:
     each distinct token of a document joins its vector once.
     The fixed-width vector is spread into ``dim`` columns, so the weighted
     sums are ``dim + 1`` plain sum aggregates in one code-generated hash
@@ -109,8 +109,7 @@ def doc_mean_vectors(tf: DataFrame, vectors: DataFrame, doc: str, token: str,
     joined = tf.join(wide.hint("shuffle_hash"), token)
     sums = joined.groupBy(doc).agg(F.sum("_tf").alias("_w"), *[
         F.sum(F.col("_tf") * F.col(f"_v{i}")).alias(f"_s{i}") for i in range(dim)])
-    means = sums.select(doc, F.array(*[F.col(f"_s{i}") / F.col("_w") for i in range(dim)]).alias("_mean"))
-    return means.select(doc, F.posexplode("_mean").alias("dim", "value"))
+    return sums.select(doc, F.array(*[F.col(f"_s{i}") / F.col("_w") for i in range(dim)]).alias("mean"))
 
 
 def attention_weights(keys: DataFrame, queries: DataFrame, group, vec: str, qvec: str,

@@ -157,9 +157,8 @@ def q_embedding_classifier(spark, sf):
     from ..operators.vectors import concat_features, doc_mean_vectors
     from ..plans.q_text import token_vectors, vec_token_rows
     tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
-    long = doc_mean_vectors(tf, token_vectors(spark, sf, tf), "doc_id", "token", "embedding", 64)
-    pooled = long.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_p")).select(
-        "doc_id", F.transform("_p", lambda s: s["value"]).alias("pooled"))
+    pooled = doc_mean_vectors(tf, token_vectors(spark, sf, tf), "doc_id", "token", "embedding", 64
+                              ).withColumnRenamed("mean", "pooled")
     docs = load(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     d = docs.join(pooled, "doc_id")
     langs = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}

@@ -404,10 +404,11 @@ def q_doc_mean_vector(spark, sf):
     tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
     vectors = token_vectors(spark, sf, tf)
     means = doc_mean_vectors(tf, vectors, "doc_id", "token", "embedding", dim=64)
-    docs = _docs(spark, sf).select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("dim"))
-    out = docs.join(means, ["doc_id", "dim"], "left").select(
-        "doc_id", "dim", sig_round(F.coalesce("value", F.lit(0.0)), 9).alias("value"))
-    return out
+    # documents without an in-vocabulary token get the zero vector
+    docs = _docs(spark, sf).select("doc_id").join(means, "doc_id", "left")
+    full = F.coalesce(F.col("mean"), F.array_repeat(F.lit(0.0), 64))
+    out = docs.select("doc_id", F.posexplode(full).alias("dim", "value"))
+    return out.select("doc_id", "dim", sig_round(F.col("value"), 9).alias("value"))
 
 
 def token_vectors(spark, sf, tf):
