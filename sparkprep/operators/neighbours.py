@@ -95,6 +95,45 @@ def _geocode_reverse_blocked(points, lat, lng, gazetteer, name, glat, glng, cell
     return best.select(*keys, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
 
 
+def _knn_inline(q: DataFrame, tr: DataFrame, qkey: str, k: int) -> DataFrame:
+    """k nearest training rows for every query row, vectorised with numpy
+    inside the query partitions (``mapInPandas``). The training block was
+    size-checked by the caller, so it is broadcast once. Squared differences
+    are summed left to right (``cumsum``) and distances rounded to 9 places,
+    so ties resolve exactly as in the SQL definition (distance, label)."""
+    import numpy as np
+    import pandas as pd
+
+    rows = tr.collect()
+    spark = q.sparkSession
+    if not rows:
+        return spark.createDataFrame([], f"{qkey} {dict(q.dtypes)[qkey]}, d double, y {dict(tr.dtypes)['y']}")
+    bc = spark.sparkContext.broadcast((np.array([r["v"] for r in rows], dtype=np.float64),
+                                       np.array([r["y"] for r in rows])))
+    key_type, y_type = dict(q.dtypes)[qkey], dict(tr.dtypes)["y"]
+
+    def score(batches):
+        x, y = bc.value
+        order_y = y
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            qs = np.stack(pdf["_q"].to_numpy()).astype(np.float64)
+            out_k, out_d, out_y = [], [], []
+            step = max(1, int(2_000_000 // max(1, x.size)))
+            for s0 in range(0, len(qs), step):
+                diff = qs[s0:s0 + step, None, :] - x[None, :, :]
+                d = np.round(np.sqrt(np.cumsum(diff * diff, axis=2)[:, :, -1]), 9)
+                for i in range(d.shape[0]):
+                    idx = np.lexsort((order_y, d[i]))[:k]
+                    out_k += [pdf[qkey].iat[s0 + i]] * len(idx)
+                    out_d += d[i, idx].tolist()
+                    out_y += order_y[idx].tolist()
+            yield pd.DataFrame({qkey: out_k, "d": out_d, "y": out_y})
+
+    return q.mapInPandas(score, f"{qkey} {key_type}, d double, y {y_type}")
+
+
 def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, vec: str, label: str,
                  k: int = 3, max_inline: int = MAX_INLINE) -> DataFrame:
     """Brute-force k nearest neighbours by Euclidean distance, majority vote
@@ -124,8 +163,7 @@ def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, vec: str, labe
         return F.slice(F.array_sort(d), 1, k)
 
     if n <= max_inline:
-        pts = arrays.select("_pts").scalar()
-        cand = q.withColumn("_pts", pts).select(qkey, F.inline(top_k(F.col("_pts"))))
+        cand = _knn_inline(q, tr, qkey, k)
     else:
         fan = q.withColumn("_blk", F.explode(F.sequence(
             F.lit(0), F.lit(int((n - 1) // max_inline)))))

@@ -26,7 +26,7 @@ def to_long(df: DataFrame, cols, by=(), value_type: str = "double") -> DataFrame
 
 
 SELECT_BUCKETS = 4096
-SELECT_FETCH = 200_000
+SELECT_FETCH = 50_000
 
 
 def exact_quantiles(df: DataFrame, cols, probs, by=()) -> DataFrame:
@@ -74,15 +74,23 @@ def _select(df: DataFrame, cols, probs) -> DataFrame:
         for t in targets.values():
             if t[3] is None and t[0] == t[1]:
                 t[3] = t[0]
-        fetch = {(c, t[0], t[1]) for (c, _), t in targets.items() if t[3] is None and t[4] <= SELECT_FETCH}
-        if fetch:
-            # one job sorts the values of every small interval (each <= SELECT_FETCH)
-            fv = spark.createDataFrame(sorted(fetch), ivs)
+        want = {}
+        for (c, r), t in targets.items():
+            if t[3] is None and t[4] <= SELECT_FETCH:
+                want.setdefault((c, t[0], t[1]), set()).add(r - t[2])
+        if want:
+            # one job sorts the values of every small interval (each holds at
+            # most SELECT_FETCH values) and returns only the wanted positions
+            fv = spark.createDataFrame([(c, lo, hi, sorted(o)) for (c, lo, hi), o in sorted(want.items())],
+                                       ivs + ", offs array<long>")
             got = (long.join(F.broadcast(fv), "column")
                        .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-                       .groupBy("column", "lo", "hi").agg(F.array_sort(F.collect_list("value")).alias("vs"))
+                       .groupBy("column", "lo", "hi", "offs")
+                       .agg(F.array_sort(F.collect_list("value")).alias("_vs"))
+                       .select("column", "lo", "hi", "offs",
+                               F.transform("offs", lambda o: F.element_at("_vs", (o + 1).cast("int"))).alias("vs"))
                        .collect())
-            vals = {(r["column"], r["lo"], r["hi"]): r["vs"] for r in got}
+            vals = {(r["column"], r["lo"], r["hi"]): dict(zip(r["offs"], r["vs"])) for r in got}
             for (c, r), t in targets.items():
                 k = (c, t[0], t[1])
                 if t[3] is None and k in vals:
