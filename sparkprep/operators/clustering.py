@@ -57,9 +57,13 @@ def assign_clusters(df: DataFrame, vec: str, cents: Column, out: str = "cluster"
 
 
 def update_centroids(assigned: DataFrame, previous: DataFrame, vec: str,
-                     cluster: str = "cluster") -> DataFrame:
-    """Member mean per cluster; clusters without members keep the old one."""
-    means = V.group_mean_vector(assigned.withColumnRenamed(cluster, "_c"), ["_c"], vec, out="_m")
+                     cluster: str = "cluster", dim: int | None = None) -> DataFrame:
+    """Member mean per cluster; clusters without members keep the old one.
+    With a known dimension the mean is ``dim`` exact sums in one hash
+    aggregate; otherwise the Summarizer vector aggregate is used."""
+    src = assigned.withColumnRenamed(cluster, "_c")
+    means = (V.group_mean_fixed(src, ["_c"], vec, dim, out="_m") if dim
+             else V.group_mean_vector(src, ["_c"], vec, out="_m"))
     return (previous.join(means.withColumnRenamed("_c", "cluster"), "cluster", "left")
                     .select("cluster", F.coalesce("_m", "centroid").alias("centroid")))
 
@@ -74,23 +78,22 @@ def kmeans_cosine(df: DataFrame, key: str, vec: str, k: int, max_iter: int = 10,
     iteration with the inertia and the number of changed assignments."""
     spark = df.sparkSession
     data = df.select(key, F.col(vec).cast("array<double>").alias(vec))
+    dim = data.select(F.max(F.size(vec))).first()[0]
     cents = cut_lineage(seed_centroids(data, key, vec, k, seed))
-    prev = None
     history = []
+    current = data.withColumn("cluster", F.lit(-1))
     assigned = None
     for it in range(max_iter):
-        assigned = assign_clusters(data, vec, centroid_array(cents))
-        if prev is not None:
-            assigned = assigned.join(prev.select(key, F.col("cluster").alias("_prev")), key)
-        else:
-            assigned = assigned.withColumn("_prev", F.lit(-1))
+        # the previous assignment travels in the checkpointed frame: no join
+        assigned = assign_clusters(current.withColumnRenamed("cluster", "_prev"), vec,
+                                   centroid_array(cents))
         assigned = cut_lineage(assigned)
         stats = assigned.agg(F.sum("distance").alias("inertia"),
                              F.count_if(F.col("cluster") != F.col("_prev")).alias("changed")).first()
         history.append((it, float(stats["inertia"] or 0.0), int(stats["changed"])))
-        if prev is not None and stats["changed"] == 0:
+        if it > 0 and stats["changed"] == 0:
             break
-        cents = cut_lineage(update_centroids(assigned, cents, vec))
-        prev = assigned.drop("_prev")
+        cents = cut_lineage(update_centroids(assigned, cents, vec, dim=dim))
+        current = assigned.drop("_prev", "distance")
     hist = spark.createDataFrame(history, "iteration int, inertia double, changed long")
     return cents, assigned.drop("_prev"), hist

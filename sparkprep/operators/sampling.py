@@ -33,17 +33,28 @@ def sample_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(key_hash(F.col(key)), F.col(key)).limit(n)
 
 
+def poisson1_cdf(terms: int = 12) -> list[float]:
+    """Cumulative probabilities of Poisson(1) for 0..terms-1."""
+    import math
+    cdf, acc = [], 0.0
+    for j in range(terms):
+        acc += math.exp(-1) / math.factorial(j)
+        cdf.append(acc)
+    return cdf
+
+
+def seeded_uniform(key: Column, seed: int) -> Column:
+    """A uniform in [0, 1) from (key, seed) with the portable key hash."""
+    shifted = F.pmod(F.pmod(key.cast("long"), F.lit(HASH_MOD)) + F.lit(seed), F.lit(HASH_MOD))
+    return key_hash(shifted) / F.lit(float(HASH_MOD))
+
+
 def bootstrap(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """Sample with replacement, deterministic per key: each row is repeated
     Poisson(1) times, drawn by inverse CDF from a per-row uniform derived
-    from (key, seed)."""
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    # inverse CDF of Poisson(1): cumulative e^-1 * sum 1/j!
-    import math
-    cdf, terms = [], 0.0
-    for j in range(12):
-        terms += math.exp(-1) / math.factorial(j)
-        cdf.append(terms)
+    from (key, seed). ``_copy`` numbers the repeats 1..n."""
+    u = seeded_uniform(F.col(key), seed)
+    cdf = poisson1_cdf()
     reps = F.lit(len(cdf))
     for j in reversed(range(len(cdf))):
         reps = F.when(u < cdf[j], F.lit(j)).otherwise(reps)

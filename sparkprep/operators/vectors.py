@@ -93,6 +93,16 @@ def group_mean_vector(df: DataFrame, group, vec: str, weight: str | None = None,
     return agg.select(*group, vector_to_array("_m").alias(out))
 
 
+def group_mean_fixed(df: DataFrame, group, vec: str, dim: int, out: str = "mean") -> DataFrame:
+    """Element-wise mean of fixed-length vectors per group as ``dim`` plain
+    sums in one generated hash aggregate (exact sum / count per element)."""
+    group = list(group)
+    v = F.col(vec)
+    sums = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *[
+        F.sum(F.element_at(v, i + 1).cast("double")).alias(f"_s{i}") for i in range(dim)])
+    return sums.select(*group, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
+
+
 def doc_mean_vectors(tf: DataFrame, vectors: DataFrame, doc: str, token: str,
                      vec: str, dim: int, tf_col: str = "tf") -> DataFrame:
     """Average word vector ``(doc, mean array)`` of each document's

@@ -452,7 +452,7 @@ FROM allc LEFT JOIN m USING (cluster, dim)
 """.format(v=sig_round_sql("coalesce(m.value, allc.seedv)", 8)))
 def q_kmeans_cosine_step(spark, sf):
     _, seeds, assigned = _km_assigned(spark, sf)
-    upd = KM.update_centroids(assigned, seeds, "v")
+    upd = KM.update_centroids(assigned, seeds, "v", dim=64)
     return upd.select("cluster", F.posexplode("centroid").alias("dim", "value")).select(
         "cluster", "dim", sig_round(F.col("value"), 8).alias("value"))
 
@@ -464,7 +464,29 @@ def q_kmeans_inertia(spark, sf):
     return out.select(sig_round(F.col("inertia"), 9).alias("inertia"))
 
 
-@query("kmeans_cosine")
+def _kmeans_full_sql(k=4, iters=10, dim=64):
+    """Ten unrolled assign/update rounds. Once an assignment repeats, the
+    centroids and hence all later assignments stay the same, so the last
+    round equals the result of stopping at convergence."""
+    parts = [f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, v AS c
+       FROM (SELECT * FROM e ORDER BY vec_id LIMIT {k}))"""]
+    for i in range(iters):
+        parts.append(f""", d{i} AS (SELECT e.vec_id, e.v, c{i}.cluster,
+             round(coalesce(1 - list_inner_product(e.v, c{i}.c) / nullif(sqrt(list_inner_product(e.v, e.v))
+                   * sqrt(list_inner_product(c{i}.c, c{i}.c)), 0.0), 1.0), 9) AS distance FROM e, c{i}),
+a{i} AS (SELECT vec_id, v, cluster, distance FROM (
+        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS rn FROM d{i}) WHERE rn = 1)""")
+        if i + 1 < iters:
+            parts.append(f""", m{i} AS (SELECT cluster, list(x ORDER BY dim) AS c FROM (
+          SELECT cluster, dim, avg(x) AS x FROM (
+            SELECT cluster, unnest(range({dim})) AS dim, unnest(v) AS x FROM a{i}) GROUP BY ALL) GROUP BY cluster),
+c{i + 1} AS (SELECT c{i}.cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
+    parts.append(f"\nSELECT vec_id, cluster, distance FROM a{iters - 1}")
+    return "".join(parts)
+
+
+@query("kmeans_cosine", _kmeans_full_sql())
 def q_kmeans_cosine(spark, sf):
     e = _emb(spark, sf)
     _, assigned, _ = KM.kmeans_cosine(e, "vec_id", "embedding", 4, max_iter=10)

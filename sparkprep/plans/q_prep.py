@@ -274,7 +274,20 @@ def q_split_stratified(spark, sf):
     return SP.split_stratified(o, "o_orderstatus", "o_orderkey", 0.1)
 
 
-@query("sample_bootstrap")
+def _bootstrap_sql():
+    cdf = SP.poisson1_cdf()
+    cases = " ".join(f"WHEN u < CAST('{c!r}' AS DOUBLE) THEN {j}" for j, c in enumerate(cdf))
+    return f"""
+WITH r AS (SELECT o_orderkey, o_totalprice,
+                  CASE {cases} ELSE {len(cdf)} END AS reps
+           FROM (SELECT o_orderkey, o_totalprice,
+                        ((((o_orderkey % 1000003) + 7) % 1000003) * 2654435761 % 1000003) / 1000003.0 AS u
+                 FROM orders))
+SELECT o_orderkey, o_totalprice, CAST(unnest(range(1, reps + 1)) AS INTEGER) AS _copy FROM r WHERE reps > 0
+"""
+
+
+@query("sample_bootstrap", _bootstrap_sql())
 def q_sample_bootstrap(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return SP.bootstrap(o, "o_orderkey", seed=7)
