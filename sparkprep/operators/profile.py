@@ -52,14 +52,17 @@ def multi_agg(df: DataFrame, cols, stat_fns: dict) -> DataFrame:
 # ---------------------------------------------------------------- schema
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """``(position, column, dtype, n_rows, n_non_null)``: pandas ``info()``."""
+    """``(position, column, dtype, n_rows, n_non_null, n_cols, size)``:
+    pandas ``info()`` / ``dtypes`` / ``shape`` / ``size`` in one pass."""
     dtypes = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(c).alias(f"nn__{c}") for c in df.columns]
     one = df.agg(*aggs)
     packed = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
                                 F.lit(dtypes[c]).alias("dtype"),
                                 F.col("_rows").alias("n_rows"),
-                                F.col(f"nn__{c}").alias("n_non_null"))
+                                F.col(f"nn__{c}").alias("n_non_null"),
+                                F.lit(len(df.columns)).alias("n_cols"),
+                                (F.col("_rows") * len(df.columns)).alias("size"))
                        for i, c in enumerate(df.columns)])
     return one.select(F.inline(packed))
 

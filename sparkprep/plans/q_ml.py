@@ -36,7 +36,10 @@ def q_logistic(spark, sf):
 def q_linear_svm(spark, sf):
     train, test = _emb_split(spark, sf, binary=True)
     model = ML.linear_svm(1.0, train.count()).fit(train)
-    return model.transform(test).select("vec_id", "label", "prediction")
+    w = model.coefficients.toArray()
+    margin = float(2.0 / (w @ w) ** 0.5) if (w @ w) > 0 else None
+    return model.transform(test).select("vec_id", "label", "prediction",
+                                        F.lit(margin).cast("double").alias("margin"))
 
 
 @query("tree_entropy")

@@ -457,14 +457,7 @@ def q_kmeans_cosine_step(spark, sf):
         "cluster", "dim", sig_round(F.col("value"), 8).alias("value"))
 
 
-@query("kmeans_inertia", _KM_SQL + "SELECT {i} AS inertia FROM (SELECT sum(distance) AS s FROM a)".format(
-    i=sig_round_sql("s", 9)))
-def q_kmeans_inertia(spark, sf):
-    out = KM.inertia(_km_assigned(spark, sf)[2])
-    return out.select(sig_round(F.col("inertia"), 9).alias("inertia"))
-
-
-def _kmeans_full_sql(k=4, iters=10, dim=64):
+def _kmeans_full_sql(k=4, iters=10, dim=64, final=None):
     """Ten unrolled assign/update rounds. Once an assignment repeats, the
     centroids and hence all later assignments stay the same, so the last
     round equals the result of stopping at convergence."""
@@ -482,10 +475,24 @@ a{i} AS (SELECT vec_id, v, cluster, distance FROM (
           SELECT cluster, dim, avg(x) AS x FROM (
             SELECT cluster, unnest(range({dim})) AS dim, unnest(v) AS x FROM a{i}) GROUP BY ALL) GROUP BY cluster),
 c{i + 1} AS (SELECT c{i}.cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
-    parts.append(f"\nSELECT vec_id, cluster, distance FROM a{iters - 1}")
+    parts.append(final or f"\nSELECT vec_id, cluster, distance FROM a{iters - 1}")
     return "".join(parts)
 
 
+def _kmeans_history_sql(iters=10):
+    rows = ["SELECT 0 AS iteration, sum(distance) AS inertia, count(*) AS changed FROM a0"]
+    for i in range(1, iters):
+        rows.append(f"SELECT {i}, (SELECT sum(distance) FROM a{i}), (SELECT count(*) FROM a{i} "
+                    f"JOIN a{i - 1} USING (vec_id) WHERE a{i}.cluster <> a{i - 1}.cluster)")
+    body = "\nUNION ALL ".join(rows)
+    final = f""", h AS ({body}),
+st AS (SELECT min(iteration) AS s FROM h WHERE iteration > 0 AND changed = 0)
+SELECT CAST(iteration AS INTEGER) AS iteration, {sig_round_sql("inertia", 9)} AS inertia,
+       CAST(changed AS BIGINT) AS changed
+FROM h WHERE iteration <= coalesce((SELECT s FROM st), {iters - 1})"""
+    return _kmeans_full_sql(iters=iters, final=final)
+
+
 @query("kmeans_cosine", _kmeans_full_sql())
 def q_kmeans_cosine(spark, sf):
     e = _emb(spark, sf)
@@ -493,6 +500,14 @@ def q_kmeans_cosine(spark, sf):
     return assigned.select("vec_id", "cluster", "distance")
 
 
+@query("kmeans_inertia", _kmeans_history_sql())
+def q_kmeans_inertia(spark, sf):
+    """Total distance to the nearest centroid, per iteration of the full
+    run, with the number of changed assignments."""
+    _, _, hist = KM.kmeans_cosine(_emb(spark, sf), "vec_id", "embedding", 4, max_iter=10)
+    return hist.select("iteration", sig_round(F.col("inertia"), 9).alias("inertia"), "changed")
+
+
 @query("early_stop_select", """
 WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rk,
                   max({'m': value, 'ns': -event_id}) OVER (PARTITION BY user_id ORDER BY event_id

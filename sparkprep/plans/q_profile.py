@@ -78,7 +78,8 @@ SELECT CAST(i.ordinal_position - 1 AS INTEGER) AS position, i.column_name AS "co
        CASE i.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
                         WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
                         ELSE lower(i.data_type) END AS dtype,
-       (SELECT n_rows FROM cnt) AS n_rows, u.n_non_null
+       (SELECT n_rows FROM cnt) AS n_rows, u.n_non_null, CAST(5 AS INTEGER) AS n_cols,
+       (SELECT n_rows FROM cnt) * 5 AS size
 FROM information_schema.columns i JOIN u ON u.col = i.column_name
 WHERE i.table_name = 'customer'
 """)
