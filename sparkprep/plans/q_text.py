@@ -375,15 +375,15 @@ def q_char_lm_loss(spark, sf):
 @query("token_id_encode", "WITH " + _VEC_TOKENS_SQL + """
 , cnt AS (SELECT token, count(*) AS n FROM vt GROUP BY token),
 vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS id FROM cnt),
-h AS (SELECT doc_id, pos, coalesce(id, 1) AS id FROM vt LEFT JOIN vocab USING (token) WHERE pos < 32),
+h AS (SELECT doc_id, pos, coalesce(id, 1) AS id FROM vt LEFT JOIN vocab USING (token) WHERE pos < 512),
 s AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM h GROUP BY doc_id)
-SELECT doc_id, CAST(list_resize(ids, 32, 0) AS INTEGER[]) AS input_ids,
-       CAST(list_resize(list_transform(ids, lambda x: 1), 32, 0) AS INTEGER[]) AS attention_mask FROM s
+SELECT doc_id, CAST(list_resize(ids, 512, 0) AS INTEGER[]) AS input_ids,
+       CAST(list_resize(list_transform(ids, lambda x: 1), 512, 0) AS INTEGER[]) AS attention_mask FROM s
 """)
 def q_token_id_encode(spark, sf):
     toks = vec_token_rows(spark, sf)
     vocab = SQ.token_vocabulary(toks)
-    return SQ.encode_tokens(toks, vocab, "doc_id", 32)
+    return SQ.encode_tokens(toks, vocab, "doc_id", 512)
 
 
 @query("doc_mean_vector", "WITH " + _VEC_TOKENS_SQL + """
