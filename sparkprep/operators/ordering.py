@@ -31,22 +31,22 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank",
     arbitrary but fixed order).
 
     Plan: one range exchange (a per-row tiebreak lets the range partitioner
-    split a hot key), a local sort, a reliable checkpoint so the numbering
-    and the per-partition counts come from the very same partitions even if
-    an executor is lost, then a broadcast join with one row per partition.
+    split a hot key; without ``num_partitions`` AQE sizes and coalesces the
+    ordered ranges from runtime statistics), a local sort, a reliable
+    checkpoint so the numbering and the per-partition counts come from the
+    very same partitions even if an executor is lost, then a broadcast join
+    with one row per partition.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _as_order(order_by) + [F.col(_TB).asc()]
     ranged = (df.withColumn(_TB, F.monotonically_increasing_id())
-                .repartitionByRange(n_parts, *order)
+                .repartitionByRange(*([num_partitions] if num_partitions else []), *order)
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MONO, F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     # counts has one row per partition: a single-partition window over it is
-    # bounded by n_parts, not by the data.
+    # bounded by the number of partitions, not by the data.
     offsets = counts.select(
         _PID,
         F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(

@@ -52,12 +52,10 @@ def grouped_scan(df: DataFrame, partition_by, order_by, aggs: dict,
     ``sum``, ``max``, ``min``, ``count``. Use ``(\"count\", F.lit(1))`` for a
     row number inside the group.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = list(partition_by)
     order = [F.col(g).asc() for g in group] + _order_cols(order_by) + [F.col(_TB).asc()]
     ranged = (df.withColumn(_TB, F.monotonically_increasing_id())
-                .repartitionByRange(n_parts, *order)
+                .repartitionByRange(*([num_partitions] if num_partitions else []), *order)
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MONO, F.monotonically_increasing_id()))
