@@ -426,7 +426,7 @@ s AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster
       FROM (SELECT * FROM e ORDER BY vec_id LIMIT 4)),
 d AS (SELECT e.vec_id, e.v, s.cluster,
              round(coalesce(1 - list_inner_product(e.v, s.c) / nullif(sqrt(list_inner_product(e.v, e.v))
-                   * sqrt(list_inner_product(s.c, s.c)), 0.0), 1.0), 9) AS distance FROM e, s),
+                   * sqrt(list_inner_product(s.c, s.c)), 0.0), 1.0), 9) + 0.0 AS distance FROM e, s),
 a AS (SELECT vec_id, v, cluster, distance FROM (
         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS rn FROM d) WHERE rn = 1)
 """
@@ -467,7 +467,7 @@ c0 AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluste
     for i in range(iters):
         parts.append(f""", d{i} AS (SELECT e.vec_id, e.v, c{i}.cluster,
              round(coalesce(1 - list_inner_product(e.v, c{i}.c) / nullif(sqrt(list_inner_product(e.v, e.v))
-                   * sqrt(list_inner_product(c{i}.c, c{i}.c)), 0.0), 1.0), 9) AS distance FROM e, c{i}),
+                   * sqrt(list_inner_product(c{i}.c, c{i}.c)), 0.0), 1.0), 9) + 0.0 AS distance FROM e, c{i}),
 a{i} AS (SELECT vec_id, v, cluster, distance FROM (
         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS rn FROM d{i}) WHERE rn = 1)""")
         if i + 1 < iters:
@@ -538,7 +538,8 @@ def _gazetteer(spark, sf):
 
 
 _GAZ_SQL = """
-g AS (SELECT n_name AS name, n_nationkey * 7.0 - 84.0 AS lat, n_nationkey * 14.0 - 168.0 AS lng FROM nation)
+g AS (SELECT n_name AS name, CAST(n_nationkey * 7.0 - 84.0 AS DOUBLE) AS lat,
+             CAST(n_nationkey * 14.0 - 168.0 AS DOUBLE) AS lng FROM nation)
 """
 
 
