@@ -34,7 +34,10 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     min(0.5, |O-E|)) needs all four cells; the four-cell grid is built from
     the two column totals, gathered only when there are exactly two.
     """
-    ct = crosstab(df, a, b)
+    from ..session import cut_lineage
+    # the contingency table (rows x columns of categories) is read by
+    # several statistics: materialise it once instead of rescanning the data
+    ct = cut_lineage(crosstab(df, a, b))
     rows = ct.groupBy(a).agg(F.sum("n").alias("r"))
     cols = ct.groupBy(b).agg(F.sum("n").alias("c"))
     n_total = ct.select(F.sum("n")).scalar()

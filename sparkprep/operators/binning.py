@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import global_rank
+from .stats import fetch_row
 
 
 def _range(df: DataFrame, col: str):
-    agg = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
-    return agg.select("lo").scalar(), agg.select("hi").scalar()
+    r = fetch_row(df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")))
+    return r["lo"], r["hi"]
 
 
 def bin_boundaries(df: DataFrame, col: str, k: int) -> DataFrame:

@@ -19,7 +19,9 @@ def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def ols_predict(df: DataFrame, fit: DataFrame, x: str, out: str = "prediction") -> DataFrame:
-    slope, icpt = fit.select("slope").scalar(), fit.select("intercept").scalar()
+    from .stats import fetch_row
+    r = fetch_row(fit)
+    slope, icpt = r["slope"], r["intercept"]
     return df.withColumn(out, icpt + slope * F.col(x))
 
 
@@ -64,9 +66,10 @@ def log_loss(df: DataFrame, y: str, p: str, eps: float = 1e-15) -> DataFrame:
 def gaussian_nb_fit(df: DataFrame, features, label: str, var_smoothing: float = 1e-9) -> DataFrame:
     """Per class and feature: prior, mean, population variance plus
     ``var_smoothing`` x the largest feature variance (over all rows)."""
-    eps = df.select(F.greatest(*[F.var_pop(f) for f in features]) * var_smoothing).scalar() \
-        if len(features) > 1 else df.select(F.var_pop(features[0]) * var_smoothing).scalar()
-    n = df.select(F.count(F.lit(1))).scalar()
+    from .stats import fetch_row
+    g = fetch_row(df.agg(F.count(F.lit(1)).alias("n"),
+                         (F.greatest(*[F.var_pop(f) for f in features], F.lit(0.0)) * var_smoothing).alias("eps")))
+    n, eps = g["n"], g["eps"]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for f in features:
         aggs += [F.avg(f).alias(f"mu_{f}"), F.var_pop(f).alias(f"var_{f}")]

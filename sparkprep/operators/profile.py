@@ -109,10 +109,10 @@ def fill_const(df: DataFrame, value, subset=None) -> DataFrame:
 
 def fill_mean(df: DataFrame, cols) -> DataFrame:
     """Null -> column mean (scalar subquery, computed once, no join)."""
+    means = S.fetch_row(df.agg(*[F.avg(c).alias(c) for c in cols]))
     out = df
     for c in cols:
-        m = df.select(F.avg(c)).scalar()
-        out = out.withColumn(c, F.coalesce(F.col(c), m))
+        out = out.withColumn(c, F.coalesce(F.col(c), means[c]))
     return out
 
 
@@ -185,7 +185,7 @@ def shape_stats(df: DataFrame, cols) -> DataFrame:
 def mean_abs_dev(df: DataFrame, cols) -> DataFrame:
     """Mean absolute deviation around the mean: two passes, the mean enters
     the second as a scalar subquery."""
-    means = {c: df.select(F.avg(c)).scalar() for c in cols}
+    means = S.fetch_row(df.agg(*[F.avg(c).alias(c) for c in cols]))
     one = df.agg(*[F.avg(F.abs(F.col(c) - means[c])).alias(f"mad__{c}") for c in cols])
     return per_column(one, cols, ["mad"])
 

@@ -16,6 +16,14 @@ from pyspark.sql import functions as F
 from .ordering import global_rank
 
 
+def fetch_row(agg: DataFrame) -> dict:
+    """Run a 1-row aggregate once and return its values as typed literal
+    Columns. Used when several statistics of one aggregate enter a plan:
+    one scan of the data, instead of one scalar subquery (and scan) each."""
+    row = agg.first()
+    return {f.name: F.lit(row[f.name]).cast(f.dataType) for f in agg.schema.fields}
+
+
 def to_long(df: DataFrame, cols, by=(), value_type: str = "double") -> DataFrame:
     """Unpivot ``cols`` into ``(by..., column, value)`` rows, nulls dropped."""
     by = list(by)
