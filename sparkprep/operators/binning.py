@@ -94,9 +94,11 @@ def equal_depth_bins(df: DataFrame, col: str, k: int, out: str = "bin") -> DataF
     """Chunks of ``n div k`` sorted values; a remainder opens extra bins
     (so there can be more than k). Needs n >= k."""
     base = df.filter(F.col(col).isNotNull())
-    n = base.select(F.count(F.lit(1))).scalar()
-    size = F.greatest(F.floor(n / k), F.lit(1))
     ranked = global_rank(base, [col], "_rk")
+    # the row count is the largest rank: read from the ranked (checkpointed)
+    # rows instead of scanning the input again
+    n = ranked.select(F.max("_rk")).scalar()
+    size = F.greatest(F.floor(n / k), F.lit(1))
     return ranked.withColumn(out, F.floor((F.col("_rk") - 1) / size).cast("int")).drop("_rk")
 
 

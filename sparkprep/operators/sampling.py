@@ -81,8 +81,8 @@ def split_positional(df: DataFrame, order_by, fractions=(0.7, 0.1, 0.2),
                      names=("train", "val", "test"), out: str = "split") -> DataFrame:
     """First floor(f1*n) rows in order -> first split, next up to
     floor((f1+f2)*n) -> second, rest -> last (list slicing)."""
-    n = df.select(F.count(F.lit(1))).scalar()
     ranked = global_rank(df, order_by, "_rk")
+    n = ranked.select(F.coalesce(F.max("_rk"), F.lit(0))).scalar()
     expr, acc = None, 0.0
     for f, name in zip(fractions[:-1], names[:-1]):
         acc += f

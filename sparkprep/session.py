@@ -26,6 +26,29 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Starting configuration for a cluster run over ``input_bytes`` of
+    (compressed) input on ``total_cores`` task slots.
+
+    * input splits of ``target_partition_bytes`` keep a scan task's working
+      set well inside one executor core's share of memory;
+    * the initial shuffle partition count is sized so a shuffle partition
+      is about the same size (at least 3 waves of tasks), and AQE coalesces
+      small partitions and splits skewed ones at run time;
+    * broadcast stays at Spark's default threshold: the library broadcasts
+      explicitly only tables whose size it has checked.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def get_spark(app: str = "sparkprep", cpus: int | None = None,
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
