@@ -129,29 +129,38 @@ def entropy_of_counts(counts: Column, total: Column) -> Column:
         c > 0, (c / total) * F.log2(c / total)).otherwise(F.lit(0.0)))
 
 
-def class_impurity(df: DataFrame, label: str) -> DataFrame:
-    """Entropy (bits) and Gini impurity of the label distribution."""
-    cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    tot = cnt.select(F.sum("n")).scalar()
-    p = cnt.select((F.col("n") / tot).alias("p"))
+def _impurity_from_counts(cnt: DataFrame, n) -> DataFrame:
+    p = cnt.select((F.col("n") / n).alias("p"))
     return p.agg((-F.sum(F.col("p") * F.log2("p"))).alias("entropy"),
                  (1 - F.sum(F.col("p") * F.col("p"))).alias("gini"))
 
 
+def class_impurity(df: DataFrame, label: str) -> DataFrame:
+    """Entropy (bits) and Gini impurity of the label distribution. The
+    class counts (one row per class) are materialised once and the total is
+    read from them, not from a second scan of the data."""
+    from ..session import cut_lineage
+    cnt = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
+    return _impurity_from_counts(cnt, cnt.select(F.sum("n")).scalar())
+
+
 def info_gain(df: DataFrame, label: str, attrs) -> DataFrame:
-    """``(attribute, gain)``: H(label) - sum_v p(v) H(label | v) per attribute,
-    from (attribute value, class) counts."""
-    from functools import reduce
-    n = df.select(F.count(F.lit(1))).scalar()
-    h = class_impurity(df, label).select("entropy").scalar()
-    parts = []
-    for a in attrs:
-        cv = df.groupBy(F.col(a).cast("string").alias("v"), label).agg(F.count(F.lit(1)).alias("n"))
-        per_v = cv.groupBy("v").agg(F.sum("n").alias("nv"), F.collect_list("n").alias("ns"))
-        # one row per attribute value; ns has one count per class (bounded)
-        cond = per_v.select((F.col("nv") / n * entropy_of_counts(F.col("ns"), F.col("nv"))).alias("hv"))
-        parts.append(cond.agg(F.lit(a).alias("attribute"), (h - F.sum("hv")).alias("gain")))
-    return reduce(DataFrame.unionByName, parts)
+    """``(attribute, gain)``: H(label) - sum_v p(v) H(label | v) for every
+    attribute. All attributes are unpivoted into one (attribute, value,
+    class) count aggregate, a single scan of the data; that table is small
+    (attributes x values x classes) and is materialised once."""
+    from ..session import cut_lineage
+    long = df.select(label, F.inline(F.array(*[
+        F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("v")) for a in attrs])))
+    cv = cut_lineage(long.groupBy("attribute", "v", label).agg(F.count(F.lit(1)).alias("n")))
+    first = cv.filter(F.col("attribute") == attrs[0])
+    classes = first.groupBy(label).agg(F.sum("n").alias("n"))
+    n = classes.select(F.sum("n")).scalar()
+    h = _impurity_from_counts(classes, n).select("entropy").scalar()
+    per_v = cv.groupBy("attribute", "v").agg(F.sum("n").alias("nv"), F.collect_list("n").alias("ns"))
+    # one row per (attribute, value); ns holds one count per class (bounded)
+    cond = per_v.select("attribute", (F.col("nv") / n * entropy_of_counts(F.col("ns"), F.col("nv"))).alias("hv"))
+    return cond.groupBy("attribute").agg((h - F.sum("hv")).alias("gain"))
 
 
 def best_split(df: DataFrame, label: str, attrs) -> DataFrame:
