@@ -481,6 +481,18 @@ def q_crosstab(spark, sf):
     return A.crosstab(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
 
 
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query("crosstab_wide", "SELECT o_orderstatus, " + ", ".join(
+    f"count(*) FILTER (WHERE o_orderpriority = '{v}') AS \"{v}\"" for v in _PRIORITIES)
+    + " FROM orders GROUP BY o_orderstatus")
+def q_crosstab_wide(spark, sf):
+    """Wide contingency table: one column per priority (Spark pivot, whose
+    value list is found by a distinct pass and capped by pivotMaxValues)."""
+    return A.crosstab_wide(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+
+
 _CHI_SQL = """
 WITH ct AS (SELECT {a} AS a, {b} AS b, count(*) AS n FROM {t} GROUP BY ALL),
 r AS (SELECT a, sum(n) AS r FROM ct GROUP BY a), c AS (SELECT b, sum(n) AS c FROM ct GROUP BY b),
