@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import vectors as V
-from .sampling import key_hash
 
 DIST_DIGITS = 9
 
@@ -26,12 +25,11 @@ def seed_centroids(df: DataFrame, key: str, vec: str, k: int, seed: int | None =
     """K distinct rows as seeds: the first K keys, or the K smallest
     hashes of (key, seed) when a seed is given. ``(cluster, centroid)``."""
     order = [F.col(key)] if seed is None else [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)]
-    picked = df.select(key, vec).orderBy(*order).limit(k)
-    from .ordering import global_rank
-    r = global_rank(picked, order if seed is None else [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)],
-                    "_r")
-    return r.select((F.col("_r") - 1).cast("int").alias("cluster"),
-                    F.col(vec).cast("array<double>").alias("centroid"))
+    picked = df.select(key, vec).orderBy(*order).limit(k)  # top-k: k is a parameter
+    # numbering k rows: a window over the k picked rows only
+    from pyspark.sql import Window
+    return picked.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("int").alias("cluster"),
+                         F.col(vec).cast("array<double>").alias("centroid"))
 
 
 def centroid_array(centroids: DataFrame) -> Column:

@@ -10,7 +10,6 @@ from ..operators import evaluate as EV
 from ..operators import models as M
 from ..operators import neighbours as NB
 from ..operators import vectors as V
-from ..operators.ordering import global_rank
 from ..operators.sampling import split_hash
 from ..sources.tables import load
 from .common import rounded, sig_round, sig_round_sql
