@@ -27,16 +27,19 @@ def dedup_keep_latest(df: DataFrame, keys, ts: str, tiebreak=None) -> DataFrame:
 
 
 def full_outer_merge(left: DataFrame, right: DataFrame, key: str,
-                     suffixes=("_x", "_y")) -> DataFrame:
+                     suffixes=("_x", "_y"), null_safe: bool = False) -> DataFrame:
     """pandas ``merge(on=key, how='outer')``: one key column, overlapping
-    names suffixed. Null keys never match (pass non-null keys)."""
+    names suffixed. pandas also pairs null keys with each other; pass
+    ``null_safe=True`` for that (null-safe equality), else nulls never match."""
     lx, ry = suffixes
     common = (set(left.columns) & set(right.columns)) - {key}
     l2 = left.select(F.col(key).alias("_k_l"), *[
         F.col(c).alias(c + lx if c in common else c) for c in left.columns if c != key])
     r2 = right.select(F.col(key).alias("_k_r"), *[
         F.col(c).alias(c + ry if c in common else c) for c in right.columns if c != key])
-    joined = l2.join(r2, F.col("_k_l") == F.col("_k_r"), "full")
+    cond = (F.col("_k_l").eqNullSafe(F.col("_k_r")) if null_safe
+            else F.col("_k_l") == F.col("_k_r"))
+    joined = l2.join(r2, cond, "full")
     return joined.select(F.coalesce("_k_l", "_k_r").alias(key),
                          *[c for c in joined.columns if c not in ("_k_l", "_k_r")])
 

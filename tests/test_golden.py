@@ -206,3 +206,11 @@ def test_char_encoding(spark):
     assert rows[0]["ids"][:4] == [29, 16, 16, 2] and rows[0]["ids"][4:] == [0] * 16
     assert len(rows[1]["ids"]) == 20 and 2 not in rows[1]["ids"]  # truncated: end mark lost
     assert math.isclose(SQ.logprob_of([0.1, 0.001, 0.05, 0.1]), -14.508658, abs_tol=1e-6)
+
+
+def test_full_outer_merge_null_keys(spark):
+    a = spark.createDataFrame([("k1", 1), (None, 2)], "k string, v int")
+    b = spark.createDataFrame([("k1", 10), (None, 20)], "k string, v int")
+    assert C.full_outer_merge(a, b, "k").count() == 3
+    pairs = {(r["v_x"], r["v_y"]) for r in C.full_outer_merge(a, b, "k", null_safe=True).collect()}
+    assert pairs == {(1, 10), (2, 20)}
