@@ -201,7 +201,30 @@ def q_defects_pipeline(spark, sf):
     return defects_like(spark, sf)
 
 
-@query("horse_features")
+_HORSE_SQL = """
+WITH o AS (SELECT o_orderkey, o_totalprice,
+                  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+                  CAST(year(o_orderdate) AS VARCHAR) AS o_year,
+                  CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'
+                       WHEN '3-MEDIUM' THEN 'medium' WHEN '4-NOT SPECIFIED' THEN 'unspecified'
+                       WHEN '5-LOW' THEN 'low' END AS priority
+           FROM orders),
+m AS (SELECT o_orderstatus AS v FROM o WHERE o_orderstatus IS NOT NULL
+      GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+f AS (SELECT o_orderkey, o_totalprice, coalesce(o_orderstatus, (SELECT v FROM m)) AS o_orderstatus, o_year,
+             CASE priority WHEN 'low' THEN 0 WHEN 'unspecified' THEN 1 WHEN 'medium' THEN 2
+                           WHEN 'high' THEN 3 WHEN 'urgent' THEN 4 END AS priority_ord FROM o),
+s AS (SELECT avg(o_totalprice) AS mu,
+             CASE WHEN stddev_pop(o_totalprice) = 0 THEN 1.0 ELSE stddev_pop(o_totalprice) END AS sd FROM f)
+SELECT o_orderkey, round((o_totalprice - mu) / sd, 6) AS o_totalprice, o_orderstatus,
+       CAST(priority_ord AS INTEGER) AS priority_ord, CAST(o_year = '1996' AS DOUBLE) AS o_year_1996, CAST(o_year = '1997' AS DOUBLE) AS o_year_1997, CAST(o_year = '1998' AS DOUBLE) AS o_year_1998, CAST(o_year = '1999' AS DOUBLE) AS o_year_1999, CAST(o_year = '2000' AS DOUBLE) AS o_year_2000, CAST(o_year = '2001' AS DOUBLE) AS o_year_2001,
+       CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS target
+FROM f, s
+"""
+
+
+@query("horse_features", _HORSE_SQL)
 def q_horse_features(spark, sf):
+    from .common import rounded
     from .pipelines import horse_like_features
-    return horse_like_features(spark, sf)
+    return rounded(horse_like_features(spark, sf))
