@@ -117,3 +117,27 @@ def test_streaming_token_counts_equal_batch(spark):
     streamed = spark.table("tok_stream_test")
     batch = Q["bow_counts"](spark, SF_SMALL).groupBy("token").agg(F.sum("tf").alias("n"))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_grouped_scan_spreads_a_hot_group(spark):
+    # one group holds a third of the rows; its running count must still be
+    # computed across several tasks and stay exact
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("g"),
+                                  F.col("id").alias("o"))
+    out = grouped_scan(df, ["g"], ["o"], {"n": ("count", F.lit(1))}, num_partitions=6)
+    hot = out.filter(F.col("g") == 0)
+    assert sorted(r["n"] for r in hot.select("n").collect()) == list(range(1, hot.count() + 1))
+    per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_task) < 1000 + 100
+
+
+def test_apply_to_stream_writes_cleaned_rows(spark, tmp_path):
+    from sparkprep.functions.text import clean_text, LATIN_KEEP
+    from sparkprep.streaming.micro_batch import apply_to_stream, read_stream
+    s = read_stream(spark, SF_SMALL, "page_id long, url string, html string", glob="pages.parquet")
+    sink = str(tmp_path / "clean")
+    q = apply_to_stream(s, lambda d: d.select("page_id", clean_text(F.col("html"), LATIN_KEEP).alias("text")), sink)
+    q.awaitTermination(120)
+    got = spark.read.parquet(sink)
+    exp = Q["clean_html_cjk"](spark, SF_SMALL)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
