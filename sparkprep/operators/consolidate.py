@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 def dedup_keep_latest(df: DataFrame, keys, ts: str, tiebreak=None) -> DataFrame:
     """Keep one row per ``keys``: the newest ``ts``; ties go to the largest
     ``tiebreak`` columns (default: all other columns), so the choice is total.
+    Null timestamps lose, as pandas sorts NaT last.
 
-    ``max(struct(ts, tiebreak..., payload))`` is a hash aggregate with a
-    map-side partial step: a key holding a third of all rows is reduced to
-    one row per map task before the shuffle (a window would send the whole
-    group to one task).
+    ``row_number() = 1`` over the key is planned with a *partial*
+    ``WindowGroupLimit`` before the shuffle: every map task keeps only its
+    best row per key, so a key holding a third of all rows crosses the
+    shuffle as one row per task (like a map-side combine), and the final
+    window sees at most one row per task and key.
     """
+    from pyspark.sql import Window
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != ts]
     tiebreak = list(tiebreak) if tiebreak is not None else rest
-    payload = [c for c in rest if c not in tiebreak]
-    packed = F.struct(*[F.col(c) for c in [ts] + tiebreak + payload]).alias("_best")
-    out = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
-    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c not in keys])
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last(),
+                                          *[F.col(c).desc_nulls_last() for c in tiebreak])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def full_outer_merge(left: DataFrame, right: DataFrame, key: str,

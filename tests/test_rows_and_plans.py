@@ -70,10 +70,11 @@ def test_grouped_scan_matches_window(spark):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
 
-def test_dedup_is_an_aggregate_not_a_window(spark):
+def test_dedup_limits_each_key_before_the_shuffle(spark):
     plan = _plan(Q["dedup_keep_latest"](spark, SF_SMALL))
-    # map-side partial step: a hot key is combined inside each task first
-    assert "partial_max" in plan and "Window" not in plan
+    # map-side partial step: a hot key is cut to one row per task first
+    pre_shuffle = plan.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in pre_shuffle and "Partial" in pre_shuffle
 
 
 def test_projection_and_filter_reach_the_scan(spark):
