@@ -190,6 +190,35 @@ def mean_abs_dev(df: DataFrame, cols) -> DataFrame:
     return per_column(one, cols, ["mad"])
 
 
+def column_profile(df: DataFrame, cols) -> DataFrame:
+    """One row per column: rows, missing, completeness %, distinct values,
+    mean, sample std, min, exact quartiles, max.
+
+    One aggregate pass computes every count and moment (the distinct counts
+    share it through Spark's expand rewrite); its single row also gives the
+    quantile selection the counts and ranges it needs, so the quartiles
+    cost one histogram pass and one small fetch. The result (one row per
+    column) is assembled on the driver."""
+    spark = df.sparkSession
+    dcols = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c in cols:
+        aggs += [F.count(c).alias(f"nn__{c}"), F.count_distinct(c).alias(f"nd__{c}"),
+                 F.avg(c).alias(f"mean__{c}"), F.stddev_samp(c).alias(f"std__{c}"),
+                 F.min(c).alias(f"min__{c}"), F.max(c).alias(f"max__{c}")]
+    one = dcols.agg(*aggs).first()
+    known = {c: (one[f"nn__{c}"], one[f"min__{c}"], one[f"max__{c}"]) for c in cols if one[f"nn__{c}"]}
+    q = {(r["column"], r["prob"]): r["value"]
+         for r in S.exact_quantiles(dcols, list(known), [0.25, 0.5, 0.75], known=known).collect()}
+    n = one["_rows"]
+    rows = [(c, n, n - one[f"nn__{c}"], (one[f"nn__{c}"] * 100.0 / n) if n else None,
+             one[f"nd__{c}"], one[f"mean__{c}"], one[f"std__{c}"], one[f"min__{c}"],
+             q.get((c, 0.25)), q.get((c, 0.5)), q.get((c, 0.75)), one[f"max__{c}"]) for c in cols]
+    return spark.createDataFrame(rows, "column string, n_rows long, n_missing long, completeness double, "
+                                       "n_distinct long, mean double, std double, min double, q25 double, "
+                                       "q50 double, q75 double, max double")
+
+
 def describe_numeric(df: DataFrame, cols) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max with exact quartiles."""
     dcols = df.select(*[F.col(c).cast("double").alias(c) for c in cols])

@@ -37,18 +37,20 @@ SELECT_BUCKETS = 4096
 SELECT_FETCH = 50_000
 
 
-def exact_quantiles(df: DataFrame, cols, probs, by=()) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols, probs, by=(), known: dict | None = None) -> DataFrame:
     """``(by..., column, prob, value)`` for every column and probability.
 
     Without grouping keys the values are found by distributed selection
-    (``_select``): no sort of the data, a handful of scans. With grouping
-    keys (an unbounded number of groups) a distributed rank is used."""
+    (``_select``): no sort of the data, a handful of scans. ``known`` may
+    pass per-column ``(non-null count, min, max)`` already computed by the
+    caller, which saves the first pass. With grouping keys (an unbounded
+    number of groups) a distributed rank is used."""
     if not by:
-        return _select(df, cols, probs)
+        return _select(df, cols, probs, known)
     return _ranked_quantiles(df, cols, probs, by)
 
 
-def _select(df: DataFrame, cols, probs) -> DataFrame:
+def _select(df: DataFrame, cols, probs, known: dict | None = None) -> DataFrame:
     """Exact order statistics by histogram refinement.
 
     Every wanted 0-based rank r lives in an interval [lo, hi] of values
@@ -63,8 +65,11 @@ def _select(df: DataFrame, cols, probs) -> DataFrame:
     """
     spark = df.sparkSession
     long = to_long(df, cols)
-    st = {r["column"]: r for r in long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
+    if known is not None:
+        st = {c: {"n": n, "lo": lo, "hi": hi} for c, (n, lo, hi) in known.items()}
+    else:
+        st = {r["column"]: r for r in long.groupBy("column").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
     targets = {}  # (column, rank) -> [lo, hi, below, value]
     for c in cols:
         if c not in st or st[c]["n"] == 0:

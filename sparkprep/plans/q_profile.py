@@ -47,17 +47,7 @@ SELECT "column", n_rows, n_rows - n_non_null AS n_missing,
 FROM s
 """.format(mean=sig_round_sql("mean"), std=sig_round_sql("std")))
 def q_column_profile(spark, sf):
-    li = load(spark, sf, "lineitem")
-    cols = LI_NUM
-    base = P.multi_agg(li, cols, {
-        "n_rows": lambda c: F.count(F.lit(1)),
-        "n_missing": lambda c: F.count_if(F.col(c).isNull()),
-        "completeness": lambda c: F.count(c) * 100.0 / F.count(F.lit(1)),
-        "n_distinct": F.count_distinct,
-        "mean": F.avg, "std": F.stddev_samp,
-        "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double")})
-    q = S.quantile_wide(li, cols, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
-    out = base.join(q, "column", "left")
+    out = P.column_profile(load(spark, sf, "lineitem"), LI_NUM)
     out = out.withColumn("mean", sig_round(F.col("mean"))).withColumn("std", sig_round(F.col("std")))
     return rounded(out, skip=("mean", "std"))
 
