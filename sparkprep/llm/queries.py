@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import quality as _quality
+from . import toxicity as _toxicity
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,7 +25,19 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _toxicity.score_documents(docs, _toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op3_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return _decontaminate.digest(found)
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _quality.score_documents(docs, _quality.train(docs, table(spark, sf_dir, "labels")))
