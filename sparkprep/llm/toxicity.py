@@ -19,8 +19,9 @@ each carries a weight, and the score is the logistic of the weighted counts.
 Insult words come from two places: a short fixed list, and stems learned from
 the labels. A stem (leading letters of a word) enters when it occurs in at
 least ``min_support`` toxic rows and is ``min_log_odds`` likelier in toxic
-rows; a greedy cover keeps only stems that explain toxic rows no earlier stem
-explains, so that the chance words of a copied toxic text stay out. Weights
+rows; a greedy cover, which charges a stem for the clean rows it occurs in, keeps
+only stems that explain ``min_explained`` different toxic texts no earlier
+stem explains, so that the chance words of a copied toxic text stay out. Weights
 are a regularised logistic fit. Both use at most ``max_train`` labelled rows
 (in the order of a hash of their id), none of them marked by ``held_out``;
 ids, languages and sources are never read. Scoring is a map over the scan.
@@ -49,6 +50,8 @@ MAX_TRAIN = 20_000
 THRESHOLD = 0.3
 MIN_SUPPORT = 8
 MIN_LOG_ODDS = 3.0
+MIN_EXPLAINED = 3  # distinct toxic texts that a further stem must explain
+CLEAN_COST = 8  # texts a stem must explain for each clean row it occurs in
 STEM_LENGTHS = (4, 5, 6)
 
 # Word lists of the grammar (English, German, French, Spanish).
@@ -250,7 +253,8 @@ def _count_stems(batches):
              pa.array([clean[k] for k in part], pa.int64())], names=["stem", "toxic", "clean"])
 
 
-def learn_stems(rows: DataFrame, min_support: int = MIN_SUPPORT, min_log_odds: float = MIN_LOG_ODDS) -> list[str]:
+def learn_stems(rows: DataFrame, min_support: int = MIN_SUPPORT, min_log_odds: float = MIN_LOG_ODDS,
+                min_explained: int = MIN_EXPLAINED) -> list[str]:
     """Stems that explain toxic rows of the (bounded) frame ``rows(y, t)``."""
     n = rows.agg(F.sum(F.when(F.col("y") > 0.5, 1).otherwise(0)), F.count("*")).first()
     n_toxic, n_clean = n[0] or 0, (n[1] or 0) - (n[0] or 0)
@@ -261,7 +265,8 @@ def learn_stems(rows: DataFrame, min_support: int = MIN_SUPPORT, min_log_odds: f
     odds = (F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)))
     likely = counted.where((F.col("toxic") >= min_support) & (odds >= min_log_odds))
     # at most (toxic words of max_train rows) / min_support rows
-    wanted = frozenset(r["stem"] for r in likely.select("stem").collect())
+    clean = {r["stem"]: r["clean"] for r in likely.collect()}
+    wanted = frozenset(clean)
     if not wanted:
         return []
 
@@ -271,13 +276,24 @@ def learn_stems(rows: DataFrame, min_support: int = MIN_SUPPORT, min_log_odds: f
                 [pa.array([sorted(_stem_sets(t) & wanted) for t in batch.column(1).to_pylist()],
                           pa.list_(pa.string()))], names=["stems"])
 
-    held = [set(r["stems"]) for r in rows.where("y > 0.5").mapInArrow(incidence, "stems array<string>").collect()]
-    held.sort(key=lambda s: sorted(s))
+    # copies of a text count once
+    held = [frozenset(r["stems"]) for r in
+            rows.where("y > 0.5").mapInArrow(incidence, "stems array<string>").distinct().collect()]
+    held.sort(key=sorted)
+    chosen: list[str] = []
+    # the second cover finds the stems that mostly occur beside a chosen one
+    for need in (min_explained, 5 * min_explained):
+        chosen += _cover([h - set(chosen) for h in held], clean, need)
+    return chosen
+
+
+def _cover(held: list, clean: dict, need: int) -> list[str]:
+    """Greedy: the stem that explains most unexplained texts comes next."""
     left = Counter(s for h in held for s in h)
     chosen = []
     while left:
-        best = max(left, key=lambda s: (left[s], len(s), s))
-        if left[best] < min_support:
+        best = max(left, key=lambda s: (left[s] - CLEAN_COST * clean[s], len(s), s))
+        if left[best] - CLEAN_COST * clean[best] < need:
             break
         chosen.append(best)
         rest = []
