@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import line_dedup as _line_dedup
 from . import quality as _quality
+from . import sharding as _sharding
 from . import toxicity as _toxicity
 from .common import held_out, table
 
@@ -41,3 +43,53 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return _quality.score_documents(docs, _quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op7_sharding", sql="""
+WITH s AS (
+  SELECT doc_id, CAST(COALESCE(strlen(text), 0) + 16 AS BIGINT) AS size, lower(hex(encode(COALESCE(text, '')))) AS x
+  FROM documents),
+steps AS (
+  SELECT list(c ORDER BY k) AS t FROM (
+    SELECT k, list_reduce(list_prepend(k, range(8)), lambda a, i:
+      CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM range(256) r(k))),
+crc AS (
+  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x), 2),
+           lambda i: CAST(16 * (instr('0123456789abcdef', x[i + 1]) - 1) + instr('0123456789abcdef', x[i + 2]) - 1 AS BIGINT))),
+           lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) AS text_crc32
+  FROM s, steps),
+p AS (
+  SELECT *, SUM(size) OVER () AS total,
+    SUM(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM crc),
+q AS (
+  SELECT *, CAST(LEAST(39, ((2 * before + size) * 40) // (2 * total)) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  CAST(ROW_NUMBER() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS BIGINT) AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM q
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = _sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_line_dedup", sql="""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(COALESCE(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(COALESCE(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+marked AS (
+  SELECT *, length(key) >= 10 AND doc_id <> MIN(doc_id) OVER (PARTITION BY key) AS gone FROM keyed)
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_dropped,
+  sha256(COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_dedup.digest(table(spark, sf_dir, "documents"))
