@@ -49,6 +49,15 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, limit: int = 32 << 20) -> None:
+    """Keep the Arrow batches of this session under ``limit`` bytes (or one
+    row), so that long texts and wide pairs fit a Python worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or not str(now).isdigit() or int(now) > limit:
+        spark.conf.set(key, str(limit))
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 
@@ -189,7 +198,7 @@ class Words:
         if len(short) == 0:
             return full, rows
         tail = np.array([(h[self.bounds[r]:self.bounds[r + 1]] * c[:self.count[r]]).sum()
-                         + np.uint64(self.count[r]) * _GOLD for r in short], np.uint64)
+                         for r in short], np.uint64) + self.count[short].astype(np.uint64) * _GOLD
         order = np.argsort(np.concatenate([rows, short]), kind="stable")
         return np.concatenate([full, mix(tail)])[order], np.concatenate([rows, short])[order]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
 from . import line_dedup as _line_dedup
+from . import minhash as _minhash
 from . import quality as _quality
 from . import sharding as _sharding
 from . import toxicity as _toxicity
@@ -27,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
