@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import embed_dedup as _embed_dedup
 from . import line_dedup as _line_dedup
 from . import minhash as _minhash
 from . import quality as _quality
@@ -99,3 +100,23 @@ FROM marked GROUP BY doc_id
 """)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_embedding_near_dedup", sql="""
+WITH RECURSIVE
+u AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+least_id AS (SELECT a, MIN(b) AS m FROM reach GROUP BY a),
+counts AS (SELECT a, COUNT(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, COALESCE(n, 0) AS n_links, LEAST(vec_id, COALESCE(m, vec_id)) AS component_id,
+  vec_id = LEAST(vec_id, COALESCE(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts c ON c.a = vec_id LEFT JOIN least_id l ON l.a = vec_id
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
