@@ -11,6 +11,7 @@ from . import decontaminate as _decontaminate
 from . import embed_dedup as _embed_dedup
 from . import line_dedup as _line_dedup
 from . import minhash as _minhash
+from . import packing as _packing
 from . import quality as _quality
 from . import sharding as _sharding
 from . import toxicity as _toxicity
@@ -52,6 +53,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.score_documents(docs, _quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query("op7_sharding", sql="""
 WITH s AS (
   SELECT doc_id, CAST(COALESCE(strlen(text), 0) + 16 AS BIGINT) AS size, lower(hex(encode(COALESCE(text, '')))) AS x
