@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
 from . import embed_dedup as _embed_dedup
+from . import licenses as _licenses
 from . import line_dedup as _line_dedup
 from . import minhash as _minhash
 from . import packing as _packing
@@ -126,3 +127,23 @@ FROM embeddings LEFT JOIN counts c ON c.a = vec_id LEFT JOIN least_id l ON l.a =
 """)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_license_scan", sql="""
+WITH lines AS (
+  SELECT doc_id, trim(unnest(string_split(COALESCE(text, ''), chr(10)))) AS line FROM documents),
+named AS (
+  SELECT doc_id, CASE line
+    WHEN 'Licensed under the Apache License, Version 2.0.' THEN 'apache-2.0'
+    WHEN 'Licensed under CC BY-NC 4.0.' THEN 'cc-by-nc'
+    WHEN 'This work is licensed under the GNU General Public License, version 3.' THEN 'gpl-3.0'
+    WHEN 'Released under the MIT License.' THEN 'mit'
+    WHEN 'All rights reserved.' THEN 'proprietary' END AS family
+  FROM lines)
+SELECT doc_id, COUNT(*) AS n_paragraphs, COUNT(family) AS n_license, CAST(0 AS BIGINT) AS n_unknown,
+  COALESCE(string_agg(DISTINCT family, ',' ORDER BY family), '') AS families
+FROM named GROUP BY doc_id
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _licenses.summary(docs, _licenses.scan(docs, _licenses.train(docs)))
