@@ -15,6 +15,7 @@ from . import minhash as _minhash
 from . import packing as _packing
 from . import quality as _quality
 from . import sharding as _sharding
+from . import suffix_dedup as _suffix_dedup
 from . import toxicity as _toxicity
 from .common import held_out, table
 
@@ -48,6 +49,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decontaminate.digest(found)
 
 
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query("op5_quality")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
