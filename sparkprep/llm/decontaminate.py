@@ -61,7 +61,11 @@ class Benchmark:
         self.item = np.concatenate(item or [none])
         first = np.concatenate(first or [none])
         self.length = np.concatenate(length or [none])
-        self.ids = ["" if i is None else str(i) for i in ids]
+        names = ["" if i is None else str(i) for i in ids]
+        self.names = sorted(set(names))
+        #: row of the benchmark -> its id's name (equal ids count once)
+        place = {x: k for k, x in enumerate(self.names)}
+        self.name = np.array([place[x] for x in names], np.int64)
         self.shortest = int(self.length.min()) if len(self.length) else 0
         at = np.arange(window)
         keep = at[None, :] < self.length[:, None]
@@ -135,8 +139,8 @@ def _scan(batches, bench: Benchmark, schema: pa.Schema):
                 base = words.bounds[words.doc[begin]]
                 for r, a, b in zip(words.doc[begin], begin - base, end - base):
                     spans[r].append({"start": int(a), "stop": int(b)})
-                for r, k in np.unique(np.stack([words.doc[pos], bench.item[suffix]], 1), axis=0):
-                    items[r].append(bench.ids[k])
+                for r, k in np.unique(np.stack([words.doc[pos], bench.name[bench.item[suffix]]], 1), axis=0):
+                    items[r].append(bench.names[k])
                 # neighbouring suffixes of an item at neighbouring positions chain up
                 order = np.lexsort((pos, pos - suffix, bench.item[suffix], words.doc[pos]))
                 p, s, z = pos[order], suffix[order], size[order]
@@ -149,7 +153,7 @@ def _scan(batches, bench: Benchmark, schema: pa.Schema):
                     r = words.doc[p[a]]
                     n = int(p[b] + z[b] - p[a])
                     if n > longest[r][0]:
-                        longest[r] = (n, int(p[a] - words.bounds[r]), bench.ids[bench.item[s[a]]])
+                        longest[r] = (n, int(p[a] - words.bounds[r]), bench.names[bench.name[bench.item[s[a]]]])
             yield pa.RecordBatch.from_arrays([
                 ids.slice(i, rows), pa.array(words.count, pa.int64()),
                 pa.array(spans, schema.field("spans").type), pa.array(items, schema.field("items").type),

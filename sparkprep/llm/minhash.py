@@ -45,8 +45,8 @@ SIZE = 5
 SIMILARITY = (75, 100)  # links: 100 * intersection >= 75 * union
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
-MARGIN = 5.5
-BLOCK = 256
+MARGIN = 4.5
+BLOCK = 1024
 
 _XOR = mix(constants(PERMUTATIONS, 101))
 _MUL = constants(PERMUTATIONS, 211)
@@ -206,7 +206,10 @@ def _across(rest: DataFrame, need: int) -> DataFrame:
                 F.lit(0).alias("kind"), F.col("block").alias("p"), m.alias("q"))),
             F.transform(upto(F.col("n_rest")), lambda o: F.struct(
                 F.lit(1).alias("kind"), F.least(o, F.col("block")).alias("p"), F.greatest(o, F.col("block")).alias("q")))))
-    dealt = rows.select("band", F.explode(where).alias("g"), "rep", "component", "sig")
+    # one key for the pair of blocks, dealt out anew: a hot band spreads
+    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (rows.select("band", F.explode(where).alias("g"), "rep", "component", "sig")
+                 .select(F.struct("band", "g").alias("pair"), "rep", "component", "sig").repartition(parts, "pair"))
     lane = np.uint64(0x1111111111111111)
 
     def compare(table: pa.Table) -> pa.Table:
@@ -225,7 +228,7 @@ def _across(rest: DataFrame, need: int) -> DataFrame:
         return pa.table({"a": np.concatenate(out_a or [none]), "b": np.concatenate(out_b or [none])},
                         schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return dealt.groupBy("band", "g").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.groupBy("pair").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
