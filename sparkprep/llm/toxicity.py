@@ -49,10 +49,11 @@ from .quality import label_sample
 MAX_TRAIN = 20_000
 THRESHOLD = 0.3
 MIN_SUPPORT = 8
-MIN_LOG_ODDS = 3.0
+MIN_LOG_ODDS = 2.5
 MIN_EXPLAINED = 3  # distinct toxic texts that a further stem must explain
-CLEAN_COST = 8  # texts a stem must explain for each clean row it occurs in
+CLEAN_COST = 5  # texts a stem must explain for each clean row it occurs in
 STEM_LENGTHS = (4, 5, 6)
+RECURRENCES = (2, 3)  # "s@n": a stem that marks toxicity only where n words share it
 
 # Word lists of the grammar (English, German, French, Spanish).
 INSULTS = """idiot moron stupid loser scum trash worthless pathetic disgusting clown
@@ -125,15 +126,26 @@ def compose(symbols: list[int]) -> list[int]:
     return found
 
 
+WEAK = 16  # class of the first stem that must recur
+
+
 class Lexicon:
-    """Word classes: fixed lists, and insult stems by their length."""
+    """Word classes: fixed lists, and insult stems by their length. A stem
+    "s@n" makes an insult of the words that begin with s in a text that has
+    at least n of them."""
 
     def __init__(self, stems: list[str] = ()):
         fixed = [(INSULTS, INSULT), (THREATS, THREAT), (ANNOUNCE, WILL), (TARGETS, TARGET),
                  (NEGATIONS, NEGATION), (REPORTS, REPORT)]
         self.words = {w: c for ws, c in fixed for w in ws}
-        self.stems = frozenset(stems)
-        self.lengths = sorted({len(s) for s in stems})
+        self.stems = frozenset(s for s in stems if "@" not in s)
+        self.weak, self.least = {}, []
+        for s in sorted(s for s in stems if "@" in s):
+            stem, n = s.split("@")
+            if stem not in self.weak and stem not in self.stems:
+                self.weak[stem] = WEAK + len(self.least)
+                self.least.append(int(n))
+        self.lengths = sorted({len(s) for s in (*self.stems, *self.weak)})
         self._seen: dict[str, int] = {}
 
     def __getstate__(self):
@@ -147,6 +159,8 @@ class Lexicon:
                 c = QUOTE
             elif any(token[:n] in self.stems for n in self.lengths):
                 c = INSULT
+            elif c == OTHER:
+                c = next((self.weak[token[:n]] for n in self.lengths if token[:n] in self.weak), c)
             if len(self._seen) > 200_000:
                 self._seen.clear()
             self._seen[token] = c
@@ -156,13 +170,12 @@ class Lexicon:
 def clause_counts(text: str | None, lexicon: Lexicon) -> np.ndarray:
     """Matched clauses of a text by type."""
     out = np.zeros(N_TYPES)
-    clause, core = [], False
+    clauses, clause, core, weak = [], [], False, None
     seen, of = lexicon._seen, lexicon.of
     for token in _TOKEN.findall((text or "").lower()):
         if token in _BREAK:
             if core:
-                for k in compose(clause):
-                    out[k] += 1
+                clauses.append(clause)
             clause, core = [], False
             continue
         c = seen.get(token)
@@ -171,8 +184,17 @@ def clause_counts(text: str | None, lexicon: Lexicon) -> np.ndarray:
         clause.append(c)
         if c == INSULT or c == THREAT:
             core = True
+        elif c >= WEAK:
+            core = True
+            weak = weak or Counter()
+            weak[c] += 1
     if core:
-        for k in compose(clause):
+        clauses.append(clause)
+    if weak:
+        enough = {c: INSULT if n >= lexicon.least[c - WEAK] else OTHER for c, n in weak.items()}
+        clauses = [[enough.get(c, c) for c in x] for x in clauses]
+    for x in clauses:
+        for k in compose(x):
             out[k] += 1
     return out
 
@@ -202,8 +224,8 @@ def default_weights() -> tuple[np.ndarray, float]:
     w = np.zeros(N_FEATURES)
     for k in range(N_TYPES):
         directed, negated, reported = k >> 2 & 1, k >> 1 & 1, k & 1
-        w[k] = (2.0 + directed) * (0.3 if negated else 1) * (0.3 if reported else 1)
-    w[N_TYPES], w[N_TYPES + 1] = 1.0, 1.0
+        w[k] = (6.0 + 3.0 * directed) * (0.3 if negated else 1) * (0.3 if reported else 1)
+    w[N_TYPES], w[N_TYPES + 1] = 1.5, 1.0
     return w, -3.0
 
 
@@ -235,8 +257,13 @@ def _stems(token: str):
 
 
 def _stem_sets(text: str | None) -> set[str]:
-    return {s for w in {t for t in _TOKEN.findall((text or "").lower()) if t not in _BREAK and t not in _QUOTES}
-            for s in _stems(w)}
+    """Stems of the words of a text, with "@n" where n words share one."""
+    words = Counter(t for t in _TOKEN.findall((text or "").lower()) if t not in _BREAK and t not in _QUOTES)
+    n = Counter()
+    for w, k in words.items():
+        for s in _stems(w):
+            n[s] += k
+    return {s for s in n} | {f"{s}@{m}" for s, k in n.items() for m in RECURRENCES if k >= m}
 
 
 def _count_stems(batches):
@@ -283,7 +310,9 @@ def learn_stems(rows: DataFrame, min_support: int = MIN_SUPPORT, min_log_odds: f
     chosen: list[str] = []
     # the second cover finds the stems that mostly occur beside a chosen one
     for need in (min_explained, 5 * min_explained):
-        chosen += _cover([h - set(chosen) for h in held], clean, need)
+        bare = [c.split("@")[0] for c in chosen]
+        new = {s for s in wanted if not any(s.startswith(c) or c.startswith(s.split("@")[0]) for c in bare)}
+        chosen += _cover([h & new for h in held], clean, need)
     return chosen
 
 
@@ -292,7 +321,7 @@ def _cover(held: list, clean: dict, need: int) -> list[str]:
     left = Counter(s for h in held for s in h)
     chosen = []
     while left:
-        best = max(left, key=lambda s: (left[s] - CLEAN_COST * clean[s], len(s), s))
+        best = max(left, key=lambda s: (left[s] - CLEAN_COST * clean[s], "@" not in s, len(s), s))
         if left[best] - CLEAN_COST * clean[best] < need:
             break
         chosen.append(best)
