@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import hash128
+from .common import hash128, saved
 
 MIN_CHARS = 10
 _SPACE = " \t\n\x0b\x0c\r"
@@ -57,9 +57,10 @@ def keep_bitmaps(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                  .withColumn("key", line_key(F.col("line")))
                  .where(F.char_length("key") >= min_chars))
     h1, h2 = hash128(F.col("key"))
-    ranged = cut_lineage(lines.select(h1.alias("h1"), h2.alias("h2"), "doc_id", "row_key", "pos")
-                              .repartitionByRange(*at).sortWithinPartitions(*at)
-                              .withColumn("pid", F.spark_partition_id()))
+    # written first: range partitioning samples its input before it reads it
+    hashed = saved(lines.select(h1.alias("h1"), h2.alias("h2"), "doc_id", "row_key", "pos"))
+    ranged = cut_lineage(hashed.repartitionByRange(*at).sortWithinPartitions(*at)
+                               .withColumn("pid", F.spark_partition_id()))
     stream = Window.partitionBy("pid", "h1", "h2").orderBy("doc_id", "row_key", "pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumn("first", F.first("doc_id").over(stream))
