@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .profile import numeric_columns
@@ -17,9 +17,9 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
               .groupBy(a, b).agg(F.count(F.lit(1)).alias("n")))
 
 
-def crosstab_wide(df: DataFrame, a: str, b: str, values=None) -> DataFrame:
-    """Wide form: one column per value of ``b`` (Spark caps pivot values at
-    ``spark.sql.pivotMaxValues``), zeros for empty cells."""
+def crosstab_wide(df: DataFrame, a: str, b: str, values) -> DataFrame:
+    """Wide form: one column per given value of ``b`` (the caller names them,
+    as they make the schema), zeros for empty cells."""
     ct = crosstab(df, a, b)
     pv = ct.groupBy(a).pivot(b, values).agg(F.first("n"))
     return pv.na.fill(0)
@@ -74,9 +74,17 @@ def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
         F.col("n") * (F.least("n_rows", "n_cols") - 1))).alias("cramers_v"))
 
 
+def _corr(x: str, y: str) -> Column:
+    """Pearson correlation over rows where both are present; null where one
+    of them has no spread (pandas: NaN)."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    dev = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), dev)
+
+
 def corr_pair(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation over rows where both are present."""
-    return df.agg(F.corr(x, y).alias("corr"))
+    return df.agg(_corr(x, y).alias("corr"))
 
 
 def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
@@ -85,13 +93,14 @@ def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
     distinct pairs."""
     cols = cols or numeric_columns(df)
     pairs = list(combinations(cols, 2))
-    one = df.agg(*[F.corr(x, y).alias(f"{i}") for i, (x, y) in enumerate(pairs)])
+    one = df.agg(*[_corr(x, y).alias(f"{i}") for i, (x, y) in enumerate(pairs)],
+                 *[F.when(F.stddev_pop(c) > 0, F.lit(1.0)).alias(f"d{i}") for i, c in enumerate(cols)])
     entries = []
     for i, (x, y) in enumerate(pairs):
         entries.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"{i}").alias("corr")))
         entries.append(F.struct(F.lit(y).alias("a"), F.lit(x).alias("b"), F.col(f"{i}").alias("corr")))
-    for c in cols:
-        entries.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("corr")))
+    for i, c in enumerate(cols):
+        entries.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"d{i}").alias("corr")))
     return one.select(F.inline(F.array(*entries)))
 
 

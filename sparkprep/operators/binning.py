@@ -29,9 +29,15 @@ def bin_boundaries(df: DataFrame, col: str, k: int) -> DataFrame:
 
 def textbook_bin(x: Column, lo: Column, w: Column, k: int) -> Column:
     """Upper-inclusive equal-width bin: (lo + t w, lo + (t+1) w], the first
-    bin also holds the minimum; clamped to k-1."""
-    t = F.greatest(F.ceil((x - lo) / w) - 1, F.lit(0))
-    return F.least(F.coalesce(t, F.lit(0)), F.lit(k - 1)).cast("int")
+    bin also holds the minimum; clamped to k-1. A null has no bin; without
+    spread every value is in bin 0."""
+    t = F.coalesce(F.ceil(F.try_divide(x - lo, w)) - 1, F.lit(0))
+    return F.when(x.isNotNull(), F.least(F.greatest(t, F.lit(0)), F.lit(k - 1)).cast("int"))
+
+
+def _without_bin(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Rows whose value is null, with a null bin."""
+    return df.filter(F.col(col).isNull()).withColumn(out, F.lit(None).cast("int"))
 
 
 def equal_width_bins(df: DataFrame, col: str, k: int, mode: str = "textbook",
@@ -65,17 +71,19 @@ def equal_width_bins(df: DataFrame, col: str, k: int, mode: str = "textbook",
         "_t", F.min("_m").over(Window.orderBy("_t").rowsBetween(
             Window.unboundedPreceding, 0)).alias("_m"))
     ranked = global_rank(base, [col], "_rk")
-    return (ranked.join(F.broadcast(mins), "_t")
-                  .withColumn(out, F.coalesce(F.least(F.col("_t"), F.col("_rk") - 1 + F.col("_m")),
-                                              F.col("_t")).cast("int"))
-                  .drop("_t", "_rk", "_m"))
+    binned = (ranked.join(F.broadcast(mins), "_t")
+                    .withColumn(out, F.coalesce(F.least(F.col("_t"), F.col("_rk") - 1 + F.col("_m")),
+                                                F.col("_t")).cast("int"))
+                    .drop("_t", "_rk", "_m"))
+    return binned.unionByName(_without_bin(df, col, out))
 
 
 def smooth_by_mean(df: DataFrame, col: str, bin_col: str = "bin", out: str = "smoothed",
                    digits: int = 6) -> DataFrame:
     """Replace a value by its bin mean (rounded)."""
-    means = df.groupBy(bin_col).agg(F.round(F.avg(col), digits).alias(out))
-    return df.join(F.broadcast(means), bin_col)
+    means = df.groupBy(F.col(bin_col).alias("_b")).agg(F.round(F.avg(col), digits).alias(out))
+    # as many rows as bins; a bin column of any size is joined as AQE sees fit
+    return df.join(means, F.col(bin_col).eqNullSafe(F.col("_b"))).drop("_b")
 
 
 def smooth_width_boundary(df: DataFrame, col: str, k: int, bin_col: str = "bin",
@@ -92,22 +100,23 @@ def smooth_width_boundary(df: DataFrame, col: str, k: int, bin_col: str = "bin",
 
 def equal_depth_bins(df: DataFrame, col: str, k: int, out: str = "bin") -> DataFrame:
     """Chunks of ``n div k`` sorted values; a remainder opens extra bins
-    (so there can be more than k). Needs n >= k."""
+    (so there can be more than k). Needs n >= k. A null has no bin."""
     base = df.filter(F.col(col).isNotNull())
     ranked = global_rank(base, [col], "_rk")
     # the row count is the largest rank: read from the ranked (checkpointed)
     # rows instead of scanning the input again
     n = ranked.select(F.max("_rk")).scalar()
     size = F.greatest(F.floor(n / k), F.lit(1))
-    return ranked.withColumn(out, F.floor((F.col("_rk") - 1) / size).cast("int")).drop("_rk")
+    binned = ranked.withColumn(out, F.floor((F.col("_rk") - 1) / size).cast("int")).drop("_rk")
+    return binned.unionByName(_without_bin(df, col, out))
 
 
 def smooth_depth_boundary(df: DataFrame, col: str, bin_col: str = "bin",
                           out: str = "smoothed") -> DataFrame:
     """Replace a value by the nearer of its bin's min and max (tie -> min)."""
-    edges = df.groupBy(bin_col).agg(F.min(col).alias("_bmin"), F.max(col).alias("_bmax"))
+    edges = df.groupBy(F.col(bin_col).alias("_b")).agg(F.min(col).alias("_bmin"), F.max(col).alias("_bmax"))
     x = F.col(col)
-    return (df.join(F.broadcast(edges), bin_col)
+    return (df.join(edges, F.col(bin_col).eqNullSafe(F.col("_b")))
               .withColumn(out, F.when(F.abs(x - F.col("_bmin")) <= F.abs(x - F.col("_bmax")),
                                       F.col("_bmin")).otherwise(F.col("_bmax")))
-              .drop("_bmin", "_bmax"))
+              .drop("_b", "_bmin", "_bmax"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import nan_to_null
 from . import stats as S
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -130,7 +131,7 @@ def fill_median(df: DataFrame, cols, source: DataFrame | None = None) -> DataFra
 
 def fill_mode(df: DataFrame, cols, source: DataFrame | None = None) -> DataFrame:
     """Null -> most frequent value, lowest on ties (pandas ``mode().iloc[0]``);
-    a column with no values falls back to its median (numeric only)."""
+    a column with no values stays null (it has no median either)."""
     src = source if source is not None else df
     out = df
     for c in cols:
@@ -194,26 +195,25 @@ def column_profile(df: DataFrame, cols) -> DataFrame:
     """One row per column: rows, missing, completeness %, distinct values,
     mean, sample std, min, exact quartiles, max.
 
-    One aggregate pass computes every count and moment (the distinct counts
-    share it through Spark's expand rewrite); its single row also gives the
-    quantile selection the counts and ranges it needs, so the quartiles
-    cost one histogram pass and one small fetch. The result (one row per
-    column) is assembled on the driver."""
+    One table of distinct values with running counts gives the counts,
+    distinct counts, extremes and quartiles; one aggregate pass gives rows
+    and moments. NaN counts as missing. The result (one row per column) is
+    assembled on the driver."""
     spark = df.sparkSession
-    dcols = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in cols:
-        aggs += [F.count(c).alias(f"nn__{c}"), F.count_distinct(c).alias(f"nd__{c}"),
-                 F.avg(c).alias(f"mean__{c}"), F.stddev_samp(c).alias(f"std__{c}"),
-                 F.min(c).alias(f"min__{c}"), F.max(c).alias(f"max__{c}")]
-    one = dcols.agg(*aggs).first()
-    known = {c: (one[f"nn__{c}"], one[f"min__{c}"], one[f"max__{c}"]) for c in cols if one[f"nn__{c}"]}
-    q = {(r["column"], r["prob"]): r["value"]
-         for r in S.exact_quantiles(dcols, list(known), [0.25, 0.5, 0.75], known=known).collect()}
+    dcols = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    one = dcols.agg(F.count(F.lit(1)).alias("_rows"), *[x for c in cols for x in (
+        F.avg(c).alias(f"mean__{c}"), F.stddev_samp(c).alias(f"std__{c}"))]).first()
+    ranked = S.ranked_values(dcols, cols)
+    per = {r["column"]: r for r in ranked.groupBy("column").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
+    q = {(r["column"], r["prob"]): r["value"] for r in S.quantiles_of(ranked, [0.25, 0.5, 0.75]).collect()}
     n = one["_rows"]
-    rows = [(c, n, n - one[f"nn__{c}"], (one[f"nn__{c}"] * 100.0 / n) if n else None,
-             one[f"nd__{c}"], one[f"mean__{c}"], one[f"std__{c}"], one[f"min__{c}"],
-             q.get((c, 0.25)), q.get((c, 0.5)), q.get((c, 0.75)), one[f"max__{c}"]) for c in cols]
+    rows = []
+    for c in cols:
+        p = per.get(c)
+        k, d, lo, hi = (p["n"], p["d"], p["lo"], p["hi"]) if p else (0, 0, None, None)
+        rows.append((c, n, n - k, (k * 100.0 / n) if n else None, d, one[f"mean__{c}"], one[f"std__{c}"], lo,
+                     q.get((c, 0.25)), q.get((c, 0.5)), q.get((c, 0.75)), hi))
     return spark.createDataFrame(rows, "column string, n_rows long, n_missing long, completeness double, "
                                        "n_distinct long, mean double, std double, min double, q25 double, "
                                        "q50 double, q75 double, max double")

@@ -20,8 +20,14 @@ HASH_MOD = 1_000_003
 HASH_MULT = 2_654_435_761
 
 
+def _key_number(key: Column) -> Column:
+    """The key modulo P; a key that is no integer enters by its crc32."""
+    number = F.coalesce(key.try_cast("long"), F.crc32(key.cast("string").cast("binary")))
+    return F.pmod(number, F.lit(HASH_MOD))
+
+
 def key_hash(key: Column) -> Column:
-    return F.pmod(F.pmod(key.cast("long"), F.lit(HASH_MOD)) * F.lit(HASH_MULT), F.lit(HASH_MOD))
+    return F.pmod(_key_number(key) * F.lit(HASH_MULT), F.lit(HASH_MOD))
 
 
 def sample_frac(df: DataFrame, key: str, frac: float) -> DataFrame:
@@ -33,20 +39,27 @@ def sample_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(key_hash(F.col(key)), F.col(key)).limit(n)
 
 
-def poisson1_cdf(terms: int = 12) -> list[float]:
-    """Cumulative probabilities of Poisson(1) for 0..terms-1."""
+def poisson1_cdf(tail: float = 1e-18) -> list[float]:
+    """Cumulative probabilities of Poisson(1), until the rest is under
+    ``tail``."""
     import math
-    cdf, acc = [], 0.0
-    for j in range(terms):
-        acc += math.exp(-1) / math.factorial(j)
+    cdf, acc, j = [], 0.0, 0
+    while True:
+        p = math.exp(-1) / math.factorial(j)
+        acc += p
         cdf.append(acc)
-    return cdf
+        j += 1
+        if p < tail:
+            return cdf
 
 
 def seeded_uniform(key: Column, seed: int) -> Column:
-    """A uniform in [0, 1) from (key, seed) with the portable key hash."""
-    shifted = F.pmod(F.pmod(key.cast("long"), F.lit(HASH_MOD)) + F.lit(seed), F.lit(HASH_MOD))
-    return key_hash(shifted) / F.lit(float(HASH_MOD))
+    """A uniform in [0, 1) from (key, seed) with the portable key hash. The
+    seed picks its own multiplier, so draws for different seeds are not
+    shifted copies of one draw."""
+    mult = HASH_MULT + 2 * (seed * 40_503 % HASH_MOD)
+    h = F.pmod((_key_number(key) + F.lit(seed)) * F.lit(mult), F.lit(HASH_MOD))
+    return F.pmod(h * F.lit(HASH_MULT) + F.lit(seed), F.lit(HASH_MOD)) / F.lit(float(HASH_MOD))
 
 
 def bootstrap(df: DataFrame, key: str, seed: int = 0) -> DataFrame:

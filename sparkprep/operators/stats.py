@@ -1,10 +1,10 @@
 """Scalar statistics as distributed jobs.
 
 Exact quantiles: Spark's ``percentile``/``median``/``mode`` aggregates keep
-a map of every distinct value in one final task. Here the values are
-range-sorted across all tasks (``global_rank``) and only the two rows that
-bracket each requested position are picked out, then interpolated
-linearly (``lo + (hi - lo) * frac``, position ``q * (n - 1)``), as pandas,
+a map of every distinct value in one final task. Here the distinct values
+are counted, range-sorted across all tasks with running counts, and only the
+two rows that bracket each requested position are picked out, then
+interpolated linearly (``lo + (hi - lo) * frac``, position ``q * (n - 1)``), as pandas,
 numpy and SQL ``quantile_cont`` do.
 """
 
@@ -25,125 +25,56 @@ def fetch_row(agg: DataFrame) -> dict:
 
 
 def to_long(df: DataFrame, cols, by=(), value_type: str = "double") -> DataFrame:
-    """Unpivot ``cols`` into ``(by..., column, value)`` rows, nulls dropped."""
+    """Unpivot ``cols`` into ``(by..., column, value)`` rows; nulls and NaN
+    (pandas' missing value) are dropped."""
     by = list(by)
     packed = F.array(*[F.struct(F.lit(c).alias("column"),
                                 F.col(c).cast(value_type).alias("value")) for c in cols])
-    return (df.select(*by, F.inline(packed))
-              .filter(F.col("value").isNotNull()))
+    present = F.col("value").isNotNull()
+    if value_type in ("double", "float"):
+        present = present & ~F.isnan("value")
+    return df.select(*by, F.inline(packed)).filter(present)
 
 
-SELECT_BUCKETS = 4096
-SELECT_FETCH = 50_000
+def ranked_values(df: DataFrame, cols) -> DataFrame:
+    """``(column, value, n, cum)``: the distinct values of every column with
+    their counts and the number of values up to and including each.
 
+    The counts are one partial/final aggregate over the unpivoted columns;
+    the running sum is a segmented scan over range partitions. One table
+    answers distinct counts, extremes and any quantile, for any values
+    (infinities and values of very different size included)."""
+    from .scan import grouped_scan
+    counts = to_long(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return grouped_scan(counts, ["column"], ["value"], {"cum": ("sum", "n")})
 
-def exact_quantiles(df: DataFrame, cols, probs, by=(), known: dict | None = None) -> DataFrame:
-    """``(by..., column, prob, value)`` for every column and probability.
 
-    Without grouping keys the values are found by distributed selection
-    (``_select``): no sort of the data, a handful of scans. ``known`` may
-    pass per-column ``(non-null count, min, max)`` already computed by the
-    caller, which saves the first pass. With grouping keys (an unbounded
-    number of groups) a distributed rank is used."""
+def exact_quantiles(df: DataFrame, cols, probs, by=()) -> DataFrame:
+    """``(by..., column, prob, value)`` for every column and probability;
+    columns without a value give no rows. With grouping keys (an unbounded
+    number of groups) the rows themselves are ranked."""
     if not by:
-        return _select(df, cols, probs, known)
+        return quantiles_of(ranked_values(df, cols), probs)
     return _ranked_quantiles(df, cols, probs, by)
 
 
-def _select(df: DataFrame, cols, probs, known: dict | None = None) -> DataFrame:
-    """Exact order statistics by histogram refinement.
-
-    Every wanted 0-based rank r lives in an interval [lo, hi] of values
-    with ``below`` values under lo. One pass counts the values of each
-    active interval in ``SELECT_BUCKETS`` equal-width buckets (count, min,
-    max per bucket, a partial aggregate); the bucket holding r becomes the
-    new interval [bucket min, bucket max]. A target is done when its
-    interval holds one distinct value, or few enough values
-    (``SELECT_FETCH``) to be sorted inside one aggregate. The interval
-    table is bounded by columns x probabilities x 2, so it is broadcast;
-    the loop state on the driver has the same bound.
-    """
-    spark = df.sparkSession
-    long = to_long(df, cols)
-    if known is not None:
-        st = {c: {"n": n, "lo": lo, "hi": hi} for c, (n, lo, hi) in known.items()}
-    else:
-        st = {r["column"]: r for r in long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
-    targets = {}  # (column, rank) -> [lo, hi, below, value]
-    for c in cols:
-        if c not in st or st[c]["n"] == 0:
-            continue
-        n = st[c]["n"]
-        for p in probs:
-            pos = p * (n - 1)
-            for r in {int(pos // 1), int(-(-pos // 1))}:
-                targets[(c, r)] = [st[c]["lo"], st[c]["hi"], 0, None]
-    # target state: [lo, hi, below, value, size]; size = values in [lo, hi]
-    for (c, _), t in targets.items():
-        t.append(st[c]["n"])
-    ivs = "column string, lo double, hi double"
-    while True:
-        for t in targets.values():
-            if t[3] is None and t[0] == t[1]:
-                t[3] = t[0]
-        want = {}
-        for (c, r), t in targets.items():
-            if t[3] is None and t[4] <= SELECT_FETCH:
-                want.setdefault((c, t[0], t[1]), set()).add(r - t[2])
-        if want:
-            # one job sorts the values of every small interval (each holds at
-            # most SELECT_FETCH values) and returns only the wanted positions
-            fv = spark.createDataFrame([(c, lo, hi, sorted(o)) for (c, lo, hi), o in sorted(want.items())],
-                                       ivs + ", offs array<long>")
-            got = (long.join(F.broadcast(fv), "column")
-                       .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-                       .groupBy("column", "lo", "hi", "offs")
-                       .agg(F.array_sort(F.collect_list("value")).alias("_vs"))
-                       .select("column", "lo", "hi", "offs",
-                               F.transform("offs", lambda o: F.element_at("_vs", (o + 1).cast("int"))).alias("vs"))
-                       .collect())
-            vals = {(r["column"], r["lo"], r["hi"]): dict(zip(r["offs"], r["vs"])) for r in got}
-            for (c, r), t in targets.items():
-                k = (c, t[0], t[1])
-                if t[3] is None and k in vals:
-                    t[3] = vals[k][r - t[2]]
-        active = {(c, t[0], t[1]) for (c, _), t in targets.items() if t[3] is None}
-        if not active:
-            break
-        # one job: equal-width histogram (count, min, max per bucket) of every large interval
-        iv = spark.createDataFrame(sorted(active), ivs)
-        b = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SELECT_BUCKETS),
-                    F.lit(SELECT_BUCKETS - 1)).cast("int")
-        hist = (long.join(F.broadcast(iv), "column")
-                    .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-                    .withColumn("b", b).groupBy("column", "lo", "hi", "b")
-                    .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("bmin"),
-                         F.max("value").alias("bmax")).collect())
-        per = {}
-        for r in hist:
-            per.setdefault((r["column"], r["lo"], r["hi"]), []).append((r["b"], r["n"], r["bmin"], r["bmax"]))
-        for (c, r), t in targets.items():
-            k = (c, t[0], t[1])
-            if t[3] is not None or k not in per:
-                continue
-            acc = t[2]
-            for _, n, bmin, bmax in sorted(per[k]):
-                if r < acc + n:
-                    t[0], t[1], t[2], t[4] = bmin, bmax, acc, n
-                    break
-                acc += n
-    out = []
-    for c in cols:
-        if c not in st or st[c]["n"] == 0:
-            continue
-        n = st[c]["n"]
-        for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = int(pos // 1), int(-(-pos // 1))
-            vlo, vhi = targets[(c, lo_r)][3], targets[(c, hi_r)][3]
-            out.append((c, float(p), vlo + (vhi - vlo) * (pos - lo_r)))
-    return spark.createDataFrame(out, "column string, prob double, value double")
+def quantiles_of(ranked: DataFrame, probs) -> DataFrame:
+    """Quantiles from ``ranked_values``: the value at 0-based rank r is the
+    one with cum - n <= r < cum. The wanted ranks are columns x
+    probabilities rows, so they are broadcast and the table is streamed."""
+    pos = F.col("prob") * (F.col("total") - 1)
+    want = (ranked.groupBy("column").agg(F.sum("n").alias("total"))
+                  .select("column", "total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+                  .select("column", "prob", F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"),
+                          (pos - F.floor(pos)).alias("frac")))
+    first = F.col("cum") - F.col("n")
+    at = lambda r: F.max(F.when((first <= F.col(r)) & (F.col(r) < F.col("cum")), F.col("value")))
+    got = (ranked.join(F.broadcast(want), "column")
+                 .filter((first <= F.col("hi")) & (F.col("lo") < F.col("cum")))
+                 .groupBy("column", "prob", "frac").agg(at("lo").alias("vlo"), at("hi").alias("vhi")))
+    # equal ends are not interpolated: inf - inf would be NaN
+    return got.select("column", "prob", F.when(F.col("vlo") == F.col("vhi"), F.col("vlo")).otherwise(
+        F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("value"))
 
 
 def _ranked_quantiles(df: DataFrame, cols, probs, by) -> DataFrame:

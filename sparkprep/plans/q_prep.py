@@ -281,7 +281,8 @@ def _bootstrap_sql():
 WITH r AS (SELECT o_orderkey, o_totalprice,
                   CASE {cases} ELSE {len(cdf)} END AS reps
            FROM (SELECT o_orderkey, o_totalprice,
-                        ((((o_orderkey % 1000003) + 7) % 1000003) * 2654435761 % 1000003) / 1000003.0 AS u
+                        ((((o_orderkey % 1000003) + 7) * {SP.HASH_MULT + 2 * (7 * 40_503 % SP.HASH_MOD)} % 1000003)
+                          * 2654435761 + 7) % 1000003 / 1000003.0 AS u
                  FROM orders))
 SELECT o_orderkey, o_totalprice, CAST(unnest(range(1, reps + 1)) AS INTEGER) AS _copy FROM r WHERE reps > 0
 """

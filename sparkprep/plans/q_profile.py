@@ -478,9 +478,8 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     f"count(*) FILTER (WHERE o_orderpriority = '{v}') AS \"{v}\"" for v in _PRIORITIES)
     + " FROM orders GROUP BY o_orderstatus")
 def q_crosstab_wide(spark, sf):
-    """Wide contingency table: one column per priority (Spark pivot, whose
-    value list is found by a distinct pass and capped by pivotMaxValues)."""
-    return A.crosstab_wide(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+    """Wide contingency table: one column per named priority."""
+    return A.crosstab_wide(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", _PRIORITIES)
 
 
 _CHI_SQL = """

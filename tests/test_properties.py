@@ -7,8 +7,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from sparkprep.operators import association as A
 from sparkprep.operators import binning as B
+from sparkprep.operators import distribution as D
 from sparkprep.operators import index as IX
+from sparkprep.operators import profile as P
+from sparkprep.operators import scaling as SC
 from sparkprep.operators import stats as S
 from sparkprep.operators.ordering import global_rank
 
@@ -28,17 +32,40 @@ def test_exact_quantiles_equal_numpy(spark, xs):
         assert got[p] == pytest.approx(float(np.quantile(xs, p)), rel=1e-12, abs=1e-9)
 
 
-def test_exact_quantiles_refine_past_the_fetch_bound(spark, monkeypatch):
-    monkeypatch.setattr(S, "SELECT_FETCH", 7)
-    monkeypatch.setattr(S, "SELECT_BUCKETS", 4)
+def test_exact_quantiles_with_a_hot_value(spark):
     rng = np.random.default_rng(3)
-    xs = np.concatenate([rng.normal(size=300), np.full(200, 0.25)]).tolist()  # a hot value
+    xs = np.concatenate([rng.normal(size=300), np.full(200, 0.25)]).tolist()
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     got = {r["prob"]: r["value"] for r in S.exact_quantiles(df, ["x"], [0.3, 0.5, 0.9]).collect()}
     for p, v in got.items():
         assert v == pytest.approx(float(np.quantile(xs, p)))
 
 
+def test_quantiles_with_nan_and_infinity(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(x, 5.0, None) for x in [1.0, nan, 2.0, 3.0, inf, -1e308, 1e308, None]],
+                               "x double, c double, z double")
+    got = {(r["column"], r["prob"]): r["value"] for r in S.exact_quantiles(df, ["x", "c", "z"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {("x", 0.0): -1e308, ("x", 0.5): 2.5, ("x", 1.0): inf, ("c", 0.0): 5.0, ("c", 0.5): 5.0, ("c", 1.0): 5.0}
+    prof = {r["column"]: r for r in P.column_profile(df, ["x", "c", "z"]).collect()}
+    assert (prof["x"]["n_missing"], prof["x"]["n_distinct"], prof["x"]["q50"]) == (2, 6, 2.5)
+    assert (prof["z"]["n_missing"], prof["z"]["n_distinct"], prof["z"]["q50"]) == (8, 0, None)
+
+
+def test_constant_and_null_columns(spark):
+    df = spark.createDataFrame([(k, 5.0, float(k) if k else None) for k in range(4)], "k int, c double, x double")
+    for out in (SC.minmax(df, ["c"]), SC.zscore(df, ["c"], 0), SC.zscore(df, ["c"], 1), SC.robust(df, ["c"])):
+        assert [r["c"] for r in out.collect()] == [None] * 4
+    assert {r["bin"] for r in B.equal_width_bins(df, "c", 3).collect()} == {0}
+    for out in (B.equal_width_bins(df, "x", 3), B.equal_width_bins(df, "x", 3, mode="cursor"), B.equal_depth_bins(df, "x", 3)):
+        assert {r["k"]: r["bin"] for r in out.collect()} == {0: None, 1: 0, 2: 1, 3: 2} or \
+            {r["k"]: r["bin"] for r in out.collect()} == {0: None, 1: 0, 2: 1, 3: 1}
+    cm = {(r["a"], r["b"]): r["corr"] for r in A.corr_matrix(df, ["c", "x"]).collect()}
+    assert cm == {("c", "c"): None, ("x", "x"): 1.0, ("c", "x"): None, ("x", "c"): None}
+    assert [r["n"] for r in D.histogram(df, "c", 4).orderBy("bin").collect()] == [0, 0, 0, 4]
+    assert {r["density"] for r in D.kde(df, "c", 10).collect()} == {None}
+
+
 @SETTINGS
 @given(xs=values)
 def test_global_rank_orders_like_a_sort(spark, xs):
