@@ -120,8 +120,10 @@ def pmi(df: DataFrame, x: str, y: str) -> DataFrame:
     from ..session import cut_lineage
     # the (x, y) counts feed three branches: materialise them once
     xy = cut_lineage(df.groupBy(x, y).agg(F.count(F.lit(1)).alias("_nxy")))
-    nx = xy.groupBy(x).agg(F.sum("_nxy").alias("_nx"))
-    ny = xy.groupBy(y).agg(F.sum("_nxy").alias("_ny"))
+    # materialised marginals: plain scans on both sides of the joins, so a
+    # value that occurs with most others is split over several tasks
+    nx = cut_lineage(xy.groupBy(x).agg(F.sum("_nxy").alias("_nx")))
+    ny = cut_lineage(xy.groupBy(y).agg(F.sum("_nxy").alias("_ny")))
     n = xy.select(F.sum("_nxy")).scalar()
     j = xy.join(nx, x).join(ny, y)
     return j.select(x, y, F.log((F.col("_nxy") / n) / ((F.col("_nx") / n) * (F.col("_ny") / n)))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from .ordering import global_rank
 
-MAX_CATEGORIES = 10_000
-
 
 def label_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
     """Table ``(value, index)``: 0-based alphabetical index of the distinct
@@ -33,20 +31,24 @@ def label_decode(df: DataFrame, index_col: str, index: DataFrame, out: str) -> D
                    index_col, "left")
 
 
-def categories(df: DataFrame, col: str, cap: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct values; the one-hot schema depends on them, so they
-    are fetched to the driver, refusing more than ``cap``."""
-    vals = (df.select(col).filter(F.col(col).isNotNull()).distinct()
-              .orderBy(col).limit(cap + 1).collect())
-    if len(vals) > cap:
-        raise ValueError(f"{col}: more than {cap} categories")
-    return [r[0] for r in vals]
+def onehot_sparse(df: DataFrame, col: str, index: DataFrame | None = None, out: str | None = None) -> DataFrame:
+    """One-hot code of any number of categories as two columns: the position
+    ``<out>`` of the 1 (0-based, the alphabetically first category dropped:
+    null) and the ``<out>_size`` of the vector. A join with the index table;
+    nothing is fetched."""
+    out = out or f"{col}_hot"
+    index = index if index is not None else label_index(df, col)
+    size = index.select(F.greatest(F.count(F.lit(1)) - 1, F.lit(0))).scalar()
+    coded = label_encode(df, col, f"{out}_i", index)
+    return coded.select(*df.columns, F.when(F.col(f"{out}_i") > 0, F.col(f"{out}_i") - 1).alias(out),
+                        size.alias(f"{out}_size"))
 
 
-def onehot_drop_first(df: DataFrame, col: str, cats=None, keep_source: bool = False) -> DataFrame:
-    """Dense 0/1 columns ``<col>_<value>`` for every category except the
-    alphabetically first (scikit-learn ``drop='first'``, ``sparse=False``)."""
-    cats = cats if cats is not None else categories(df, col)
+def onehot_drop_first(df: DataFrame, col: str, cats, keep_source: bool = False) -> DataFrame:
+    """Dense 0/1 columns ``<col>_<value>`` for every given category except
+    the first (scikit-learn ``drop='first'``, ``sparse=False``). The caller
+    names the categories, as they make the schema; ``onehot_sparse`` takes
+    any."""
     out = df.select("*", *[(F.col(col) == F.lit(v)).cast("double").alias(f"{col}_{v}")
                            for v in cats[1:]])
     return out if keep_source else out.drop(col)

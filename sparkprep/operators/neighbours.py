@@ -2,9 +2,8 @@
 normalised name, reverse by great-circle distance) and k-nearest-neighbour
 classification.
 
-A reference table is only shipped to every row as an array scalar after its
-row count has been checked against ``max_inline``; larger reference tables
-take a partitioned path (equi-join on a blocking key).
+One plan for every size: reference tables are met by equi-joins on a blocking
+key (latitude bands) or block by block (k-NN), never shipped whole.
 """
 
 from __future__ import annotations
@@ -14,10 +13,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import vectors as V
+from ..session import cut_lineage
 
 EARTH_KM = 6371.0
-MAX_INLINE = 10_000
+BLOCK_BYTES = 8 << 20
 DIST_DIGITS = 6
 
 
@@ -41,31 +40,15 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return 2 * EARTH_KM * F.asin(F.sqrt(a))
 
 
-def geocode_reverse(points: DataFrame, lat: str, lng: str, gazetteer: DataFrame,
-                    name: str = "name", glat: str = "lat", glng: str = "lng",
-                    max_inline: int = MAX_INLINE) -> DataFrame:
-    """Nearest gazetteer place by great-circle distance (rounded distance,
-    then name, decide ties). Adds ``place`` and ``distance_km``."""
-    n = gazetteer.count()
-    if n > max_inline:
-        return _geocode_reverse_blocked(points, lat, lng, gazetteer, name, glat, glng)
-    places = gazetteer.select(F.array_sort(F.collect_list(F.struct(
-        F.col(name).alias("name"), F.col(glat).cast("double").alias("lat"),
-        F.col(glng).cast("double").alias("lng"))))).scalar()
-    points_c = points.withColumn("_places", places)
-    cand = F.transform(F.col("_places"), lambda p: F.struct(
-        F.round(haversine_km(F.col(lat), F.col(lng), p["lat"], p["lng"]), DIST_DIGITS).alias("d"),
-        p["name"].alias("place")))
-    best = F.array_min(cand)
-    return points_c.withColumn("_b", best).select(
-        *points.columns, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
-
-
 KM_PER_DEG_LAT = EARTH_KM * math.pi / 180
 
 
-def _geocode_reverse_blocked(points, lat, lng, gazetteer, name, glat, glng, cell_deg: float = 1.0):
-    """Exact nearest place for gazetteers too large to inline.
+def geocode_reverse(points: DataFrame, lat: str, lng: str, gazetteer: DataFrame, name: str = "name",
+                    glat: str = "lat", glng: str = "lng", cell_deg: float = 1.0) -> DataFrame:
+    """Nearest gazetteer place by great-circle distance (rounded distance,
+    then name, decide ties). Adds ``place`` and ``distance_km``; every point
+    row gives one row, repeated ones too; a point without coordinates, or an
+    empty gazetteer, gives nulls.
 
     Places are keyed by a latitude band of ``cell_deg`` degrees (an
     equi-join key). Pass 1 compares each point with the places of its own
@@ -79,97 +62,69 @@ def _geocode_reverse_blocked(points, lat, lng, gazetteer, name, glat, glng, cell
     band = lambda c: F.floor((F.col(c) + 90) / cell_deg).cast("int")
     g = gazetteer.select(F.col(name).alias("place"), F.col(glat).cast("double").alias("_glat"),
                          F.col(glng).cast("double").alias("_glng"), band(glat).alias("_band"))
-    keys = points.columns
-    pts = points.withColumn("_pband", band(lat))
-    d = F.round(haversine_km(F.col(lat), F.col(lng), F.col("_glat"), F.col("_glng")), DIST_DIGITS)
-
-    near = pts.withColumn("_band", F.explode(F.array(F.col("_pband") - 1, F.col("_pband"),
-                                                     F.col("_pband") + 1)))
-    first = (near.join(g, "_band").groupBy(*keys).agg(F.min(d).alias("_d1")))
-    bounded = pts.join(first, keys, "left")
+    # the row number is fixed by a checkpoint, so every pass sees the same one
+    pts = cut_lineage(points.withColumn("_rid", F.monotonically_increasing_id()))
+    at = pts.select("_rid", F.col(lat).alias("_lat"), F.col(lng).alias("_lng"), band(lat).alias("_pband")
+                    ).where(F.col("_lat").isNotNull() & F.col("_lng").isNotNull())
+    d = F.round(haversine_km(F.col("_lat"), F.col("_lng"), F.col("_glat"), F.col("_glng")), DIST_DIGITS)
+    near = at.withColumn("_band", F.explode(F.array(F.col("_pband") - 1, F.col("_pband"), F.col("_pband") + 1)))
+    first = near.join(g, "_band").groupBy("_rid").agg(F.min(d).alias("_d1"))
+    bounded = at.join(first, "_rid", "left")
     span = F.when(F.col("_d1").isNull(), F.lit(n_bands)).otherwise(
         F.ceil(F.col("_d1") / (KM_PER_DEG_LAT * cell_deg)).cast("int") + 1)
     window = bounded.withColumn("_band", F.explode(F.sequence(
         F.greatest(F.col("_pband") - span, F.lit(0)), F.least(F.col("_pband") + span, F.lit(n_bands)))))
-    best = window.join(g, "_band").groupBy(*keys).agg(F.min(F.struct(d.alias("d"), F.col("place"))).alias("_b"))
-    return best.select(*keys, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
+    best = window.join(g, "_band").groupBy("_rid").agg(F.min(F.struct(d.alias("d"), F.col("place"))).alias("_b"))
+    return pts.join(best, "_rid", "left").select(
+        *points.columns, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
+
 
+def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, vec: str, label: str, k: int = 3,
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Brute-force k nearest neighbours by Euclidean distance, majority vote
+    (count desc, label asc): ``(qkey, pred, votes)``.
 
-def _knn_inline(q: DataFrame, tr: DataFrame, qkey: str, k: int) -> DataFrame:
-    """k nearest training rows for every query row, vectorised with numpy
-    inside the query partitions (``mapInPandas``). The training block was
-    size-checked by the caller, so it is broadcast once. Squared differences
-    are summed left to right (``cumsum``) and distances rounded to 9 places,
-    so ties resolve exactly as in the SQL definition (distance, label)."""
+    Both sides are dealt into blocks of about ``block_bytes``; a task holds
+    one block of queries and one of the training set, computes their
+    distances in numpy and keeps k per query, and a last top-k merges the
+    blocks. Distances are summed left to right and rounded to 9 places, so
+    ties resolve alike at every size: (distance, label)."""
     import numpy as np
     import pandas as pd
 
-    rows = tr.collect()
-    spark = q.sparkSession
-    if not rows:
-        return spark.createDataFrame([], f"{qkey} {dict(q.dtypes)[qkey]}, d double, y {dict(tr.dtypes)['y']}")
-    bc = spark.sparkContext.broadcast((np.array([r["v"] for r in rows], dtype=np.float64),
-                                       np.array([r["y"] for r in rows])))
-    key_type, y_type = dict(q.dtypes)[qkey], dict(tr.dtypes)["y"]
-
-    def score(batches):
-        x, y = bc.value
-        order_y = y
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            qs = np.stack(pdf["_q"].to_numpy()).astype(np.float64)
-            out_k, out_d, out_y = [], [], []
-            step = max(1, int(2_000_000 // max(1, x.size)))
-            for s0 in range(0, len(qs), step):
-                diff = qs[s0:s0 + step, None, :] - x[None, :, :]
-                d = np.round(np.sqrt(np.cumsum(diff * diff, axis=2)[:, :, -1]), 9)
-                for i in range(d.shape[0]):
-                    idx = np.lexsort((order_y, d[i]))[:k]
-                    out_k += [pdf[qkey].iat[s0 + i]] * len(idx)
-                    out_d += d[i, idx].tolist()
-                    out_y += order_y[idx].tolist()
-            yield pd.DataFrame({qkey: out_k, "d": out_d, "y": out_y})
-
-    return q.mapInPandas(score, f"{qkey} {key_type}, d double, y {y_type}")
-
-
-def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, vec: str, label: str,
-                 k: int = 3, max_inline: int = MAX_INLINE) -> DataFrame:
-    """Brute-force k nearest neighbours by Euclidean distance, majority vote
-    (count desc, label asc). ``(qkey, pred, neighbours)``.
-
-    The training set is attached to every query row as an array scalar
-    after its size has been checked (``max_inline`` rows); each query row
-    then keeps only its k nearest, so no pair is ever materialised as a row.
-    Beyond the bound the training set is split into blocks of ``max_inline``
-    rows and each (query, block) keeps its k nearest before a final top-k.
-    """
-    n = train.count()
-    tr = train.select(F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("y"))
-    if n <= max_inline:
-        blocks = tr.select(F.lit(0).alias("_blk"), "v", "y")
-    else:
-        from .ordering import global_rank
-        blocks = global_rank(tr, ["y", F.xxhash64("v")], "_r").select(
-            F.floor((F.col("_r") - 1) / max_inline).alias("_blk"), "v", "y")
-    arrays = blocks.groupBy("_blk").agg(F.collect_list(F.struct("v", "y")).alias("_pts"))
-    q = queries.select(qkey, F.col(vec).cast("array<double>").alias("_q"))
-
-    def top_k(pts):
-        d = F.transform(pts, lambda p: F.struct(
-            F.round(F.sqrt(V._sum(F.zip_with(p["v"], F.col("_q"), lambda a, b: (a - b) * (a - b)))),
-                    9).alias("d"), p["y"].alias("y")))
-        return F.slice(F.array_sort(d), 1, k)
-
-    if n <= max_inline:
-        cand = _knn_inline(q, tr, qkey, k)
-    else:
-        fan = q.withColumn("_blk", F.explode(F.sequence(
-            F.lit(0), F.lit(int((n - 1) // max_inline)))))
-        cand = fan.join(arrays, "_blk").select(qkey, F.inline(top_k(F.col("_pts"))))
-        cand = (cand.groupBy(qkey).agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k)
-                                       .alias("_nn")).select(qkey, F.inline("_nn")))
-    votes = cand.groupBy(qkey, "y").agg(F.count(F.lit(1)).alias("_c"))
-    return votes.groupBy(qkey).agg(F.min(F.struct((-F.col("_c")).alias("nc"), F.col("y"))).alias("_b")).select(
-        qkey, F.col("_b.y").alias("pred"), (-F.col("_b.nc")).alias("votes"))
+    q = queries.select(F.col(qkey).alias("key"), F.col(vec).cast("array<double>").alias("v"))
+    t = train.select(F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("y"))
+    key_type, y_type = dict(q.dtypes)["key"], dict(t.dtypes)["y"]
+
+    def blocks(df):
+        size = df.agg(F.sum(F.size("v") * 8)).first()[0] or 0
+        return int(size // block_bytes) + 1
+
+    nq, nt = blocks(q), blocks(t)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(nq)).cast("int")).withColumn("tb", every(nt))
+    t = t.withColumn("tb", F.pmod(F.xxhash64("v", "y"), F.lit(nt)).cast("int")).withColumn("qb", every(nq))
+
+    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"key": left["key"][:0], "d": np.empty(0), "y": right["y"][:0]})
+        if left.empty or right.empty:
+            return none
+        x, y = np.stack(right["v"].to_numpy()), right["y"].to_numpy()
+        out = []
+        step = max(1, 2_000_000 // x.size)
+        for at in range(0, len(left), step):
+            part = left.iloc[at:at + step]
+            diff = np.stack(part["v"].to_numpy())[:, None, :] - x[None, :, :]
+            d = np.round(np.sqrt(np.cumsum(diff * diff, axis=2)[:, :, -1]), 9)
+            for row, name in zip(d, part["key"]):
+                best = np.lexsort((y, row))[:k]
+                out.append(pd.DataFrame({"key": [name] * len(best), "d": row[best], "y": y[best]}))
+        return pd.concat(out) if out else none
+
+    cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
+             .applyInPandas(nearest, f"key {key_type}, d double, y {y_type}"))
+    top = (cand.groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k).alias("nn"))
+               .select("key", F.inline("nn")))
+    votes = top.groupBy("key", "y").agg(F.count(F.lit(1)).alias("c"))
+    return votes.groupBy("key").agg(F.min(F.struct((-F.col("c")).alias("nc"), F.col("y"))).alias("b")).select(
+        F.col("key").alias(qkey), F.col("b.y").alias("pred"), (-F.col("b.nc")).alias("votes"))

@@ -73,7 +73,8 @@ def row_range(df: DataFrame, start: int, stop: int, order_by) -> DataFrame:
     return df.orderBy(*_as_order(order_by)).offset(start).limit(stop - start)
 
 
-def sort_multi(df: DataFrame, cols, ascending) -> DataFrame:
-    """Mixed-direction sort (range exchange + local sort)."""
+def sort_multi(df: DataFrame, cols, ascending, position: str | None = None) -> DataFrame:
+    """Mixed-direction sort (range exchange + local sort); ``position`` adds
+    each row's 1-based place in the order."""
     order = [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(cols, ascending)]
-    return df.orderBy(*order)
+    return global_rank(df, order, position) if position else df.orderBy(*order)

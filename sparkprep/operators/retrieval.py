@@ -7,7 +7,7 @@ spreads even a query with most of the candidates over all tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scan import grouped_scan
@@ -34,7 +34,10 @@ def metrics_at_k(df: DataFrame, query: str, order_by, rel: str, ks=(5, 10, 20),
                  totals: DataFrame | None = None) -> DataFrame:
     """``(query, k, precision, recall, f1)``; recall over all relevant items
     of the query; F1 is 0 when precision + recall is 0."""
-    r = ranked(df, query, order_by, rel)
+    # only the first max(ks) rows of a query count: the rank filter becomes a
+    # per-task limit before the shuffle
+    w = Window.partitionBy(query).orderBy(*order_by)
+    r = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max(ks))
     ks_col = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
     hits = (r.select(query, "rank", F.col(rel).cast("long").alias("_rel"), ks_col)
              .groupBy(query, "k")

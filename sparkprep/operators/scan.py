@@ -77,9 +77,12 @@ def grouped_scan(df: DataFrame, partition_by, order_by, aggs: dict,
         *[_CARRY[fn](f"_tot_{out}").over(w_carry).alias(f"_car_{out}")
           for out, (fn, _) in aggs.items()])
 
+    # only the first group of a partition can go on from the one before: at
+    # most one carry row per partition, so they are broadcast
+    some = reduce(lambda a, b: a | b, [F.col(f"_car_{out}").isNotNull() for out in aggs])
     cond = [F.col(_PID) == F.col("_c_pid")] + [
         F.col(g).eqNullSafe(F.col(f"_c_{g}")) for g in group]
-    joined = local.join(carry, reduce(lambda a, b: a & b, cond), "left")
+    joined = local.join(F.broadcast(carry.where(some)), reduce(lambda a, b: a & b, cond), "left")
     result = joined.select(
         *[F.col(c) for c in df.columns],
         *[_combine(fn, F.col(f"_car_{out}"), F.col(f"_loc_{out}")).alias(out)

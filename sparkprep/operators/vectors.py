@@ -7,13 +7,13 @@ Element-wise work uses array higher-order functions (``zip_with``,
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
@@ -74,10 +74,11 @@ def group_softmax(df: DataFrame, group, score: str, out: str = "weight") -> Data
     hash aggregate, so a group of any size is reduced before the shuffle."""
     group = list(group)
     mx = df.groupBy(*group).agg(F.max(score).alias("_mx"))
-    shifted = df.join(mx, group).withColumn("_e", F.exp(F.col(score) - F.col("_mx")))
-    tot = shifted.groupBy(*group).agg(F.sum("_e").alias("_z"))
-    return (shifted.join(tot, group).withColumn(out, F.col("_e") / F.col("_z"))
-                   .drop("_mx", "_e", "_z"))
+    z = F.sum(F.exp(F.col(score) - F.col("_mx"))).alias("_z")
+    # materialised: the last join reads plain scans, so a hot group is split
+    tot = cut_lineage(df.join(cut_lineage(mx), group).groupBy(*group, "_mx").agg(z))
+    return (df.join(tot, group).withColumn(out, F.exp(F.col(score) - F.col("_mx")) / F.col("_z"))
+              .drop("_mx", "_z"))
 
 
 def group_mean_vector(df: DataFrame, group, vec: str, weight: str | None = None,
@@ -132,14 +133,3 @@ def attention_weights(keys: DataFrame, queries: DataFrame, group, vec: str, qvec
     if scaled:
         s = s / F.sqrt(F.size(F.col(vec)).cast("double"))
     return group_softmax(j.withColumn("_score", s), group, "_score", out).drop(qvec, "_score")
-
-
-def weighted_sum_vector(df: DataFrame, group, vec: str, weight: str, out: str = "pooled") -> DataFrame:
-    """sum_i w_i v_i per group = weighted mean x total weight (weights from a
-    softmax sum to 1, so this is the weighted mean)."""
-    return group_mean_vector(df, group, vec, weight, out)
-
-
-def logsumexp_value(xs) -> float:
-    m = max(xs)
-    return m + math.log(sum(math.exp(x - m) for x in xs))

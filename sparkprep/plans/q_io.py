@@ -22,6 +22,14 @@ def q_src_csv(spark, sf):
     return IO.read_csv(spark, path, _CUSTOMER_SCHEMA)
 
 
+@query("src_csv_text", "SELECT doc_id, text, lang FROM documents")
+def q_src_csv_text(spark, sf):
+    """Round trip of texts with line breaks, quotes and commas."""
+    path = IO.write_csv(load(spark, sf, "documents").select("doc_id", "text", "lang"),
+                        IO.scratch_path(spark, "documents-csv"))
+    return IO.read_csv(spark, path, "doc_id long, text string, lang string")
+
+
 @query("sink_csv", """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS prediction FROM orders
 """)
@@ -51,8 +59,7 @@ def q_src_json_list(spark, sf):
 
 @query("src_json_soa", "SELECT text AS X, n_chars AS Y FROM documents")
 def q_src_json_soa(spark, sf):
-    docs = load(spark, sf, "documents").withColumn("_chunk", F.floor(F.col("doc_id") / 64))
-    path = IO.write_json_soa(docs, ["lang", "_chunk"], "doc_id", "text", "n_chars",
+    path = IO.write_json_soa(load(spark, sf, "documents"), ["lang"], "doc_id", "text", "n_chars",
                              IO.scratch_path(spark, "json-soa"))
     return IO.read_json_soa(spark, path, "string", "long")
 
@@ -103,5 +110,6 @@ def q_concat_columns(spark, sf):
     """Encoded block placed next to the remaining columns: derived columns
     are added to the same rows, so no positional join is needed."""
     from ..operators.encoding import onehot_drop_first
+    from .pipelines import SEGMENTS
     c = load(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    return onehot_drop_first(c, "c_mktsegment")
+    return onehot_drop_first(c, "c_mktsegment", list(SEGMENTS))

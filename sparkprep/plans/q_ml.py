@@ -52,7 +52,7 @@ def q_tree_entropy(spark, sf):
 @query("tree_rules")
 def q_tree_rules(spark, sf):
     train, _ = _emb_split(spark, sf, binary=False)
-    model = ML.entropy_tree(max_depth=5).fit(train)
+    model = ML.entropy_tree().fit(train)
     return ML.tree_rules(spark, model, [f"dim_{i}" for i in range(64)])
 
 
@@ -91,7 +91,7 @@ def q_mlp_grid(spark, sf):
     f = ML.vectorize(standard_transform(f.drop("features"), fit, cols), cols)
     tv = split_hash(f.filter(F.col("split") == "train").drop("split"), "o_orderkey", (0.9, 0.1),
                     ("train", "val"))
-    grid = [{"layers": [3, h, 3], "step_size": s} for h in (8, 16) for s in (0.03, 0.1)]
+    grid = [{"layers": [3, h, 3], "step_size": s} for h in (4, 8, 16, 32) for s in (0.01, 0.03, 0.1, 0.3)]
     best, model, scores = ML.grid_search(tv.filter(F.col("split") == "train"),
                                          tv.filter(F.col("split") == "val"),
                                          lambda layers, step_size: ML.mlp(layers, step_size), grid)
@@ -106,7 +106,7 @@ def _labelled_docs(spark, sf):
 
 def _bow_stages():
     tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=WORD2, gaps=False, toLowercase=True)
-    cv = CountVectorizer(inputCol="tokens", outputCol="features")
+    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=(1 << 31) - 1)  # every term
     return tok, cv
 
 

@@ -12,6 +12,7 @@ from ..operators import sampling as SP
 from ..operators import scaling as SC
 from ..sources.tables import load
 from .common import rounded
+from .pipelines import SEGMENTS
 from .registry import query
 
 _PART_RANGE = """
@@ -173,7 +174,7 @@ FROM customer
 """)
 def q_onehot_drop_first(spark, sf):
     c = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return E.onehot_drop_first(c, "c_mktsegment")
+    return E.onehot_drop_first(c, "c_mktsegment", list(SEGMENTS))
 
 
 @query("label_encode", """
@@ -201,12 +202,12 @@ def q_label_decode(spark, sf):
 # ------------------------------------------------------------ 2.6
 
 @query("sort_multi", """
-SELECT o_orderkey, o_custkey, o_orderdate FROM orders
-ORDER BY o_custkey ASC, o_orderdate DESC, o_orderkey ASC LIMIT 20
+SELECT o_orderkey, o_custkey, o_orderdate,
+       row_number() OVER (ORDER BY o_custkey ASC, o_orderdate DESC, o_orderkey ASC) AS position FROM orders
 """)
 def q_sort_multi(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return O.sort_multi(o, ["o_custkey", "o_orderdate", "o_orderkey"], [True, False, True]).limit(20)
+    return O.sort_multi(o, ["o_custkey", "o_orderdate", "o_orderkey"], [True, False, True], position="position")
 
 
 @query("head_n", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")

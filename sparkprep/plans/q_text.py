@@ -435,32 +435,73 @@ def q_feature_concat(spark, sf):
 
 # ------------------------------------------------------------ HTML
 
-@query("html_title", "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages")
+_TITLE_SQL = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+_TEXT_SQL = r"trim(regexp_replace(regexp_replace({x}, '(?s)<[^>]*>', '', 'g'), '\s+', ' ', 'g'))"
+_HREF_SQL = (r"coalesce(nullif(regexp_extract(attrs, '(?is)(?:^|\s)href\s*=\s*\x22([^\x22]*)\x22', 1), ''), "
+             r"nullif(regexp_extract(attrs, '(?is)(?:^|\s)href\s*=\s*\x27([^\x27]*)\x27', 1), ''), "
+             r"nullif(regexp_extract(attrs, '(?is)(?:^|\s)href\s*=\s*([^\s\x22\x27>]+)', 1), ''))")
+_ANCHOR_RE = r"'(?is)<a\b([^>]*)>(.*?)</a\s*>'"
+
+
+@query("html_title", f"""
+SELECT page_id, CASE WHEN regexp_matches(html, '{_TITLE_SQL}') THEN
+  {_TEXT_SQL.format(x=f"regexp_extract(html, '{_TITLE_SQL}', 1)")} END AS title FROM pages
+""")
 def q_html_title(spark, sf):
     return H.title(load(spark, sf, "pages"))
 
 
-@query("html_links", """
-SELECT page_id, CAST(unnest(range(len(a))) AS INTEGER) AS idx, unnest(a) AS href
-FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS a FROM pages)
-""")
+_ANCHOR_SQL = f"""
+a AS (SELECT page_id, CAST(unnest(range(len(x))) AS INTEGER) AS idx, unnest(x) AS attrs, unnest(y) AS inner_html
+      FROM (SELECT page_id, regexp_extract_all(html, {_ANCHOR_RE}, 1) AS x,
+                   regexp_extract_all(html, {_ANCHOR_RE}, 2) AS y FROM pages)),
+l AS (SELECT page_id, idx, {_HREF_SQL} AS href, trim(attrs) AS attrs, {_TEXT_SQL.format(x="inner_html")} AS text FROM a)
+"""
+
+
+@query("html_links", "WITH " + _ANCHOR_SQL + "SELECT * FROM l")
 def q_html_links(spark, sf):
     return H.links(load(spark, sf, "pages"))
 
 
+@query("html_nth_link", "WITH " + _ANCHOR_SQL + """
+SELECT page_id, href, attrs, text FROM pages LEFT JOIN (SELECT * FROM l WHERE idx = 1) USING (page_id)
+""")
+def q_html_nth_link(spark, sf):
+    return H.nth_link(load(spark, sf, "pages"), 2)
+
+
 @query("html_nth", r"""
-SELECT page_id, regexp_extract_all(html, '<li(?:\s[^>]*)?>(.*?)</li>', 1)[2] AS li_2 FROM pages
+SELECT page_id, regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>', 1)[2] AS li_2 FROM pages
 """)
 def q_html_nth(spark, sf):
     return H.nth_tag(load(spark, sf, "pages"), "li", 2)
 
 
-@query("html_rows", """
+@query("html_table", """
+SELECT n_regionkey AS page_id, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS row,
+       n_name AS cell_2, 'no. ' || CAST(n_nationkey AS VARCHAR) AS cell_3 FROM nation
+""")
+def q_html_table(spark, sf):
+    """Second table of pages built from the nations of each region: a header
+    row, line breaks inside rows and cells, attributes and inner tags."""
+    n = load(spark, sf, "nation")
+    row = F.format_string("<TR class='x'>\n<td>%d</td>\n<td align=left><b>%s</b>\n</td><td>no.\n <i>%d</i></td></TR>",
+                          "n_regionkey", "n_name", "n_nationkey")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))),
+                                    lambda x: x["r"]), "\n")  # a region has few nations
+    pages = n.groupBy(F.col("n_regionkey").alias("page_id")).agg(F.concat(
+        F.lit("<html><table><tr><td>first</td></tr></table>\n<Table border=1>\n<tr><th>a</th><th>b</th></tr>"),
+        body, F.lit("</table></html>")).alias("html"))
+    return H.table_rows(pages, cells=(2, 3), table=2)
+
+
+@query("html_rows", rf"""
 WITH i AS (SELECT page_id, CAST(unnest(range(len(a))) AS INTEGER) AS idx, unnest(a) AS item
-           FROM (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS a FROM pages))
-SELECT page_id, idx, regexp_extract(item, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS href,
-       regexp_extract(item, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS text
-FROM i WHERE regexp_matches(item, '<a href="([^"]*)"[^>]*>([^<]*)</a>')
+           FROM (SELECT page_id, regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li\s*>', 1) AS a FROM pages)),
+f AS (SELECT page_id, idx, regexp_extract(item, {_ANCHOR_RE}, 1) AS attrs,
+             regexp_extract(item, {_ANCHOR_RE}, 2) AS inner_html FROM i WHERE regexp_matches(item, {_ANCHOR_RE}))
+SELECT page_id, idx, {_HREF_SQL} AS href, {_TEXT_SQL.format(x="inner_html")} AS text FROM f
 """)
 def q_html_rows(spark, sf):
     return H.anchor_records(load(spark, sf, "pages"))

@@ -91,22 +91,50 @@ def test_no_cross_products(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_reverse_geocode_paths_agree(spark):
+def test_reverse_geocode_keeps_repeated_points(spark):
     from sparkprep.plans.q_models import _gazetteer
-    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
-    pts = c.select("c_custkey", (F.col("c_custkey") % 170).cast("double") - 84.5,
-                   ((F.col("c_custkey") * 53) % 350).cast("double") - 174.5).toDF("c_custkey", "lat", "lng")
-    a = NB.geocode_reverse(pts, "lat", "lng", _gazetteer(spark, SF_SMALL))
-    b = NB.geocode_reverse(pts, "lat", "lng", _gazetteer(spark, SF_SMALL), max_inline=0)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    pts = spark.createDataFrame([(1, 10.0, 20.0), (1, 10.0, 20.0), (2, None, 3.0), (3, 89.9, 0.0)],
+                                "k long, lat double, lng double")
+    got = NB.geocode_reverse(pts, "lat", "lng", _gazetteer(spark, SF_SMALL)).orderBy("k").collect()
+    assert [r["k"] for r in got] == [1, 1, 2, 3]
+    assert got[0] == got[1] and got[0]["place"] is not None and got[2]["place"] is None and got[3]["place"] is not None
+    none = _gazetteer(spark, SF_SMALL).limit(0)
+    assert NB.geocode_reverse(pts, "lat", "lng", none).where("place is null").count() == 4
 
 
-def test_knn_paths_agree(spark):
+def test_knn_does_not_depend_on_the_block_size(spark):
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    e = e.unionByName(e.where("vec_id % 5 = 0").withColumn("label", F.col("label") + 1))  # tied distances
     q, t = e.filter(F.col("vec_id") < 50), e.filter(F.col("vec_id") >= 50)
     a = NB.knn_classify(q, t, "vec_id", "embedding", "label", 3)
-    b = NB.knn_classify(q, t, "vec_id", "embedding", "label", 3, max_inline=100)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    b = NB.knn_classify(q, t, "vec_id", "embedding", "label", 3, block_bytes=20_000)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_sparse_onehot_takes_any_number_of_categories(spark):
+    from sparkprep.operators.encoding import onehot_sparse
+    df = spark.range(12_000).select("id", F.format_string("c%05d", "id").alias("v")).unionByName(
+        spark.createDataFrame([(-1, None)], "id long, v string"))
+    got = {r["id"]: (r["v_hot"], r["v_hot_size"]) for r in onehot_sparse(df, "v").collect()}
+    assert len(got) == 12_001 and got[0] == (None, 11_999) and got[7] == (6, 11_999) and got[-1] == (None, 11_999)
+
+
+def test_tree_dump_counts_every_training_row(spark):
+    rows = Q["tree_rules"](spark, SF_SMALL).collect()
+    by = {r["node"]: r for r in rows}
+    for r in rows:
+        assert sum(r["class_counts"]) == r["n_samples"]
+        kids = [k for k in rows if k["parent"] == r["node"]]
+        assert len(kids) in (0, 2) and (not kids or sum(k["n_samples"] for k in kids) == r["n_samples"])
+        assert r["depth"] == (0 if r["parent"] is None else by[r["parent"]]["depth"] + 1)
+
+
+def test_mlp_step_size_takes_effect(spark):
+    from sparkprep.operators import ml as ML
+    df = ML.vectorize(spark.range(60).select((F.col("id") % 2).cast("double").alias("label"),
+                                             (F.col("id") % 7).cast("double").alias("x")), ["x"])
+    a, b = (ML.mlp([1, 3, 2], s, max_iter=5).fit(df).weights.toArray().tolist() for s in (0.03, 0.3))
+    assert a != b
 
 
 def test_streaming_token_counts_equal_batch(spark):
