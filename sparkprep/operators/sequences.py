@@ -21,10 +21,6 @@ CHAR_VOCAB = ["", "<bos>", "."] + list(string.ascii_lowercase + string.ascii_upp
 PAD_ID, BOS_ID = 0, 1
 
 
-def char_vocab(spark) -> DataFrame:
-    return spark.createDataFrame([(i, c) for i, c in enumerate(CHAR_VOCAB)], "id int, char string")
-
-
 def _char_map() -> Column:
     kv = []
     for i, c in enumerate(CHAR_VOCAB):
@@ -93,10 +89,12 @@ def encode_tokens(tokens: DataFrame, vocab: DataFrame, doc: str = "doc_id",
     """``(doc, input_ids, attention_mask)``: the first ``max_len`` tokens of
     every document mapped through ``vocab`` (unknown -> 1), padded with 0.
     Only positions < max_len are joined and collected, so arrays stay
-    bounded however long the document is."""
-    head = tokens.filter(F.col(pos) < max_len)
+    bounded however long the document is. A row with a null position stands
+    for a document without tokens: all padding."""
+    head = tokens.filter(F.col(pos).isNull() | (F.col(pos) < max_len))
     ided = head.join(vocab, token, "left").select(doc, pos, F.coalesce("id", F.lit(1)).alias("id"))
-    seq = ided.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(pos, "id"))).alias("_s"))
+    entry = F.when(F.col(pos).isNotNull(), F.struct(pos, "id"))
+    seq = ided.groupBy(doc).agg(F.array_sort(F.collect_list(entry)).alias("_s"))
     ids = F.transform("_s", lambda s: s["id"])
     n = F.size(ids)
     pad = F.array_repeat(F.lit(0), F.lit(max_len) - n)

@@ -268,15 +268,13 @@ def q_log_loss(spark, sf):
 # ------------------------------------------------------------ naive Bayes
 
 _NB_SQL = """
-WITH x AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1
-           FROM embeddings),
-eps AS (SELECT greatest(var_pop(x0), var_pop(x1)) * 1e-9 AS eps FROM x),
-fit AS (SELECT label, count(*) / (SELECT count(*) FROM x) AS prior, avg(x0) AS mu0, avg(x1) AS mu1,
-               var_pop(x0) + (SELECT eps FROM eps) AS v0, var_pop(x1) + (SELECT eps FROM eps) AS v1
-        FROM x GROUP BY label),
-j AS (SELECT x.vec_id, x.label AS truth, fit.label AS c,
-             ln(prior) - 0.5 * ln(2 * pi() * v0) - 0.5 * pow(x0 - mu0, 2) / v0
-                       - 0.5 * ln(2 * pi() * v1) - 0.5 * pow(x1 - mu1, 2) / v1 AS jll FROM x, fit),
+WITH x AS (SELECT vec_id, label, unnest(range(64)) AS d, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+eps AS (SELECT max(vp) * 1e-9 AS eps FROM (SELECT var_pop(v) AS vp FROM x GROUP BY d)),
+fit AS (SELECT label AS c, d, avg(v) AS mu, var_pop(v) + (SELECT eps FROM eps) AS var FROM x GROUP BY label, d),
+prior AS (SELECT label AS c, count(*) / (SELECT count(*) FROM embeddings) AS prior FROM embeddings GROUP BY label),
+j AS (SELECT x.vec_id, x.label AS truth, fit.c,
+             ln(any_value(prior)) + sum(-0.5 * ln(2 * pi() * var) - 0.5 * pow(v - mu, 2) / var) AS jll
+      FROM x JOIN fit USING (d) JOIN prior ON prior.c = fit.c GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY jll DESC, c) AS rn,
              max(jll) OVER (PARTITION BY vec_id) AS mx FROM j),
 lse AS (SELECT vec_id, max(mx) + ln(sum(exp(jll - mx))) AS lse FROM r GROUP BY vec_id),
@@ -286,18 +284,18 @@ pred AS (SELECT r.vec_id, r.truth AS label, r.c AS pred, exp(r.jll - lse.lse) AS
 
 
 def _nb_predictions(spark, sf):
-    e = _emb(spark, sf).select("vec_id", "label",
-                                F.element_at("embedding", 1).cast("double").alias("x0"),
-                                F.element_at("embedding", 2).cast("double").alias("x1"))
-    fit = M.gaussian_nb_fit(e, ["x0", "x1"], "label")
-    pred = M.gaussian_nb_predict(e, fit, ["x0", "x1"], "label", "vec_id")
+    names = [f"x{i}" for i in range(64)]
+    e = _emb(spark, sf).select("vec_id", "label", *[
+        F.element_at("embedding", i + 1).cast("double").alias(x) for i, x in enumerate(names)])
+    fit = M.gaussian_nb_fit(e, names, "label")
+    pred = M.gaussian_nb_predict(e, fit, names, "label", "vec_id")
     return pred.join(e.select("vec_id", "label"), "vec_id")
 
 
-@query("gaussian_nb", _NB_SQL + "SELECT vec_id, pred, {p} AS prob FROM pred".format(p=sig_round_sql("prob", 8)))
+@query("gaussian_nb", _NB_SQL + "SELECT vec_id, pred, {p} AS prob FROM pred".format(p=sig_round_sql("prob", 7)))
 def q_gaussian_nb(spark, sf):
     p = _nb_predictions(spark, sf)
-    return p.select("vec_id", "pred", sig_round(F.col("prob"), 8).alias("prob"))
+    return p.select("vec_id", "pred", sig_round(F.col("prob"), 7).alias("prob"))
 
 
 @query("accuracy", _NB_SQL + """

@@ -186,24 +186,25 @@ def q_tfidf_smooth_l2(spark, sf):
 
 
 @query("cosine_rank", _SMOOTH_SQL + f"""
-, qt AS (SELECT unnest(regexp_extract_all(lower(text), '{VEC_RE}')) AS token
-         FROM benchmark WHERE item_id = (SELECT min(item_id) FROM benchmark)),
-qtf AS (SELECT token, count(*) AS tf FROM qt GROUP BY token),
-qw0 AS (SELECT token, tf * idf AS weight FROM qtf JOIN idf USING (token)),
-qw AS (SELECT token, weight / sqrt(sum(weight * weight) OVER ()) AS q FROM qw0),
-qn AS (SELECT sqrt(sum(q * q)) AS qn FROM qw),
-dn AS (SELECT doc_id, sqrt(sum(weight * weight)) AS dn FROM nw GROUP BY doc_id),
-dots AS (SELECT doc_id, sum(weight * q) AS dot FROM nw JOIN qw USING (token) GROUP BY doc_id)
-SELECT dn.doc_id, round(coalesce(dot, 0.0) / nullif(dn.dn * qn.qn, 0.0), 9) AS cosine
-FROM dn LEFT JOIN dots USING (doc_id), qn
+, qt AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '{VEC_RE}')) AS token FROM benchmark),
+qtf AS (SELECT item_id, token, count(*) AS tf FROM qt GROUP BY ALL),
+qw AS (SELECT item_id, token, tf * idf AS q FROM qtf JOIN idf USING (token)),
+qn AS (SELECT item_id, sqrt(sum(q * q)) AS qn FROM qw GROUP BY item_id),
+dn AS (SELECT doc_id, sqrt(sum(weight * weight)) AS dn FROM w GROUP BY doc_id),
+dots AS (SELECT doc_id, item_id, sum(weight * q) AS dot FROM w JOIN qw USING (token) GROUP BY ALL),
+c AS (SELECT doc_id, item_id, round(dot / (dn * qn), 9) AS cosine FROM dots JOIN dn USING (doc_id) JOIN qn USING (item_id)),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, item_id) AS rn FROM c)
+         WHERE rn = 1)
+SELECT doc_id, item_id, coalesce(cosine, 0.0) AS cosine FROM documents LEFT JOIN best USING (doc_id)
 """)
 def q_cosine_rank(spark, sf):
-    _, idf, doc_w = _smooth_doc_weights(spark, sf)
-    bench = load(spark, sf, "benchmark")
-    first = bench.filter(F.col("item_id") == bench.select(F.min("item_id")).scalar())
-    qtoks = first.select("item_id", F.explode(T.vectorizer_tokens(F.col("text"))).alias("token"))
-    q_w = IX.tfidf_smooth_transform(IX.term_frequencies(qtoks, "item_id"), idf, "item_id")
-    return rounded(IX.cosine_to_query(doc_w, q_w.drop("item_id")), 9)
+    """The benchmark item nearest to every document: all items are scored."""
+    tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
+    idf = IX.idf_smooth_fit(tf, IX.doc_count(_docs(spark, sf)))
+    qtoks = load(spark, sf, "benchmark").select("item_id", F.explode(T.vectorizer_tokens(F.col("text"))).alias("token"))
+    best = IX.nearest_query(tf, IX.term_frequencies(qtoks, "item_id"), idf, query="item_id")
+    return (_docs(spark, sf).select("doc_id").join(best, "doc_id", "left")
+            .select("doc_id", "item_id", F.coalesce("cosine", F.lit(0.0)).alias("cosine")))
 
 
 # ------------------------------------------------------------ retrieval metrics
@@ -376,18 +377,20 @@ def q_char_lm_loss(spark, sf):
 , cnt AS (SELECT token, count(*) AS n FROM vt GROUP BY token),
 vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 1 AS INTEGER) AS id FROM cnt),
 h AS (SELECT doc_id, pos, coalesce(id, 1) AS id FROM vt LEFT JOIN vocab USING (token) WHERE pos < 512),
-s AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM h GROUP BY doc_id)
+s AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM h GROUP BY doc_id),
+f AS (SELECT doc_id, coalesce(ids, CAST([] AS INTEGER[])) AS ids FROM documents LEFT JOIN s USING (doc_id))
 SELECT doc_id, CAST(list_resize(ids, 512, 0) AS INTEGER[]) AS input_ids,
-       CAST(list_resize(list_transform(ids, lambda x: 1), 512, 0) AS INTEGER[]) AS attention_mask FROM s
+       CAST(list_resize(list_transform(ids, lambda x: 1), 512, 0) AS INTEGER[]) AS attention_mask FROM f
 """)
 def q_token_id_encode(spark, sf):
-    toks = vec_token_rows(spark, sf)
-    vocab = SQ.token_vocabulary(toks)
-    return SQ.encode_tokens(toks, vocab, "doc_id", 512)
+    vocab = SQ.token_vocabulary(vec_token_rows(spark, sf))
+    heads = _docs(spark, sf).select("doc_id", F.posexplode_outer(
+        F.slice(T.vectorizer_tokens(F.col("text")), 1, 512)).alias("pos", "token"))
+    return SQ.encode_tokens(heads, vocab, "doc_id", 512)
 
 
 @query("doc_mean_vector", "WITH " + _VEC_TOKENS_SQL + """
-, cnt AS (SELECT token, count(*) AS n FROM vt GROUP BY token HAVING count(*) >= 2),
+, cnt AS (SELECT DISTINCT token FROM vt),
 vr AS (SELECT token, row_number() OVER (ORDER BY token) AS r FROM cnt),
 er AS (SELECT embedding, row_number() OVER (ORDER BY vec_id) AS e FROM embeddings),
 ne AS (SELECT count(*) AS ne FROM embeddings),
@@ -412,10 +415,10 @@ def q_doc_mean_vector(spark, sf):
 
 
 def token_vectors(spark, sf, tf):
-    """Vocabulary vectors: tokens occurring at least twice, numbered in
-    token order, take the embedding at the same position (cyclically) of
-    the ``embeddings`` table ordered by id."""
-    cnt = tf.groupBy("token").agg(F.sum("tf").alias("n")).filter(F.col("n") >= 2)
+    """Vocabulary vectors: the tokens, numbered in token order, take the
+    embedding at the same position (cyclically) of the ``embeddings`` table
+    ordered by id."""
+    cnt = tf.select("token").distinct()
     vr = global_rank(cnt, ["token"], "r")
     emb = load(spark, sf, "embeddings")
     er = global_rank(emb.select("vec_id", "embedding"), ["vec_id"], "e")
