@@ -66,19 +66,17 @@ def early_stop_select(df: DataFrame, run: str, step: str, metric: str,
     the best. Returns ``(run, best_step, best_metric, stop_step)`` with
     stop_step null when training ran to the end.
 
-    Running best and step numbers come from a segmented scan, so one run
-    with most of the steps is still spread over all tasks."""
-    scanned = grouped_scan(df, [run], [step], {
-        "_rank": ("count", F.lit(1)),
-        "_best": ("max", F.struct(F.col(metric).alias("m"), (-F.col(step)).alias("neg_step")))})
-    s = scanned.select(run, step, "_rank", F.col("_best.m").alias("best_metric"),
-                       (-F.col("_best.neg_step")).alias("best_step"))
-    s = s.join(scanned.select(run, F.col(step).alias("best_step"), F.col("_rank").alias("_best_rank")),
-               [run, "best_step"])
-    stops = (s.filter(F.col("_rank") - F.col("_best_rank") >= patience)
-              .groupBy(run).agg(F.min(F.struct(step, "best_step", "best_metric")).alias("_stop")))
-    final = s.groupBy(run).agg(F.max(F.struct("_rank", "best_step", "best_metric")).alias("_last"))
-    out = final.join(stops, run, "left")
+    A NaN metric is no improvement. Step numbers and the running best (with
+    its own step number) come from segmented scans, so one run with most of
+    the steps is still spread over all tasks."""
+    m = F.when(~F.isnan(F.col(metric).cast("double")), F.col(metric))
+    numbered = grouped_scan(df, [run], [step], {"_rank": ("count", F.lit(1))})
+    best = F.when(m.isNotNull(), F.struct(m.alias("m"), (-F.col("_rank")).alias("r"), F.col(step).alias("s")))
+    s = grouped_scan(numbered, [run], ["_rank"], {"_best": ("max", best)}).select(
+        run, step, "_rank", F.col("_best.m").alias("best_metric"), F.col("_best.s").alias("best_step"),
+        (-F.col("_best.r")).alias("_best_rank"))
+    done = F.when(F.col("_rank") - F.col("_best_rank") >= patience, F.struct("_rank", step, "best_step", "best_metric"))
+    out = s.groupBy(run).agg(F.min(done).alias("_stop"), F.max(F.struct("_rank", "best_step", "best_metric")).alias("_last"))
     return out.select(run,
                       F.coalesce(F.col("_stop.best_step"), F.col("_last.best_step")).alias("best_step"),
                       F.coalesce(F.col("_stop.best_metric"), F.col("_last.best_metric")).alias("best_metric"),

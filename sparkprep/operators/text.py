@@ -63,10 +63,9 @@ def top_tokens(tokens: DataFrame, k: int = 10, token: str = "token") -> DataFram
 
 
 def remove_words(tokens: DataFrame, words: DataFrame, token: str = "token") -> DataFrame:
-    """Anti join against a word list. The list is a fixed, small table, so
-    it is broadcast."""
-    return tokens.join(F.broadcast(words.select(F.col(words.columns[0]).alias(token))),
-                       token, "left_anti")
+    """Anti join against a word list of any size (a small one is broadcast
+    by Spark's own size estimate)."""
+    return tokens.join(words.select(F.col(words.columns[0]).alias(token)), token, "left_anti")
 
 
 def stop_punct_filter(tokens: DataFrame, token: str = "token") -> DataFrame:

@@ -84,7 +84,8 @@ def q_lookup_semi(spark, sf):
     from ..functions.text import vectorizer_tokens
     docs = load(spark, sf, "documents").select(F.explode(vectorizer_tokens(F.col("text"))).alias("token"))
     vocab = load(spark, sf, "benchmark").select(F.explode(vectorizer_tokens(F.col("text"))).alias("token"))
-    return TX.token_counts(C.lookup_semi(docs, vocab, "token"))
+    # counted first: a common token is one row when it meets the vocabulary
+    return C.lookup_semi(TX.token_counts(docs), vocab, "token")
 
 
 @query("stop_anti", _VOCAB_SQL.replace("\\\\", "\\") + """
@@ -95,7 +96,7 @@ def q_stop_anti(spark, sf):
     from ..functions.text import vectorizer_tokens
     docs = load(spark, sf, "documents").select(F.explode(vectorizer_tokens(F.col("text"))).alias("token"))
     vocab = load(spark, sf, "benchmark").select(F.explode(vectorizer_tokens(F.col("text"))).alias("token"))
-    return TX.token_counts(C.stop_anti(docs, vocab, "token"))
+    return C.stop_anti(TX.token_counts(docs), vocab, "token")
 
 
 @query("concat_columns", """
