@@ -13,12 +13,14 @@
    ``MARGIN`` standard deviations under the threshold go.
 4. Each remaining pair is confirmed on the full shingle sets, and the links'
    components are found.
-5. Second round: in bands that still hold several components, every pair of
-   members from different components is a candidate too. Members of the
-   largest component meet the others in blocks; only pairs that pass the
-   estimate leave a block. After confirmation no link between candidates of
-   different components is missing, so the components are those of all
-   candidate links.
+5. In bands that still hold several components, the members outside the
+   largest one are tested against ``SAMPLES`` of its members, again a number
+   of pairs in proportion to the members.
+6. In bands that then still hold several components, every pair of members
+   from different components is a candidate. Members of the largest component
+   meet the others in blocks; only pairs that pass the estimate leave a block.
+   After confirmation no link between candidates of different components is
+   missing, so the components are those of all candidate links.
 
 With 32 bands of 4 a pair at similarity 0.75 is no candidate with a chance of
 about 5e-6, one at 0.85 of less than 1e-10.
@@ -46,6 +48,7 @@ SIMILARITY = (75, 100)  # links: 100 * intersection >= 75 * union
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
 MARGIN = 4.5
+SAMPLES = 4
 BLOCK = 1024
 
 _XOR = mix(constants(PERMUTATIONS, 101))
@@ -186,15 +189,104 @@ def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, simi
     return full.mapInArrow(lambda it: _confirm(it, size, similarity), "a long, b long")
 
 
-def _across(rest: DataFrame, need: int) -> DataFrame:
-    """Candidate pairs from different components of the same band.
-    ``rest``: band, rep, component, sig of bands with several components."""
+def _mixed(members: DataFrame, label: DataFrame) -> DataFrame | None:
+    """(band, rep, component) of the bands that hold several components."""
+    named = saved(members.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                         .select("band", "rep", F.coalesce("component", "rep").alias("component")))
+    mixed = saved(named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                       .where("lo <> hi").select("band"))
+    return None if is_empty(mixed) else named.join(mixed, "band")
+
+
+def _largest(rest: DataFrame) -> DataFrame:
+    """(band, main component, its members, all members)."""
     size = rest.groupBy("band", "component").agg(F.count("*").alias("n"))
-    big = size.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                   F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
+    return saved(size.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                          F.max("n").alias("n_main"), F.sum("n").alias("n_all")))
+
+
+def _close(pairs: DataFrame, sig: DataFrame, need: int) -> DataFrame:
+    """Pairs (a, b) whose signatures agree in ``need`` values or more."""
+    return (pairs.join(sig.withColumnsRenamed({"rep": "b", "sig": "sb"}), "b")
+                 .join(sig.withColumnsRenamed({"rep": "a", "sig": "sa"}), "a")
+                 .where(_matches("sa", "sb") >= need).select("a", "b"))
+
+
+def _samples(rest: DataFrame, need: int) -> DataFrame:
+    """Candidate pairs of the members outside a band's largest component
+    with ``SAMPLES`` members of it: few tests join most of them to it."""
+    inside = rest.join(_largest(rest), "band")
+    hubs = saved(inside.where("component = main").groupBy("band").agg(F.array_distinct(F.array(*[
+        F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(SAMPLES)])).alias("hubs")))
+    pairs = inside.where("component <> main").join(hubs, "band").select(F.explode("hubs").alias("h"), "rep").select(
+        F.least("h", "rep").alias("a"), F.greatest("h", "rep").alias("b")).distinct()
+    return _close(saved(pairs), saved(rest.select("rep", "sig").dropDuplicates(["rep"])), need)
+
+
+def _codes(batches, size: int):
+    """(rep, sorted 32-bit codes of its shingles) of each text."""
+    for batch in batches:
+        for i, j, words in batch_words(batch.column(1), BY_SPACE):
+            h, bounds = shingle_sets(words, size)
+            c = (h >> np.uint64(32)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, j - i),
+                 pa.array([np.unique(c[p:q]).tobytes() for p, q in zip(bounds[:-1], bounds[1:])], pa.binary())],
+                names=["rep", "codes"])
+
+
+def _shared(codes: list[np.ndarray]):
+    """A function (row, rows) -> sizes of the intersections of code sets: by
+    bit rows over the codes that two members share, or, where those would
+    take more than 64 MB, set by set."""
+    flat = np.concatenate(codes)
+    row = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    names, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+    common = np.flatnonzero(count > 1)
+    if len(codes) * len(common) > 1 << 26:
+        return lambda k, at: np.array([len(np.intersect1d(codes[k], codes[j], assume_unique=True)) for j in at], np.int64)
+    column = np.full(len(names), -1)
+    column[common] = np.arange(len(common))
+    inside = np.zeros((len(codes), -(-max(1, len(common)) // 64) * 64), bool)
+    c = column[place]
+    inside[row[c >= 0], c[c >= 0]] = True
+    bits = np.packbits(inside, axis=1).view(np.uint64)
+    return lambda k, at: np.bitwise_count(bits[k] & bits[at]).sum(1, dtype=np.int64)
+
+
+def _compare(table: pa.Table, need: int, similarity: tuple[int, int]) -> pa.Table:
+    """Pairs of one group from different components that pass the signature
+    estimate and reach the threshold on their shingle codes."""
+    some, of = similarity
+    table = table.combine_chunks()
+    rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
+    sig = np.array(table.column("sig").to_pylist(), np.int64).view(np.uint64)
+    codes = [np.frombuffer(c, np.uint32) for c in table.column("codes").to_pylist()]
+    n = np.array([len(c) for c in codes], np.int64)
+    lane, shared, out_a, out_b = np.uint64(0x1111111111111111), None, [], []
+    for k in range(len(rep) - 1):
+        x = sig[k + 1:] ^ sig[k]
+        x = x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))
+        same = PERMUTATIONS - np.bitwise_count(x & lane).sum(1)
+        hit = np.flatnonzero((same >= need) & (comp[k + 1:] != comp[k])) + k + 1
+        if len(hit):
+            shared = shared or _shared(codes)
+            both = shared(k, hit)
+            hit = hit[of * both >= some * (n[k] + n[hit] - both)]
+            out_a.append(np.minimum(rep[hit], rep[k]))
+            out_b.append(np.maximum(rep[hit], rep[k]))
+    none = np.empty(0, np.int64)
+    return pa.table({"a": np.concatenate(out_a or [none]), "b": np.concatenate(out_b or [none])},
+                    schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def _across(rest: DataFrame, need: int, texts: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs from different components of the same band that reach the
+    threshold on 32-bit shingle codes (to be confirmed on the full sets).
+    ``rest``: band, rep, component, sig of bands with several components."""
     n_main = F.ceil(F.col("n_main") / BLOCK).cast("int")
     n_rest = F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int")
-    rows = (rest.join(saved(big), "band").withColumn("in_main", F.col("component") == F.col("main"))
+    rows = (rest.join(_largest(rest), "band").withColumn("in_main", F.col("component") == F.col("main"))
                 .withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("in_main"), n_main).otherwise(n_rest)).cast("int"))
                 .withColumn("n_main", n_main).withColumn("n_rest", n_rest))
     # a task compares one block of the others with one block of the main
@@ -206,29 +298,15 @@ def _across(rest: DataFrame, need: int) -> DataFrame:
                 F.lit(0).alias("kind"), F.col("block").alias("p"), m.alias("q"))),
             F.transform(upto(F.col("n_rest")), lambda o: F.struct(
                 F.lit(1).alias("kind"), F.least(o, F.col("block")).alias("p"), F.greatest(o, F.col("block")).alias("q")))))
+    wanted = texts.join(rest.select("rep").distinct(), "rep", "left_semi").select("rep", "t")
+    codes = saved(wanted.mapInArrow(lambda it: _codes(it, size), "rep long, codes binary").dropDuplicates(["rep"]))
     # one key for the pair of blocks, dealt out anew: a hot band spreads
     parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (rows.select("band", F.explode(where).alias("g"), "rep", "component", "sig")
-                 .select(F.struct("band", "g").alias("pair"), "rep", "component", "sig").repartition(parts, "pair"))
-    lane = np.uint64(0x1111111111111111)
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
-        sig = np.array(table.column("sig").to_pylist(), np.int64).view(np.uint64)
-        out_a, out_b = [], []
-        for k in range(len(rep) - 1):
-            x = sig[k + 1:] ^ sig[k]
-            x = x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))
-            same = PERMUTATIONS - np.bitwise_count(x & lane).sum(1)
-            hit = np.flatnonzero((same >= need) & (comp[k + 1:] != comp[k])) + k + 1
-            out_a.append(np.minimum(rep[hit], rep[k]))
-            out_b.append(np.maximum(rep[hit], rep[k]))
-        none = np.empty(0, np.int64)
-        return pa.table({"a": np.concatenate(out_a or [none]), "b": np.concatenate(out_b or [none])},
-                        schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return dealt.groupBy("pair").applyInArrow(compare, "a long, b long").distinct()
+                 .select(F.struct("band", "g").alias("pair"), "rep", "component", "sig")
+                 .join(codes, "rep").repartition(parts, "pair"))
+    return dealt.groupBy("pair").applyInArrow(
+        lambda t: _compare(t, need, similarity), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
@@ -247,25 +325,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = saved(bands.join(hubs, "band").select("band", "rep", "hub"))
     star = saved(members.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     sig = reps.select("rep", "sig")
-    close = saved(star.join(sig.withColumnsRenamed({"rep": "b", "sig": "sb"}), "b")
-                      .join(sig.withColumnsRenamed({"rep": "a", "sig": "sa"}), "a")
-                      .where(_matches("sa", "sb") >= need).select("a", "b"))
+    close = saved(_close(star, sig, need))
     ids = saved(members.select("rep").distinct())
     texts = saved(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t")).join(ids, "rep"))
     first = saved(_linked(close, reps, texts, size, similarity))
     label = components(first)
 
-    named = saved(members.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left")
-                         .select("band", "rep", F.coalesce("component", "rep").alias("component")))
-    mixed = saved(named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                       .where("lo <> hi").select("band"))
-    if not is_empty(mixed):
-        rest = saved(named.join(mixed, "band").join(sig, "rep"))
-        more = saved(_across(rest, need).join(star, ["a", "b"], "left_anti"))
-        second = saved(_linked(more, reps, texts, size, similarity))
-        if not is_empty(second):
-            held = label.select(F.col("id").alias("b"), F.col("component").alias("a")).select("a", "b")
-            label = components(held.unionByName(second))
+    def merged(label, links):
+        """Components of the old ones and the new links."""
+        held = label.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        return components(held.unionByName(links))
+
+    tested = star
+    for last in (False, True):
+        rest = _mixed(members, label)
+        if rest is None:
+            break
+        rest = saved(rest.join(sig, "rep"))
+        pairs = _across(rest, need, texts, size, similarity) if last else _samples(rest, need)
+        pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(pairs)
+        links = saved(_linked(pairs, reps, texts, size, similarity))
+        if not is_empty(links):
+            label = saved(merged(label, links))
     return (signed.join(classes, ["s1", "s2"], "left")
                   .join(saved(label).select(F.col("id").alias("rep"), "component"), "rep", "left")
                   .withColumn("component_id", F.coalesce("component", "rep", "doc_id"))

@@ -113,11 +113,26 @@ def test_components_of_paths_and_hubs(spark):
     assert got == want
 
 
-def test_bands_with_several_components_are_compared_across(spark):
+def test_bands_with_several_components_are_compared_across(spark, monkeypatch):
     rnd = np.random.default_rng(9)
     sig = rnd.integers(0, 2**62, 8).tolist()
     other = rnd.integers(0, 2**62, 8).tolist()
-    rows = [(1, r, 1, sig) for r in range(10)] + [(1, 50, 50, sig), (1, 51, 51, other)]
+    same = " ".join(f"w{k}" for k in range(60))
+    texts = [(r, same + (f" x{r}" if r else "")) for r in range(10)] + [(50, same + " y"), (51, same), (52, "a b c d e f")]
+    rows = [(1, r, 1, sig) for r in range(10)] + [(1, 50, 50, sig), (1, 51, 51, other), (1, 52, 52, sig)]
     df = spark.createDataFrame(rows, "band long, rep long, component long, sig array<long>")
-    got = {(r["a"], r["b"]) for r in M._across(df, 100).collect()}
-    assert got == {(r, 50) for r in range(10)}
+    t = spark.createDataFrame(texts, "rep long, t string")
+    for block in (1024, 3):
+        monkeypatch.setattr(M, "BLOCK", block)
+        got = {(r["a"], r["b"]) for r in M._across(df, 100, t, 5, (75, 100)).collect()}
+        # 51 fails the estimate, 52 the codes
+        assert got == {(r, 50) for r in range(10)}
+
+
+def test_set_by_set_counts_equal_bit_rows():
+    rnd = np.random.default_rng(2)
+    codes = [np.unique(rnd.integers(0, 300, 80).astype(np.uint32)) for _ in range(20)]
+    fast = M._shared(codes)
+    for k in range(19):
+        at = np.arange(k + 1, 20)
+        assert fast(k, at).tolist() == [len(np.intersect1d(codes[k], codes[j])) for j in at]
