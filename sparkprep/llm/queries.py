@@ -75,8 +75,8 @@ steps AS (
       CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
     FROM range(256) r(k))),
 crc AS (
-  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x), 2),
-           lambda i: CAST(16 * (instr('0123456789abcdef', x[i + 1]) - 1) + instr('0123456789abcdef', x[i + 2]) - 1 AS BIGINT))),
+  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(x, '..'),
+           lambda h: CAST('0x' || h AS BIGINT))),
            lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) AS text_crc32
   FROM s, steps),
 p AS (
