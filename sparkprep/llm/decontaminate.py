@@ -22,8 +22,6 @@ document row is judged by itself, and equal item ids count once.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame

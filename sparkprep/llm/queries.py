@@ -17,7 +17,7 @@ from . import quality as _quality
 from . import sharding as _sharding
 from . import suffix_dedup as _suffix_dedup
 from . import toxicity as _toxicity
-from .common import held_out, table
+from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

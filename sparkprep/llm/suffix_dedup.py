@@ -465,7 +465,7 @@ def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     single = meta.join(copies.select("doc").distinct(), "doc").groupBy("doc").agg(
         F.min("chk").alias("lo"), F.max("chk").alias("hi")).where("lo = hi").select("doc")
 
-    parts = max(least, int(total >> 24) + 1)
+    parts = max(least, int(total >> 26) + 1)  # about 1.5 million anchors each at most
     dealt = source.select("doc", "text").mapInArrow(
         lambda it: _deal_hashes(it, length, gram, parts), "part int, n int, z binary")
     again = dealt.repartitionById(parts, "part").mapInArrow(_repeated, "doc long, pos int")
