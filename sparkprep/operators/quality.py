@@ -4,8 +4,6 @@ aggregate pass."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +96,3 @@ def benford_test(df: DataFrame, cols, threshold: float = BENFORD_THRESHOLD) -> D
         F.sum(F.abs(F.col("observed") - F.col("expected"))).alias("l1_distance"))
     return (joined.join(dist, "column")
                   .withColumn("follows_benford", F.col("l1_distance") < threshold))
-
-
-def benford_expected_value(d: int) -> float:
-    return math.log10(1 + 1 / d) * 100

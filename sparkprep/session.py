@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # files of a dropped checkpoint go with it
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
