@@ -5,6 +5,7 @@ missing-value tokens, JSON list / struct-of-arrays readers."""
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkprep.functions import text as T
@@ -69,3 +70,41 @@ def test_sentences_and_word_tokens(spark):
     assert w[:3] == ["Hello", "there", "!"] and w[-3:] == ["don", "'", "t"]
     c = df.select(T.clean_tokens(F.col("t"))).first()[0]
     assert c[-1] == "dont"
+
+
+def test_indented_json_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "a" / "names.json").write_text('[\n  "Ann",\n  "Bo b"\n]\n')
+    (tmp_path / "b" / "soa.json").write_text('{\n "X": ["p",\n  "q"],\n "Y": [1, 2]\n}\n')
+    names = IO.read_json_list(spark, str(tmp_path / "a"), lines=False)
+    assert sorted(r["name"] for r in names.collect()) == ["Ann.", "Bo b."]
+    assert sorted(map(tuple, IO.read_json_soa(spark, str(tmp_path / "b"), lines=False).collect())) == [("p", 1), ("q", 2)]
+    with pytest.raises(Exception):
+        IO.read_json_list(spark, str(tmp_path / "a")).collect()  # an indented file read line by line
+
+
+def test_csv_cells_with_line_breaks(spark, tmp_path):
+    rows = [(1, 'a "quoted"\nline, two'), (2, "plain"), (3, None)]
+    path = IO.write_csv(spark.createDataFrame(rows, "k long, t string"), str(tmp_path / "csv"))
+    assert sorted(map(tuple, IO.read_csv(spark, path, "k long, t string").collect()), key=str) == rows
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.csv").write_text("k,t\n1,a\n2\n")
+    with pytest.raises(Exception):
+        IO.read_csv(spark, str(tmp_path / "bad"), "k long, t string").collect()
+
+
+def test_html_elements_in_any_layout(spark):
+    from sparkprep.operators import html as H
+    page = ("<HTML><Title lang=en>\n A  <b>title</b>\n</TITLE><a class=x\n href='one'>first</a>"
+            "<A HREF=two data-href=\"no\">se<i>co</i>nd\n one</A><a name=z>none</a>"
+            "<table><tr><td>1</td></tr></table><TABLE border=1><tr><th>h</th></tr>\n<tr class=r>\n<td>a\n</td>"
+            "<td id=k><b>b</b> c</td></tr></TABLE>")
+    df = spark.createDataFrame([(1, page), (2, ""), (3, None)], "page_id long, html string")
+    assert {r["page_id"]: r["title"] for r in H.title(df).collect()} == {1: "A title", 2: None, 3: None}
+    links = [(r["href"], r["text"]) for r in H.links(df).orderBy("idx").collect()]
+    assert links == [("one", "first"), ("two", "second one"), (None, "none")]
+    second = H.nth_link(df, 2).where("page_id = 1").first()
+    assert (second["href"], second["attrs"]) == ("two", 'HREF=two data-href="no"')
+    rows = H.table_rows(df, cells=(1, 2), table=2).collect()
+    assert [(r["row"], r["cell_1"], r["cell_2"]) for r in rows] == [(1, "a", "b c")]
