@@ -168,13 +168,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     parts = _parts(items, max_broadcast_bytes)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    schema = _hits_schema({"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind])
+    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    if parts > 1:
+        # hits of the parts are united by id and text, so repeated ids keep their own rows
+        source = source.select(F.struct("doc_id", F.xxhash64("t").alias("k")).alias("doc_id"), "t")
+        kind, id_type = f"struct<doc_id:{kind},k:bigint>", pa.struct([("doc_id", id_type), ("k", pa.int64())])
+    schema = _hits_schema(id_type)
     passes = []
     for part in range(parts):
         mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part)
         held = _held(mine, window)
         passes.append(source.mapInArrow(lambda it, held=held: _scan(it, held.value, schema), HITS.format(t=kind)))
-    return passes[0] if parts == 1 else _united(passes)
+    if parts == 1:
+        return passes[0]
+    found = _united(passes).withColumnRenamed("doc_id", "key")
+    rows = source.select("doc_id.doc_id", F.col("doc_id").alias("key"))
+    return rows.join(found, rows["key"].eqNullSafe(found["key"])).drop("key")
 
 
 def _parts(items: DataFrame, max_broadcast_bytes: int) -> int:
@@ -249,7 +258,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                   hit_share: tuple[int, int] = (1, 20),
                   max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """The documents that are not contaminated, with all their columns. A
-    benchmark in one part needs no shuffle: each task drops its own rows."""
+    benchmark in one part needs no shuffle: each task drops its own rows. With
+    several parts an id that stands for several texts goes if one of them is
+    contaminated."""
     items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))
     parts = _parts(items, max_broadcast_bytes)
     if parts == 1:
