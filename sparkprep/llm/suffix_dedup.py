@@ -17,14 +17,17 @@ strings at all byte positions are judged, by a sparse suffix array:
 3. *Suffixes.* The remaining anchors' suffixes (with the bytes to their left
    that owned strings reach) are range-partitioned by their leading bytes,
    with splitters taken from a bounded sample of documents. Splitters also
-   hold the document, so a hot suffix is cut across buckets.
+   hold the document and position, so a hot suffix is cut across buckets.
 4. *Buckets* sort their suffixes locally by multikey quicksort over 8-byte
    symbols, and likewise the reversed left contexts. Longest common prefixes
    of neighbours cut both orders into classes, and the strings at offset o of
    two anchors are equal exactly if their right classes at LENGTH - o and
    their left classes at o are. All but the earliest of a class are marked.
 5. *Borders.* Where a splitter cuts the suffixes of one leading ``GRAM``
-   bytes, the strings still unmarked on both sides are compared once more.
+   bytes, each string still unmarked there is dealt once more, by a 128-bit
+   hash of its ``LENGTH`` bytes; equal hashes count as equal strings. A bucket
+   sends a string once, so a string costs one row per bucket at most and a
+   shared line between differing texts spreads over all parts.
 6. Marked ranges go back to their documents and the rest is hashed.
 
 Texts that equal an earlier document's as a whole are marked at once by a
@@ -33,8 +36,8 @@ Texts that equal an earlier document's as a whole are marked at once by a
 Null is empty; texts shorter than LENGTH lose nothing. A null doc_id counts as the
 smallest. Rows that repeat a doc_id and text are one document (equal results);
 rows that repeat a doc_id with another text are compared by start only.
-Memory of a task: a slice of text (or one document), one flush buffer, or one
-bucket of about ``BUCKET_ROWS`` suffixes.
+Memory of a task: a slice of text (or one document), one flush buffer, one
+bucket of about ``BUCKET_ROWS`` suffixes, or about ``BORDER_STRINGS`` hashes.
 """
 
 from __future__ import annotations
@@ -47,11 +50,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (_BYTE, _powers, bounded_batches, buffers, hash128, mix, saved, slices)
+from .common import (_BYTE, _powers, bounded_batches, buffers, constants, hash128, mix, saved, slices)
 
 LENGTH = 100
 GRAM = 24
 BUCKET_ROWS = 60_000
+BORDER_STRINGS = 1 << 20
 SAMPLE_DOCS = 400
 _FLUSH = 16 << 20
 
@@ -322,11 +326,12 @@ class Suffixes:
         return cols[0], cols[1], cols[2], lo, hi, right, left
 
 
-def _keys(right: np.ndarray, doc: np.ndarray, gram: int) -> np.ndarray:
-    """Leading bytes and document as byte strings that sort like the pair."""
+def _keys(right: np.ndarray, doc: np.ndarray, pos: np.ndarray, gram: int) -> np.ndarray:
+    """Leading bytes, document and position as byte strings that sort like the three."""
     tie = (doc.view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view(np.uint8).reshape(-1, 8)
-    wide = np.ascontiguousarray(np.concatenate([right[:, :gram], tie], 1))
-    return wide.view(f"S{gram + 8}").ravel() if len(wide) else np.empty(0, f"S{gram + 8}")
+    at = pos.astype(">u4").view(np.uint8).reshape(-1, 4)
+    wide = np.ascontiguousarray(np.concatenate([right[:, :gram], tie, at], 1))
+    return wide.view(f"S{gram + 12}").ravel() if len(wide) else np.empty(0, f"S{gram + 12}")
 
 
 def _kept_suffixes(batches, length: int, gram: int):
@@ -357,7 +362,7 @@ def _deal_suffixes(batches, splitters: np.ndarray, length: int, gram: int):
         rows = []
         whole = {}
         for s in held:
-            part = np.searchsorted(splitters, _keys(s.right, s.doc, gram), side="right")
+            part = np.searchsorted(splitters, _keys(s.right, s.doc, s.pos, gram), side="right")
             for k, at in _by_part(part):
                 whole.setdefault(k, []).append((s, at))
         for k in sorted(whole):
@@ -390,51 +395,107 @@ def _joined(parts) -> Suffixes:
     return s
 
 
-_RESULT = "doc long, chk long, start long, stop long, gram binary, n int, z binary"
+_RESULT = "doc long, chk long, start long, stop long, n int, strings long, z binary"
+_CHUNK = 8192  # rows a blob of border rows holds at most
 
 
 def _result(doc, check, start, stop) -> pa.RecordBatch:
     k = len(doc)
     return pa.RecordBatch.from_arrays(
         [pa.array(doc), pa.array(check.astype(np.int64)), pa.array(start.astype(np.int64)),
-         pa.array(stop.astype(np.int64)), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-        names=["doc", "chk", "start", "stop", "gram", "n", "z"])
+         pa.array(stop.astype(np.int64)), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())],
+        names=["doc", "chk", "start", "stop", "n", "strings", "z"])
 
 
 def _resolve(batches, cut_grams: frozenset, length: int, gram: int):
     """Marked ranges of a bucket, and the rows of cut leading bytes that
-    still own an unmarked string (packed, one row per leading bytes)."""
+    still own an unmarked string (packed, after the bits of what is marked)."""
     for _, blobs in _blobs(batches, *Suffixes.KINDS):
         doc, check, pos, lo, hi, right, left = Suffixes.unpack(blobs, length, gram)
         marked = mark(right, left, doc, pos, lo, hi, length)
         row, start, stop = _runs(marked, pos, length)
         yield _result(doc[row], check[row], start, stop)
         if cut_grams:
-            own = marked.sum(1) < hi - lo + 1
+            open_ = hi - lo + 1 - marked.sum(1)
             lead = np.ascontiguousarray(right[:, :gram]).view(f"S{gram}").ravel()
-            hot = np.flatnonzero(own & np.isin(lead, np.array(sorted(cut_grams), f"S{gram}")))
-            if len(hot):
-                s = Suffixes.__new__(Suffixes)
-                s.doc, s.check, s.pos, s.lo, s.hi, s.right, s.left = doc, check, pos, lo, hi, right, left
-                groups: dict[bytes, list] = {}
-                for r in hot.tolist():
-                    groups.setdefault(right[r, :gram].tobytes(), []).append(r)
-                rows = [(g, len(at), s.pack(np.array(at))) for g, at in sorted(groups.items())]
-                k = len(rows)
-                none = pa.nulls(k, pa.int64())
+            hot = np.flatnonzero((open_ > 0) & np.isin(lead, np.array(sorted(cut_grams), f"S{gram}")))
+            s = Suffixes.__new__(Suffixes)
+            s.doc, s.check, s.pos, s.lo, s.hi, s.right, s.left = doc, check, pos, lo, hi, right, left
+            for k in range(0, len(hot), _CHUNK):
+                at = hot[k:k + _CHUNK]
+                none = pa.nulls(1, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [none, none, none, none, pa.array([x[0] for x in rows], pa.binary()),
-                     pa.array([x[1] for x in rows], pa.int32()), pa.array([x[2] for x in rows], pa.binary())],
-                    names=["doc", "chk", "start", "stop", "gram", "n", "z"])
+                    [none, none, none, none, pa.array([len(at)], pa.int32()), pa.array([int(open_[at].sum())]),
+                     pa.array([_packed(np.packbits(marked[at], axis=1)) + s.pack(at)], pa.binary())],
+                    names=["doc", "chk", "start", "stop", "n", "strings", "z"])
 
 
-def _across_borders(table: pa.Table, length: int, gram: int) -> pa.Table:
-    blobs = [(n, _unpacked(z, n, *Suffixes.KINDS)) for n, z in
-             zip(table.column("n").to_pylist(), table.column("z").to_pylist())]
-    doc, check, pos, lo, hi, right, left = Suffixes.unpack(blobs, length, gram)
-    row, start, stop = _runs(mark(right, left, doc, pos, lo, hi, length), pos, length)
-    return pa.table({"doc": pa.array(doc[row]), "chk": pa.array(check[row].astype(np.int64)),
-                     "start": pa.array(start.astype(np.int64)), "stop": pa.array(stop.astype(np.int64))})
+# ------------------------------------------------------------------ borders
+
+def _string_hashes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independently seeded 64-bit hashes of each byte row."""
+    words = _words(rows)
+    out = []
+    for seed in (53, 59):
+        c = constants(words.shape[1] + 1, seed)
+        h = np.full(len(words), c[-1], np.uint64)
+        for k in range(words.shape[1]):
+            h = mix((h ^ words[:, k]) * c[k])
+        out.append(h)
+    return out[0], out[1]
+
+
+_STRING = (np.uint64, np.uint64, np.int64, np.uint32, np.int64)  # both hashes, doc, check, start
+
+
+def _deal_strings(batches, length: int, gram: int, parts: int):
+    """Blobs (part, n, strings) by hash: the unmarked strings of border rows.
+    Columns: n, packed rows."""
+    reach, bits = length - gram, -(-length // 8)
+
+    def flush(held):
+        cols = [np.concatenate(c) for c in zip(*held)]
+        part = (cols[0] % np.uint64(parts)).astype(np.int64)
+        rows = [(k, len(at), _packed(*(c[at] for c in cols))) for k, at in _by_part(part)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+             pa.array([r[2] for r in rows], pa.binary())], names=["part", "n", "z"])
+
+    held, size = [], 0
+    for batch in batches:
+        for n, z in zip(batch.column(0).to_pylist(), batch.column(1)):
+            z = z.as_py()
+            head = zstandard.ZstdDecompressor().decompressobj()
+            marked = np.frombuffer(head.decompress(z), np.uint8).reshape(n, bits)
+            blob = (n, _unpacked(head.unused_data, n, *Suffixes.KINDS))
+            doc, check, pos, lo, hi, right, left = Suffixes.unpack([blob], length, gram)
+            marked = np.unpackbits(marked, axis=1, count=length).astype(bool)
+            text = np.concatenate([left[:, ::-1], right], 1)  # anchor at reach
+            for o in range(int(lo.min()), int(hi.max()) + 1):
+                own = np.flatnonzero((lo <= o) & (o <= hi) & ~marked[:, o])
+                if len(own):
+                    a, b = _string_hashes(text[own, reach - o:reach - o + length])
+                    held.append((a, b, doc[own], check[own], pos[own] - o))
+                    size += 36 * len(own)
+                if size > _FLUSH:
+                    yield flush(held)
+                    held, size = [], 0
+    if held:
+        yield flush(held)
+
+
+def _across_borders(batches, length: int):
+    """Ranges of all strings of a part that also start earlier."""
+    for _, blobs in _blobs(batches, *_STRING):
+        a, b, doc, check, start = (np.concatenate([x[k] for _, x in blobs]) for k in range(5))
+        order = np.lexsort((start, doc, b, a))
+        a, b, doc, check, start = (x[order] for x in (a, b, doc, check, start))
+        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]  # earliest of its class
+        later = np.flatnonzero((doc != doc[head]) | (start != start[head]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc[later]), pa.array(check[later].astype(np.int64)), pa.array(start[later]),
+             pa.array(start[later] + length)], names=["doc", "chk", "start", "stop"])
 
 
 # ---------------------------------------------------------------- operator
@@ -480,9 +541,13 @@ def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = saved(suffixes.repartitionById(len(splitters) + 1, "part").mapInArrow(
         lambda it: _resolve(it, held.value[1], length, gram), _RESULT))
     ranges = found.where("doc is not null").select("doc", "chk", "start", "stop")
-    if cut:
-        ranges = ranges.unionByName(found.where("gram is not null").select("gram", "n", "z").groupBy("gram").applyInArrow(
-            lambda t: _across_borders(t, length, gram), "doc long, chk long, start long, stop long"))
+    strings = found.agg(F.sum("strings")).first()[0] or 0
+    if strings:
+        pieces = max(least, int(strings // BORDER_STRINGS) + 1)
+        border = found.where("strings is not null").select("n", "z").mapInArrow(
+            lambda it: _deal_strings(it, length, gram, pieces), "part int, n int, z binary")
+        ranges = ranges.unionByName(border.repartitionById(pieces, "part").mapInArrow(
+            lambda it: _across_borders(it, length), "doc long, chk long, start long, stop long"))
     whole = copies.select("doc", "chk", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("stop"))
     return ranges.unionByName(whole)
 
@@ -494,14 +559,14 @@ def _splitters(source: DataFrame, wanted: DataFrame, buckets: int, sample_docs:
 
     def keys(batches):
         for s in _kept_suffixes(batches, length, gram):
-            k = _keys(s.right, s.doc, gram)
+            k = _keys(s.right, s.doc, s.pos, gram)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x.ljust(gram + 8, b"\0") for x in k.tolist()], pa.binary())], names=["k"])
+                [pa.array([x.ljust(gram + 12, b"\0") for x in k.tolist()], pa.binary())], names=["k"])
 
     got = source.join(F.broadcast(sample), "doc").select("doc", "text", "chk", "at").mapInArrow(keys, "k binary")
     # bounded: the suffixes of sample_docs documents
     seen = sorted(bytes(r["k"]) for r in got.collect())
-    kind = f"S{gram + 8}"
+    kind = f"S{gram + 12}"
     if len(seen) < buckets:
         buckets = max(1, len(seen))
     cuts = sorted({seen[len(seen) * k // buckets] for k in range(1, buckets)}) if seen else []

@@ -76,3 +76,50 @@ def test_multikey_quicksort_and_prefixes():
     for n, (a, b) in zip(lcp, zip(order[:-1], order[1:])):
         true = next((k for k in range(30) if plain[a][k] != plain[b][k]), 32)
         assert n == true
+
+
+def hot_line(n=300, line=40):
+    """Unique texts around a line shorter than 100 bytes; a few repeat more."""
+    rnd = random.Random(7)
+    junk = lambda k: "".join(rnd.choice("abcdefghij ") for _ in range(k))
+    hot = junk(line)
+    rows = [(k, junk(150) + hot + junk(150)) for k in range(n)]
+    rows += [(n + k, junk(9) + rows[k * 7][1][90:260] + junk(9)) for k in range(20)]
+    return rows
+
+
+def test_hot_line_between_unique_texts(make_docs):
+    for line in (40, 99):
+        rows = hot_line(line=line)
+        assert run(make_docs(rows), bucket_rows=20) == brute(rows)
+
+
+def test_border_strings_of_a_hot_line_spread_over_all_parts():
+    import pyarrow as pa
+    rows = hot_line()
+    data = [t.encode() for _, t in rows]
+    anchors = S.Anchors(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(b) for b in data]), 100, 24)
+    start = np.cumsum([0] + [len(b) for b in data])
+    wanted = [[int(p - start[r]) for p in anchors.pos[anchors.row == r]] for r in range(len(rows))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _ in rows]), pa.array(data, pa.binary()), pa.array([0] * len(rows), pa.int64()),
+         pa.array(wanted, pa.list_(pa.int32()))], names=["doc", "text", "chk", "at"])
+    kept = list(S._kept_suffixes([batch], 100, 24))
+    keys = np.sort(np.concatenate([S._keys(s.right, s.doc, s.pos, 24) for s in kept]))
+    cuts = keys[::40][1:]
+    buckets = list(S._deal_suffixes([batch], cuts, 100, 24))
+    leads = frozenset(bytes(c)[:24] for c in cuts)
+    found = [b for b in S._resolve(buckets, leads, 100, 24) if b.num_rows and b.column("z")[0].as_py()]
+    border = [pa.RecordBatch.from_arrays([b.column("n"), b.column("z")], names=["n", "z"]) for b in found]
+    dealt = list(S._deal_strings(border, 100, 24, 8))
+    size = np.zeros(8, int)
+    for b in dealt:
+        np.add.at(size, b.column("part").to_numpy(), b.column("n").to_numpy())
+    assert sum(x.column("strings")[0].as_py() for x in found) == size.sum() > 5000
+    assert size.max() < 1.3 * size.mean()
+
+
+def test_a_splitter_tells_positions_of_one_document_apart():
+    same = np.tile(np.frombuffer(b"x" * 100, np.uint8), (3, 1))
+    keys = S._keys(same, np.array([4, 4, 4]), np.array([10, 300, 70000]), 24)
+    assert keys[0] < keys[1] < keys[2]
