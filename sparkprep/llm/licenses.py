@@ -133,7 +133,7 @@ def training_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         F.xxhash64("i"), "i", F.xxhash64("t")).limit(max_negative_docs)
     negative = (sample.select(F.explode(paragraphs(F.col("t"))).alias("line"))
                       .withColumn("text", F.lower("line")).where(~stated)
-                      .select(F.substring("line", 1, 2000).alias("text")).distinct())
+                      .select(F.col("line").alias("text")).distinct())
     rows = variants.select("text", (F.col("c") - 1).cast("double").alias("label"), "weight").unionByName(
         negative.select("text", F.lit(float(len(FAMILIES))).alias("label"), F.lit(1.0).alias("weight")))
     return rows.withColumn("held", (F.col("weight") == 1) & (F.pmod(F.xxhash64("text"), F.lit(5)) == 0))

@@ -174,3 +174,9 @@ def test_scores_match_a_plain_sum(make_docs):
                 want[i, p] = ("unknown", round(pr[best], 6))
     assert got.keys() == want.keys()
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in got)
+
+
+def test_negatives_are_whole_lines(make_docs):
+    late = "word " * 600 + "terms of the end"
+    rows = [r["text"] for r in L.training_rows(make_docs([(1, late)])).where("weight = 1").collect()]
+    assert late in rows
