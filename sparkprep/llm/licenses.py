@@ -12,11 +12,24 @@ family must reach is chosen (``calibrate``).
 Scanning: every line of every document is exploded to its terms and joined
 with the table of weighted terms (at most the terms of the templates, so it
 is broadcast); what is left is summed per line by an aggregate that combines
-before the shuffle. A family is confirmed when its probability reaches the
-calibrated bound and the paragraph holds at least ``min_containment`` of the
-word pairs of one of the family's templates. A paragraph likelier to be some
-licence than none but not so confirmed is "unknown". DataFrame functions
-only; the fit is pyspark.ml's.
+before the shuffle. A family is confirmed when the probability of all families
+together reaches the calibrated bound and the paragraph holds at least
+``min_containment`` of the word pairs of one of the family's templates. Of
+several families the likeliest (if it reaches the bound alone), then the best
+contained comes first; a further one must hold as large a share of the pairs
+that the families before it do not have. A paragraph likelier to be some
+licence than none but not so confirmed is "unknown". DataFrame functions only;
+the fit is pyspark.ml's.
+
+Wrapped statements: where the lines of a document that do not have a family
+by themselves hold, with the pairs across their ends, ``min_containment`` of
+one of its templates together, each line end of the document
+between two lines with words is scored as well, with as many words on either
+side as the longest template has (up to a line without words). Statements that
+run over lines are thus met at one line end at least. Neighbouring line ends
+with the same family are one finding, at the line the best of them starts in;
+it is left out where a line of the group has that family by itself, and lines
+of it are not "unknown". Unknown statements are found by line only.
 
 Null and empty texts have one empty paragraph and no finding. Rows that
 repeat a doc_id are told apart by a hash of their text; equal rows get equal
@@ -29,7 +42,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -83,12 +96,20 @@ CLASSES = [*FAMILIES, NONE]
 _WORD = "[\\p{L}\\p{N}]+(?:[.-][\\p{L}\\p{N}]+)*"
 
 
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
+
+
+def _with_pairs(w: Column) -> Column:
+    """Distinct words and neighbouring word pairs of a list of words."""
+    return F.array_distinct(F.concat(w, F.zip_with(
+        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
+        lambda a, b: F.concat_ws(" ", a, b))))
+
+
 def terms(text: Column) -> Column:
     """Distinct words and neighbouring word pairs of a paragraph."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
-    return F.transform(F.array(words), lambda w: F.array_distinct(F.concat(w, F.zip_with(
-        F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b)))))[0]
+    return F.transform(F.array(words_of(text)), _with_pairs)[0]
 
 
 def paragraphs(text: Column) -> Column:
@@ -185,44 +206,216 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return Model(weights, intercept, bound, templates)
 
 
-def scan(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text",
-         min_containment: float = MIN_CONTAINMENT) -> DataFrame:
-    """Findings: doc_id, row_key (hash of the text), paragraph (position),
-    family, probability and containment of the best matching template."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("row_key"),
-                        F.posexplode(paragraphs(F.col(text_col))).alias("paragraph", "line"))
-    hits = (lines.select("doc_id", "row_key", "paragraph", F.explode(terms(F.col("line"))).alias("term"))
-                 .join(F.broadcast(model.weights), "term"))
-    sums = [F.sum(F.col("w")[c]).alias(f"z{c}") for c in range(len(CLASSES))]
-    shared = [F.sum(F.array_contains("templates", t).cast("int")).alias(f"t{t}") for t in range(len(model.pairs))]
-    scored = hits.groupBy("doc_id", "row_key", "paragraph").agg(*sums, *shared)
+_BITS = 63  # pairs of the templates by bit of a long
+
+
+class _Pairs:
+    """Word pairs of the templates as bits of a few longs."""
+
+    def __init__(self, model: Model):
+        rows = sorted((r["term"], r["templates"]) for r in model.weights.select("term", "templates").collect()
+                      if r["templates"])
+        self.longs = max(1, -(-len(rows) // _BITS))
+        self.bit = {t: divmod(k, _BITS) for k, (t, _) in enumerate(rows)}
+        self.family = [f for f, _ in model.pairs]
+        self.size = [max(n, 1) for _, n in model.pairs]
+        self.mask = [[0] * self.longs for _ in model.pairs]
+        for t, templates in rows:
+            j, k = self.bit[t]
+            for m in templates:
+                self.mask[m][j] |= 1 << k
+
+    def weights(self, model: Model) -> DataFrame:
+        spark = model.weights.sparkSession
+        none = [0] * self.longs
+        rows = []
+        for r in model.weights.collect():
+            m = list(none)
+            if r["term"] in self.bit:
+                j, k = self.bit[r["term"]]
+                m[j] = 1 << k
+            rows.append((r["term"], r["w"], m))
+        return spark.createDataFrame(rows, "term string, w array<double>, m array<bigint>")
+
+    def held(self, template: int, prefix: str) -> Column:
+        """Number of the template's pairs among those of columns prefix0, ..."""
+        got = F.lit(0)
+        for j, m in enumerate(self.mask[template]):
+            if m:
+                got = got + F.bit_count(F.col(f"`{prefix}{j}`").bitwiseAND(F.lit(m).cast("long")))
+        return got
+
+    def share(self, prefix: str) -> Column:
+        return F.array(*[self.held(t, prefix) / n for t, n in enumerate(self.size)])
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, make) -> DataFrame:
+    """doc_id, row_key, and ``make`` of the words by line."""
+    by_line = F.transform(paragraphs(F.col(text_col)), words_of)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("row_key"),
+                       F.transform(F.array(by_line), make)[0].alias("made"))
+
+
+def _scored(units: DataFrame, model: Model, pairs: _Pairs, weights: DataFrame) -> DataFrame:
+    """Sums per unit. ``units``: doc_id, row_key, paragraph, words and across
+    (the pair over the end of the line, or null). The pairs of a unit are the
+    bits of o0, ..., with the one across those of x0, ..."""
+    hits = units.select("doc_id", "row_key", "paragraph", F.explode(F.concat(
+        F.transform(_with_pairs(F.col("words")), lambda t: F.struct(t.alias("term"), F.lit(False).alias("over"))),
+        F.array(F.struct(F.col("across").alias("term"), F.lit(True).alias("over"))))).alias("t"))
+    hits = hits.select("doc_id", "row_key", "paragraph", "t.term", "t.over").join(F.broadcast(weights), "term")
+    inside = ~F.col("over")
+    made = [F.sum(F.when(inside, F.col("w")[c])).alias(f"z{c}") for c in range(len(CLASSES))]
+    for j in range(pairs.longs):
+        made += [F.bit_or(F.when(inside, F.col("m")[j]).otherwise(F.lit(0).cast("long"))).alias(f"o{j}"),
+                 F.bit_or(F.col("m")[j]).alias(f"x{j}")]
     z = F.array(*[F.col(f"z{c}") + F.lit(model.intercepts[c]) for c in range(len(CLASSES))])
-    share = F.array(*[F.col(f"t{t}") / max(n, 1) for t, (_, n) in enumerate(model.pairs)])
-    of_family = F.array(*[F.array(*[F.lit(t + 1) for t, (f, _) in enumerate(model.pairs) if f == family])
-                          for family in FAMILIES])
+    bits = [f"{k}{j}" for k in "ox" for j in range(pairs.longs)]
+    return (hits.groupBy("doc_id", "row_key", "paragraph").agg(*made)
+                .select("doc_id", "row_key", "paragraph", z.alias("z"), *bits)
+                .withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
+                .withColumn("p", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, y: a + y)))
+                .drop("z", "e"))
+
+
+def _judged(scored: DataFrame, model: Model, pairs: _Pairs, min_containment: float) -> DataFrame:
+    """Adds the confirmed families (found) and what they are taken from."""
+    longs = range(pairs.longs)
+    union = {f: [0] * pairs.longs for f in FAMILIES}
+    for t, f in enumerate(pairs.family):
+        union[f] = [a | b for a, b in zip(union[f], pairs.mask[t])]
     # equal probabilities: the family first in order wins
-    scored = (scored.select("doc_id", "row_key", "paragraph", z.alias("z"), share.alias("share"))
-                    .withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
-                    .withColumn("p", F.transform("e", lambda x: x / F.aggregate("e", F.lit(0.0), lambda a, y: a + y)))
-                    .withColumn("probability", F.array_max(F.slice("p", 1, len(FAMILIES))))
-                    .withColumn("best", F.array_position(F.slice("p", 1, len(FAMILIES)), F.col("probability")).cast("int"))
-                    .withColumn("containment", F.array_max(F.transform(
-                        F.element_at(of_family, F.col("best")), lambda t: F.element_at("share", t)))))
-    sure = (F.col("probability") >= model.bound) & (F.col("containment") >= min_containment)
+    scored = (scored.withColumn("share", pairs.share("o"))
+                    .withColumn("top", F.array_max(F.slice("p", 1, len(FAMILIES))))
+                    .withColumn("best", F.array_position(F.slice("p", 1, len(FAMILIES)), F.col("top")).cast("int"))
+                    .withColumn("none", F.element_at("p", len(CLASSES))))
+    long = lambda x: F.lit(x).cast("long")
+    candidates = F.array_sort(F.array(*[F.struct(
+        F.when((F.col("top") >= model.bound) & (F.col("best") == FAMILIES.index(f) + 1), 0).otherwise(1).alias("rank"),
+        (-F.col("share")[t]).alias("less"), F.lit(t).alias("t"), F.lit(f).alias("f"),
+        *[long(pairs.mask[t][j]).alias(f"m{j}") for j in longs],
+        *[long(union[f][j]).alias(f"u{j}") for j in longs]) for t, f in enumerate(pairs.family)]))
+    start = F.struct(F.array().cast("array<string>").alias("f"), *[long(0).alias(f"u{j}") for j in longs])
+
+    def take(acc, c):
+        """The family too, if its own pairs are held as well."""
+        own, held = F.lit(0), F.lit(0)
+        for j in longs:
+            left = c[f"m{j}"].bitwiseAND(F.bitwise_not(acc[f"u{j}"]))
+            own = own + F.bit_count(left)
+            held = held + F.bit_count(left.bitwiseAND(F.col(f"o{j}")))
+        fits = ((-c["less"] >= min_containment) & (own > 0) & (held >= own * min_containment)
+                & ~F.array_contains(acc["f"], c["f"]))
+        return F.when(fits, F.struct(
+            F.concat(acc["f"], F.array(c["f"])).alias("f"),
+            *[acc[f"u{j}"].bitwiseOR(c[f"u{j}"]).alias(f"u{j}") for j in longs])).otherwise(acc)
+
+    sure = (1 - F.col("none") >= model.bound) & (F.array_max("share") >= min_containment)
+    found = F.when(sure, F.aggregate(candidates, start, take, lambda acc: acc["f"])).otherwise(
+        F.array().cast("array<string>"))
+    return scored.withColumn("found", found)
+
+
+def _findings(judged: DataFrame, pairs: _Pairs) -> DataFrame:
+    """One row per unit and confirmed family, or one as ``UNKNOWN``."""
     names = F.array(*[F.lit(f) for f in FAMILIES])
-    return (scored.withColumn("family", F.when(sure, F.element_at(names, F.col("best"))).otherwise(F.lit(UNKNOWN)))
-                  .where((F.col("family") != UNKNOWN) | (F.element_at("p", len(CLASSES)) < 0.5))
-                  .select("doc_id", "row_key", "paragraph", "family",
-                          F.round("probability", 6).alias("probability"), "containment"))
+    of_family = F.array(*[F.array(*[F.lit(t + 1) for t, f in enumerate(pairs.family) if f == family])
+                          for family in FAMILIES])
+    judged = (judged.where((F.size("found") > 0) | (F.col("none") < 0.5))
+                    .withColumn("family", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(
+                        F.array(F.lit(UNKNOWN)))))
+                    .withColumn("at", F.when(F.col("family") == UNKNOWN, F.col("best")).otherwise(
+                        F.array_position(names, F.col("family")).cast("int"))))
+    return judged.select("doc_id", "row_key", "paragraph", "family",
+                         F.round(F.element_at("p", F.col("at")), 6).alias("probability"),
+                         F.array_max(F.transform(F.element_at(of_family, F.col("at")),
+                                                 lambda t: F.element_at("share", t))).alias("containment"))
+
+
+def _wrapped(docs: DataFrame, held: DataFrame, model: Model, pairs: _Pairs, weights: DataFrame, id_col: str,
+             text_col: str, min_containment: float) -> DataFrame:
+    """Findings of statements over several lines, with the last line."""
+    open_ = {f: ~F.array_contains(F.coalesce("found", F.array().cast("array<string>")), f) for f in FAMILIES}
+    masks = [F.bit_or(F.when(open_[f], F.col(f"x{j}")).otherwise(F.lit(0).cast("long"))).alias(f"{f}/{j}")
+             for f in FAMILIES for j in range(pairs.longs)]
+    share = F.array(*[pairs.held(t, f"{f}/") / n for t, (f, n) in enumerate(zip(pairs.family, pairs.size))])
+    several = saved(held.groupBy("doc_id", "row_key").agg(*masks).where(F.array_max(share) >= min_containment)
+                        .select(F.col("doc_id").alias("_i"), F.col("row_key").alias("_k")))
+    mine = docs.select(id_col, text_col).join(several, F.col(id_col).eqNullSafe(F.col("_i"))
+                                              & (F.xxhash64(text_col) == F.col("_k")), "left_semi")
+    reach = max(len(t.split()) for f in FAMILIES for t in TEMPLATES[f])
+    start = F.struct(F.array().cast("array<string>").alias("w"), F.lit(True).alias("on"), F.lit(0).alias("n"))
+
+    def after(lines, k):
+        """The words after line k up to ``reach`` and a line without any."""
+        def more(acc, w):
+            on = acc["on"] & (F.size(w) > 0) & (F.size(acc["w"]) < reach)
+            return F.struct(F.when(on, F.concat(acc["w"], F.slice(w, 1, reach))).otherwise(acc["w"]).alias("w"),
+                            on.alias("on"), (acc["n"] + on.cast("int")).alias("n"))
+        return F.aggregate(F.slice(lines, k + 2, reach), start, more)
+
+    def groups(lines):
+        return F.transform(lines, lambda w, k: F.struct(F.slice(
+            w, F.greatest(F.size(w) - reach + 1, F.lit(1)), reach).alias("w"), after(lines, k).alias("next")))
+
+    lines = _lines(mine, id_col, text_col, groups).select("doc_id", "row_key", F.posexplode("made").alias("paragraph", "g"))
+    units = saved(lines.where((F.size("g.w") > 0) & (F.col("g.next.n") > 0)).select(
+        "doc_id", "row_key", "paragraph", F.concat("g.w", F.slice("g.next.w", 1, reach)).alias("words"),
+        (F.col("paragraph") + F.col("g.next.n")).alias("last")).dropDuplicates(["doc_id", "row_key", "paragraph"]))
+    scored = _scored(units.withColumn("across", F.lit(None).cast("string")), model, pairs, weights)
+    found = _findings(_judged(scored, model, pairs, min_containment), pairs).where(F.col("family") != UNKNOWN)
+    ends = units.select(F.col("doc_id").alias("_i"), F.col("row_key").alias("_k"), F.col("paragraph").alias("_p"), "last")
+    return found.join(ends, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("row_key") == F.col("_k"))
+                      & (F.col("paragraph") == F.col("_p"))).drop("_i", "_k", "_p")
+
+
+def scan(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text",
+         min_containment: float = MIN_CONTAINMENT) -> DataFrame:
+    """Findings: doc_id, row_key (hash of the text), paragraph (position),
+    family, probability and containment of its best matching template. A
+    paragraph that states several families has a row for each."""
+    pairs = _Pairs(model)
+    weights = saved(pairs.weights(model))
+    follows = lambda lines: F.transform(lines, lambda w, k: F.struct(
+        w.alias("words"), F.when((F.size(w) > 0) & (F.size(F.get(lines, k + 1)) > 0), F.concat_ws(
+            " ", F.element_at(w, -1), F.get(lines, k + 1)[0])).alias("across")))
+    lines = _lines(docs, id_col, text_col, follows).select(
+        "doc_id", "row_key", F.posexplode("made").alias("paragraph", "line")).select(
+            "doc_id", "row_key", "paragraph", "line.words", "line.across")
+    any_pair = F.lit(False)
+    for j in range(pairs.longs):
+        any_pair = any_pair | (F.col(f"x{j}") != 0)
+    scored = _scored(lines, model, pairs, weights).where(any_pair | (F.element_at("p", len(CLASSES)) < 0.5))
+    held = saved(_judged(scored, model, pairs, min_containment))
+    # a line that has nothing but the pair across its end is not scored itself
+    single = saved(_findings(held.where("p[0] is not null"), pairs))
+    over = _wrapped(docs, held, model, pairs, weights, id_col, text_col, min_containment)
+    same = lambda a, b: (F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))
+                         & (F.col(f"{a}.row_key") == F.col(f"{b}.row_key")))
+    within = F.col("s.paragraph").between(F.col("g.paragraph"), F.col("g.last"))
+    over = over.alias("g").join(single.alias("s"), same("g", "s") & within & (F.col("s.family") == F.col("g.family")),
+                                "left_anti")
+    # neighbouring line ends with the same family are one finding
+    w = Window.partitionBy("doc_id", "row_key", "family").orderBy("paragraph")
+    over = over.withColumn("new", F.coalesce(F.col("paragraph") - F.lag("paragraph").over(w) > 1, F.lit(True)))
+    over = over.withColumn("island", F.sum(F.col("new").cast("int")).over(w))
+    top = F.max(F.struct("containment", "probability", (-F.col("paragraph")).alias("less"), "last")).alias("top")
+    over = saved(over.groupBy("doc_id", "row_key", "family", "island").agg(top).select(
+        "doc_id", "row_key", (-F.col("top.less")).alias("paragraph"), "family", "top.probability", "top.containment",
+        "top.last"))
+    rest = single.alias("s").join(over.alias("g"), same("s", "g") & within & (F.col("s.family") == UNKNOWN), "left_anti")
+    return rest.unionByName(over.drop("last"))
 
 
 def summary(docs: DataFrame, findings: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: paragraphs, licence paragraphs, unknown ones
     and the confirmed families."""
     known = F.col("family") != UNKNOWN
-    by_doc = saved(findings.groupBy("doc_id", "row_key").agg(
-        F.count(F.when(known, 1)).alias("n"), F.count(F.when(~known, 1)).alias("u"),
-        F.collect_set(F.when(known, F.col("family"))).alias("f")))
+    by_line = findings.groupBy("doc_id", "row_key", "paragraph").agg(
+        F.collect_set(F.when(known, F.col("family"))).alias("f"), F.max((~known).cast("int")).alias("u"))
+    by_doc = saved(by_line.groupBy("doc_id", "row_key").agg(
+        F.count(F.when(F.size("f") > 0, 1)).alias("n"), F.sum("u").alias("u"),
+        F.array_distinct(F.flatten(F.collect_list("f"))).alias("f")))
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("row_key"),
                        F.size(paragraphs(F.col(text_col))).cast("long").alias("n_paragraphs"))
     b = by_doc.select(F.col("doc_id").alias("_i"), F.col("row_key").alias("_k"), "n", "u", "f")

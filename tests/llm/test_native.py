@@ -176,6 +176,49 @@ def test_scores_match_a_plain_sum(make_docs):
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in got)
 
 
+WRAPPED = {
+    "gpl-3.0": "This program is free software: you can redistribute it and/or modify\n"
+               "it under the terms of the GNU General Public License as published by\n"
+               "the Free Software Foundation, either version 3 of the License, or",
+    "mit": "Permission is hereby\ngranted, free of charge, to any\nperson obtaining a copy of\nthis software",
+    "apache-2.0": " * You may not use this\n * file except in compliance\n * with the License.",
+    "bsd": "# Redistribution and use in source and\n# binary forms, with or without\n# modification, are permitted provided",
+    "cc-by": "This work is licensed under a\nCreative Commons Attribution 4.0\nInternational License.",
+}
+
+
+def test_wrapped_statements_are_found(make_docs):
+    base, _ = license_docs()
+    model = L.train(make_docs(base))
+    rows, want = [], {}
+    for k, (family, text) in enumerate(WRAPPED.items()):
+        for j, (before, after) in enumerate([("", ""), ("Nothing here is of note.\n", "\nWe use this in the work."),
+                                             ("Nothing here is of note.\n\n", "\n\nWe use this in the work.")]):
+            rows.append((10 * k + j, before + text + after))
+            want[10 * k + j] = (rows[-1][1].count("\n") + 1, 1, family)
+        # one word to a line; a line without words would end the statement
+        rows.append((10 * k + 5, "\n".join(w for w in text.split() if w not in "*#")))
+        want[10 * k + 5] = (rows[-1][1].count("\n") + 1, 1, family)
+        # an empty line ends a statement
+        rows.append((10 * k + 6, "\n\n".join(text.split())))
+        want[10 * k + 6] = (rows[-1][1].count("\n") + 1, 0, "")
+    df = make_docs(rows)
+    out = L.summary(df, L.scan(df, model))
+    got = {r["doc_id"]: (r["n_paragraphs"], r["n_license"], r["families"]) for r in out.collect()}
+    assert got == want
+
+
+def test_every_stated_family_of_a_line_is_confirmed(make_docs):
+    base, _ = license_docs()
+    model = L.train(make_docs(base))
+    rows = [(1, "Released under the MIT License. Licensed under the Apache License, Version 2.0."),
+            (2, "Licensed under CC BY-NC 4.0."), (3, "Licensed under CC BY 4.0."),
+            (4, "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.")]
+    df = make_docs(rows)
+    got = {r["doc_id"]: (r["n_license"], r["families"]) for r in L.summary(df, L.scan(df, model)).collect()}
+    assert got == {1: (1, "apache-2.0,mit"), 2: (1, "cc-by-nc"), 3: (1, "cc-by"), 4: (1, "cc-by,cc-by-nc")}
+
+
 def test_negatives_are_whole_lines(make_docs):
     late = "word " * 600 + "terms of the end"
     rows = [r["text"] for r in L.training_rows(make_docs([(1, late)])).where("weight = 1").collect()]
