@@ -10,7 +10,7 @@ from tools.oracle_check import compare
 # compare float reprs: a value hash sees -0.0 vs 0.0 and Decimal vs double
 oc.STRICT = True
 
-from conftest import SF_SMALL
+from tables_dir import SF_SMALL
 
 ORACLES = entry.oracle_sql()
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from tables_dir import SF_SMALL
 from sparkprep.operators import neighbours as NB
 from sparkprep.operators.ordering import global_rank
 from sparkprep.operators.scan import grouped_scan
