@@ -203,6 +203,15 @@ class Words:
         return np.concatenate([full, mix(tail)])[order], np.concatenate([rows, short])[order]
 
 
+def string_hashes(col) -> np.ndarray:
+    """A 64-bit hash of each string of an Arrow column (of its bytes only)."""
+    data, offs = buffers(col)
+    power, inverse = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[:len(data)], out=total[1:])
+    return mix((total[offs[1:]] - total[offs[:-1]]) * inverse[offs[:-1]] + np.diff(offs).astype(np.uint64) * _GOLD)
+
+
 def batch_words(col, table: np.ndarray):
     """Yield (first row, row count, ``Words``) over an Arrow text column."""
     data, offs = buffers(col)

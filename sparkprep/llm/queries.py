@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from . import line_dedup as _line_dedup
 from . import minhash as _minhash
 from . import packing as _packing
 from . import quality as _quality
+from . import sentencepieces as _sentencepieces
 from . import sharding as _sharding
 from . import suffix_dedup as _suffix_dedup
 from . import toxicity as _toxicity
@@ -23,6 +25,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -153,3 +158,9 @@ FROM named GROUP BY doc_id
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return _licenses.summary(docs, _licenses.scan(docs, _licenses.train(docs)))
+
+
+@query("op11_sentencepiece")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _sentencepieces.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return _sentencepieces.digest(table(spark, sf_dir, "documents"), model)
