@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as _decontaminate
+from . import divergence as _divergence
 from . import embed_dedup as _embed_dedup
 from . import licenses as _licenses
 from . import line_dedup as _line_dedup
 from . import minhash as _minhash
 from . import packing as _packing
+from . import prefix_trie as _prefix_trie
 from . import quality as _quality
 from . import sentencepieces as _sentencepieces
 from . import sharding as _sharding
@@ -164,3 +166,84 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _sentencepieces.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
     return _sentencepieces.digest(table(spark, sf_dir, "documents"), model)
+
+
+@query("op12_source_divergence", sql=r"""
+WITH d AS (
+  SELECT COALESCE(lang, '') AS lang, COALESCE(source, '') AS source, row_number() OVER () AS r,
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+w AS (
+  SELECT lang, source, r, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING COUNT(DISTINCT r) >= 10),
+sizes AS (SELECT lang, COUNT(*) AS v FROM kept GROUP BY lang),
+n AS (SELECT lang, source, term, COUNT(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT lang, source, COALESCE(SUM(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN n USING (lang, source) GROUP BY lang, source),
+f AS (
+  SELECT lang, source, term, COALESCE(n, 0)::HUGEINT AS n,
+    1 + (1000000000::HUGEINT * (COALESCE(n, 0) + 2)) // (total + 2 * v) AS p
+  FROM g JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN n USING (lang, source, term)),
+l AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (SUM(n) + 2)) //
+    (SUM(SUM(n)) OVER (PARTITION BY lang) + 2 * COUNT(*) OVER (PARTITION BY lang)) AS q
+  FROM f GROUP BY lang, term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, SUM(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT f.lang, f.source, 'term', f.term, (((p - q) * (p - q)) // (p + q))::BIGINT
+  FROM f JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+  FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", sql="""
+WITH steps AS (
+  SELECT list(c ORDER BY k) AS t FROM (
+    SELECT k, list_reduce(list_prepend(k, range(8)), lambda a, i:
+      CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM range(256) r(k))),
+own AS (
+  SELECT conv_id, list({'r': COALESCE(role, ''), 'x': COALESCE(text, '')} ORDER BY turn NULLS FIRST) AS seq
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (
+  SELECT conv_id, seq, xor(list_reduce(list_prepend(4294967295, list_transform(
+      regexp_extract_all(lower(hex(encode(conv_id::VARCHAR))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+      lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) % 9 AS h
+  FROM own, steps),
+built AS (
+  SELECT c.conv_id, list_concat(list_slice(COALESCE(b.seq, []), 1, h), list_slice(c.seq, h + 1, len(c.seq))) AS seq
+  FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (
+  SELECT conv_id, len(seq) AS n, depth, list_slice(seq, 1, depth) AS p
+  FROM (SELECT *, unnest(range(len(seq) + 1)) AS depth FROM built)),
+nodes AS (
+  SELECT p, depth, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs,
+    sha256(COALESCE(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE strlen(p[depth].x) END AS bytes
+  FROM prefixes GROUP BY p, depth),
+kids AS (SELECT list_slice(p, 1, depth - 1) AS p, depth - 1 AS depth, COUNT(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT n.*, COALESCE(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (p, depth)),
+below AS (
+  SELECT list_slice(p, 1, d) AS p, d AS depth, SUM(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+    SUM((n_convs - 1) * bytes) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM full_nodes) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below USING (p, depth)
+LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.p = list_slice(n.p, 1, n.depth - 1)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prefix_trie.trie(table(spark, sf_dir, "conversations"))

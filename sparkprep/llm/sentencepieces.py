@@ -21,6 +21,10 @@ occurrences of a frequent word. A task holds one block (or one document, where
 that is longer) or the distinct chunks of one shard; shards follow
 ``spark.sql.shuffle.partitions``. What is shuffled is compressed.
 
+The documents are read twice, for the lists and for the code sequences; rows
+must come in the same order each time, as they do from a stored table. A block
+and its lists are sealed with a hash, and a difference raises RuntimeError.
+
 The model file is read once by the driver and shipped with the tasks (its size
 is checked against ``MAX_MODEL_BYTES``). A model whose pieces cross markers, or
 whose normaliser does more than write markers, is refused with ValueError.
@@ -35,6 +39,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +52,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, buffers, slices, string_hashes
 
 MARK = "▁"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+DECODED_IDS = 1 << 18
 MAX_MODEL_BYTES = 64 << 20
 
 
@@ -83,9 +89,11 @@ def chunks_of(data: np.ndarray, offs: np.ndarray) -> tuple[pa.StringArray, np.nd
     cut[1:] &= ~space[:-1]
     rows = offs[:-1][np.diff(offs) > 0]
     cut[rows] = False  # a row's first chunk has its marker from the library; a space there is content
-    marks = np.union1d(rows, np.flatnonzero(cut))
-    removed = np.cumsum(cut)
-    at = marks - (removed[marks] - cut[marks]) if len(marks) else marks
+    begins = cut.copy()
+    begins[rows] = True
+    marks = np.flatnonzero(begins)
+    gone = cut[marks]
+    at = marks - (np.cumsum(gone) - gone)  # bytes that were cut out before
     kept = data[~cut]
     offsets = np.append(at, len(kept)).astype(np.int32)
     chunks = pa.StringArray.from_buffers(len(marks), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept)))
@@ -130,22 +138,25 @@ def _block(ids: pa.Array, text: pa.Array, block: int, shards: int, kind: pa.Data
     coded = chunks.dictionary_encode()
     index = coded.indices.to_numpy()
     names = coded.dictionary
-    owner = (string_hashes(names) % np.uint64(shards)).astype(np.int64)
+    hashes = string_hashes(names)
+    owner = (hashes % np.uint64(shards)).astype(np.int64)
     order = np.argsort(owner, kind="stable")
     by_rank = np.argsort(-np.bincount(index, minlength=len(names)), kind="stable")
-    rank = np.empty(len(names), np.int64)
-    rank[by_rank] = np.arange(len(names))
+    rank = np.empty(len(names), np.int32)
+    rank[by_rank] = np.arange(len(names), dtype=np.int32)
     code = np.empty(len(names), np.int64)
     code[order] = np.arange(len(names))
     ranks = rank[index] if len(index) else index
     low = np.minimum(ranks, 0xFFFF).astype(np.uint16)
     high = ranks[ranks >= 0xFFFF]
-    rows = [(-1, ids, _pack(_small(counts), low, _small(high), _small(code[by_rank])))]
     bounds = np.searchsorted(owner[order], np.arange(shards + 1))
+    some = np.flatnonzero(np.diff(bounds))
+    seal = np.add.reduceat(hashes[order] * np.arange(1, len(names) + 1, dtype=np.uint64), bounds[some]) if len(some) else hashes
+    rows = [(-1, ids, _pack(_small(counts), low, _small(high), _small(code[by_rank]), seal))]
     listed = names.take(pa.array(order))
     none = pa.array([], kind)
-    for s in np.flatnonzero(np.diff(bounds)):
-        rows.append((int(s), none, _pack(*_text_of(listed.slice(bounds[s], bounds[s + 1] - bounds[s])))))
+    for s, x in zip(some, seal):
+        rows.append((int(s), none, _pack(*_text_of(listed.slice(bounds[s], bounds[s + 1] - bounds[s])), x)))
     yield pa.RecordBatch.from_arrays(
         [pa.array([block] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
          pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(r[1]) for r in rows]).astype(np.int32)),
@@ -185,34 +196,48 @@ def _listed(batches, shards: int, block_bytes: int):
 
 # ---------------------------------------------------------------- segments
 
+class _Grown:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.room, self.size = np.empty(1 << 12, dtype), 0
+
+    def add(self, values: np.ndarray):
+        need = self.size + len(values)
+        if need > len(self.room):
+            room = np.empty(max(need, 2 * len(self.room)), self.room.dtype)
+            room[:self.size] = self.room[:self.size]
+            self.room = room
+        self.room[self.size:need] = values
+        self.size = need
+
+
 def _answered(batches, model: bytes):
     """For each list of chunks its ids: all ids in order and each chunk's
     number of them. The table of this shard's distinct chunks grows as lists
     come by; a chunk is segmented once."""
     sp = _processor(model)
-    lone = sp.encode("x ")[len(sp.encode("x")):]  # a marker that nothing follows
-    place: dict[str, int] = {"": 0}
-    ids, start = [np.array(lone, np.int32)], [0]
-    lengths = [len(lone)]
-    flat, begin, count = None, None, None
+    place: dict[str, int] = {}
+    flat, begin, count = _Grown(np.int32), _Grown(np.int64), _Grown(np.int64)
+
+    def learn(names: list[str], found: list[list[int]]):
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        begin.add(flat.size + np.cumsum(n) - n)
+        flat.add(np.fromiter(chain.from_iterable(found), np.int32, int(n.sum())))
+        count.add(n)
+        place.update(zip(names, range(len(place), len(place) + len(names))))
+
+    learn([""], [sp.encode("x ")[len(sp.encode("x")):]])  # a marker that nothing follows
     for batch in batches:
         blobs = []
         for blob in batch.column("blob").to_pylist():
-            names = _strings(*_unpack(blob)).to_pylist()
+            data, lengths, seal = _unpack(blob)
+            names = _strings(data, lengths).to_numpy(zero_copy_only=False).tolist()
             new = [n for n in names if n not in place]
-            if new:
-                for n, got in zip(new, sp.encode(new, num_threads=1)):
-                    place[n] = len(lengths)
-                    start.append(start[-1] + lengths[-1])
-                    lengths.append(len(got))
-                    ids.append(np.array(got, np.int32))
-                flat = None
-            if flat is None:
-                flat = np.concatenate(ids)
-                ids = [flat]
-                begin, count = np.array(start, np.int64), np.array(lengths, np.int64)
+            for k in range(0, len(new), 20_000):
+                learn(new[k:k + 20_000], sp.encode(new[k:k + 20_000], num_threads=1))
             at = np.fromiter((place[n] for n in names), np.int64, len(names))
-            blobs.append(_pack(_small(count[at]), _small(_gather(flat, begin[at], count[at]))))
+            blobs.append(_pack(_small(count.room[at]), _small(_gather(flat.room, begin.room[at], count.room[at])), seal))
         yield pa.RecordBatch.from_arrays(
             [batch.column("block"), batch.column("shard"), pa.array(blobs, pa.binary())],
             names=["block", "shard", "blob"])
@@ -231,13 +256,15 @@ def _joined(docs: pa.Table, answers: pa.Table) -> pa.Table:
     out = pa.schema([("id", kind), ("ids", pa.list_(pa.int32()))])
     if docs.num_rows == 0:
         return out.empty_table()
-    counts, low, high, code = _unpack(docs.column("blob")[0].as_py())
+    counts, low, high, code, seal = _unpack(docs.column("blob")[0].as_py())
     counts = counts.astype(np.int64)
     rank = low.astype(np.int64)
     rank[low == 0xFFFF] = high
     order = np.argsort(answers.column("shard").to_numpy())
     blobs = answers.column("blob")
     parts = [_unpack(blobs[int(k)].as_py()) for k in order]
+    if [p[2] for p in parts] != list(seal):
+        raise RuntimeError("the documents came in another order when they were read again; give a stored table")
     n = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.empty(0, np.int64)
     flat = np.concatenate([p[1] for p in parts]).astype(np.int32) if parts else np.empty(0, np.int32)
     begin = np.cumsum(n) - n
@@ -272,15 +299,17 @@ def _texts(batches, model: bytes):
     sp = _processor(model)
     for batch in batches:
         ids = batch.column(batch.schema.get_field_index("ids"))
-        # a few documents at a time: their ids are Python lists for a moment
-        text = [sp.decode(x) for k in range(0, len(ids), 64) for x in ids.slice(k, 64).to_pylist()]
-        yield batch.append_column("decoded", pa.array(text, pa.string()))
+        offs = ids.offsets.to_numpy()
+        flat = ids.values.to_numpy()
+        for i, j in slices(offs.astype(np.int64), DECODED_IDS):
+            text = [sp.decode(flat[offs[k]:offs[k + 1]].tolist()) for k in range(i, j)]
+            yield batch.slice(i, j - i).append_column("decoded", pa.array(text, pa.string()))
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """Adds the column ``decoded``: the text of ``ids`` (null: empty)."""
     bounded_batches(encoded.sparkSession)
-    filled = encoded.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    filled = encoded.withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<int>")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in filled.schema.fields)
     return filled.mapInArrow(lambda it: _texts(it, model), f"{schema}, decoded string")
 
