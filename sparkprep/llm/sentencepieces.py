@@ -190,6 +190,7 @@ def _listed(batches, shards: int, block_bytes: int):
         if size >= block_bytes:
             yield from cut(*ready())
             held, size = [], 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield from cut(*ready())
 
@@ -250,10 +251,10 @@ def _gather(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarra
     return flat[np.repeat(begin - before, count) + np.arange(total)]
 
 
-def _joined(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    """The ids of each document of one block."""
+def _joined(docs: pa.Table, answers: pa.Table, model: bytes | None = None) -> pa.Table:
+    """The ids of each document of one block, and with a model their text."""
     kind = docs.schema.field("ids").type.value_type
-    out = pa.schema([("id", kind), ("ids", pa.list_(pa.int32()))])
+    out = pa.schema([("id", kind), ("ids", pa.list_(pa.int32())), *([("decoded", pa.string())] if model else [])])
     if docs.num_rows == 0:
         return out.empty_table()
     counts, low, high, code, seal = _unpack(docs.column("blob")[0].as_py())
@@ -272,16 +273,23 @@ def _joined(docs: pa.Table, answers: pa.Table) -> pa.Table:
     ids = _gather(flat, begin[at], n[at])
     upto = np.concatenate([[0], np.cumsum(n[at])])  # ids before each chunk
     offs = upto[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-    names = docs.column("ids").combine_chunks()
-    names = names.chunk(0) if isinstance(names, pa.ChunkedArray) else names
-    return pa.Table.from_arrays([names.flatten(), pa.ListArray.from_arrays(pa.array(offs), pa.array(ids))], schema=out)
+    columns = [docs.column("ids").combine_chunks().flatten(), pa.ListArray.from_arrays(pa.array(offs), pa.array(ids))]
+    if model:
+        columns.append(pa.array(_decoded(_processor(model), ids, offs), pa.string()))
+    pa.default_memory_pool().release_unused()
+    return pa.Table.from_arrays(columns, schema=out)
+
+
+def _decoded(sp, flat: np.ndarray, offs: np.ndarray):
+    return (sp.decode(flat[a:b].tolist()) for a, b in zip(offs[:-1], offs[1:]))
 
 
 def encode(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id, ids) of every row: its piece ids, without begin or end."""
+           block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
+    """(id, ids) of every row: its piece ids, without begin or end; with
+    ``with_text`` also ``decoded``, as ``decode`` adds it, from the same task."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BLOCK_BYTES)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     kind = source.schema["id"].dataType.simpleString()
@@ -291,8 +299,9 @@ def encode(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: s
     answers = (rows.where("shard >= 0").select("block", "shard", "blob").repartition(shards, "shard")
                    .mapInArrow(lambda it: _answered(it, model), "block long, shard int, blob binary"))
     return (rows.where("shard < 0").groupBy("block").cogroup(answers.groupBy("block"))
-                .applyInArrow(_joined, f"id {kind}, ids array<int>")
-                .select(F.col("id").alias(id_col), "ids"))
+                .applyInArrow(lambda d, a: _joined(d, a, model if with_text else None),
+                              f"id {kind}, ids array<int>" + ", decoded string" * with_text)
+                .withColumnRenamed("id", id_col))
 
 
 def _texts(batches, model: bytes):
@@ -302,13 +311,13 @@ def _texts(batches, model: bytes):
         offs = ids.offsets.to_numpy()
         flat = ids.values.to_numpy()
         for i, j in slices(offs.astype(np.int64), DECODED_IDS):
-            text = [sp.decode(flat[offs[k]:offs[k + 1]].tolist()) for k in range(i, j)]
+            text = _decoded(sp, flat, offs[i:j + 1])
             yield batch.slice(i, j - i).append_column("decoded", pa.array(text, pa.string()))
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """Adds the column ``decoded``: the text of ``ids`` (null: empty)."""
-    bounded_batches(encoded.sparkSession)
+    bounded_batches(encoded.sparkSession, BLOCK_BYTES)
     filled = encoded.withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<int>")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in filled.schema.fields)
     return filled.mapInArrow(lambda it: _texts(it, model), f"{schema}, decoded string")
@@ -317,7 +326,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 def digest(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: str = "text",
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: number of ids, and SHA-256 of the ids and of the decoded text."""
-    both = decode(encode(docs, model, id_col=id_col, text_col=text_col, block_bytes=block_bytes), model)
+    both = encode(docs, model, id_col=id_col, text_col=text_col, block_bytes=block_bytes, with_text=True)
     return both.select(id_col, F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
