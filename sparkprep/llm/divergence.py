@@ -48,10 +48,11 @@ from .common import ASCII_LOWER, bounded_batches, buffers, saved, slices, string
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
-BLOCK_POSTINGS = 1 << 20
-SHARD_ENTRIES = 1 << 18
+BLOCK_POSTINGS = 1 << 19
+SHARD_ENTRIES = 1 << 17
 MAX_GROUPS = 1 << 20
 TILE, MAX_TILES = 256, 16
+BATCH_BYTES = 8 << 20
 
 _TERM_BYTE = np.zeros(256, bool)
 _TERM_BYTE[0x41:0x5B] = _TERM_BYTE[0x61:0x7B] = _TERM_BYTE[0x80:] = True
@@ -76,70 +77,79 @@ def terms_of(data: np.ndarray, offs: np.ndarray) -> tuple[pa.StringArray, np.nda
         len(at), pa.py_buffer(np.append(first, total).astype(np.int32)), pa.py_buffer(body)), row
 
 
-def _postings(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
-    """(lang, term, source, n, docs) of a slice of rows: occurrences, and
-    documents that hold the term."""
+def _postings(group: np.ndarray, text: pa.Array) -> pa.Table:
+    """(group, term, n, docs) of a slice of rows: occurrences, and documents
+    that hold the term."""
     terms, row = terms_of(*buffers(text))
     coded = terms.dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64)
-    pair, count = np.unique(row * max(1, len(coded.dictionary)) + code, return_counts=True)
-    r, c = pa.array(pair // max(1, len(coded.dictionary))), pa.array(pair % max(1, len(coded.dictionary)))
-    return pa.table({"lang": lang.take(r), "term": coded.dictionary.take(c), "source": source.take(r),
-                     "n": pa.array(count, pa.int64()), "docs": pa.array(np.ones(len(pair), np.int64))})
+    width = max(1, len(coded.dictionary))
+    pair, count = np.unique(row * width + coded.indices.to_numpy(), return_counts=True)
+    # documents of one group: add up before terms are copied
+    cell, place = np.unique(group[pair // width] * width + pair % width, return_inverse=True)
+    return pa.table({"group": pa.array((cell // width).astype(np.int32)), "term": coded.dictionary.take(pa.array(cell % width)),
+                     "n": pa.array(np.bincount(place, count, len(cell)).astype(np.int64)),
+                     "docs": pa.array(np.bincount(place, minlength=len(cell)))})
 
 
 def _compact(parts: list[pa.Table]) -> pa.Table:
-    return pa.concat_tables(parts).group_by(["lang", "term", "source"]).aggregate(
-        [("n", "sum"), ("docs", "sum")]).rename_columns(["lang", "term", "source", "n", "docs"])
+    return pa.concat_tables(parts).group_by(["group", "term"]).aggregate(
+        [("n", "sum"), ("docs", "sum")]).rename_columns(["group", "term", "n", "docs"])
 
 
 _RUN = "shard int, lang string, term string, docs long, sources array<string>, counts array<long>"
 
 
-def _run(index: pa.Table):
+def _run(index: pa.Table, groups: list[tuple[str, str]]):
     """The index as a run: one entry a term, in the order of language and term."""
     index = index.combine_chunks()
-    key = string_hashes(index.column("term").combine_chunks())
-    key = key ^ (string_hashes(index.column("lang").combine_chunks()) >> np.uint64(1))
-    index = index.append_column("shard", pa.array((key >> np.uint64(33)).astype(np.int32)))
-    index = index.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")])
-    index = index.combine_chunks()
-    lang, term = index.column("lang").combine_chunks(), index.column("term").combine_chunks()
+    langs, sources = sorted({g[0] for g in groups}), pa.array([g[1] for g in groups], pa.string())
+    place = {x: k for k, x in enumerate(langs)}
+    lang_of = np.array([place[g[0]] for g in groups], np.int32)
+    index = index.append_column("lang", pa.array(lang_of[index.column("group").to_numpy()]))
+    order = pc.sort_indices(index, [("lang", "ascending"), ("term", "ascending"), ("group", "ascending")])
+    lang = index.column("lang").to_numpy()[order.to_numpy()]
+    term = index.column("term").combine_chunks().take(order)
     n = len(term)
     new = np.ones(n, bool)
     if n > 1:
-        same = pc.and_(pc.equal(lang.slice(1), lang.slice(0, n - 1)), pc.equal(term.slice(1), term.slice(0, n - 1)))
-        new[1:] = ~same.to_numpy(zero_copy_only=False)
+        new[1:] = (lang[1:] != lang[:-1]) | pc.not_equal(term.slice(1), term.slice(0, n - 1)).to_numpy(zero_copy_only=False)
     at = np.flatnonzero(new)
-    offs = pa.array(np.append(at, n).astype(np.int32))
-    take = pa.array(at)
-    docs = np.add.reduceat(index.column("docs").to_numpy(), at) if n else np.empty(0, np.int64)
-    whole = pa.RecordBatch.from_arrays(
-        [index.column("shard").combine_chunks().take(take), lang.take(take), term.take(take), pa.array(docs, pa.int64()),
-         pa.ListArray.from_arrays(offs, index.column("source").combine_chunks()),
-         pa.ListArray.from_arrays(offs, index.column("n").combine_chunks())],
-        names=["shard", "lang", "term", "docs", "sources", "counts"])
-    for k in range(0, whole.num_rows, 50_000):
-        yield whole.slice(k, 50_000)
+    offs = np.append(at, n).astype(np.int32)
+    docs, count, group = (index.column(c).to_numpy()[order.to_numpy()] for c in ("docs", "n", "group"))
+    docs = np.add.reduceat(docs, at) if n else docs
+    names = term.take(pa.array(at))
+    salt = string_hashes(pa.array(langs, pa.string())) if langs else np.empty(0, np.uint64)
+    shard = ((string_hashes(names) ^ (salt[lang[at]] >> np.uint64(1))) >> np.uint64(33)).astype(np.int32)
+    for k in range(0, len(at), 50_000):
+        s = slice(k, min(k + 50_000, len(at)))
+        part = slice(offs[s.start], offs[s.stop])
+        cut = pa.array(offs[s.start:s.stop + 1] - offs[s.start])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shard[s]), pa.array(langs, pa.string()).take(pa.array(lang[at[s]])), names.slice(k, s.stop - k),
+             pa.array(docs[s]), pa.ListArray.from_arrays(cut, sources.take(pa.array(group[part]))),
+             pa.ListArray.from_arrays(cut, pa.array(count[part]))],
+            names=["shard", "lang", "term", "docs", "sources", "counts"])
 
 
 def _runs(batches, block_postings: int):
-    held, size, floor = [], 0, 0
+    held, size, floor, known = [], 0, 0, {}
     for batch in batches:
-        lang, source, text = (pc.fill_null(batch.column(k), "") for k in range(3))
+        names = zip(*(pc.fill_null(batch.column(k), "").to_pylist() for k in range(2)))
+        group = np.fromiter((known.setdefault(x, len(known)) for x in names), np.int64, batch.num_rows)
+        text = pc.fill_null(batch.column(2), "")
         _, offs = buffers(text)
         for i, j in slices(offs):
-            part = _postings(lang.slice(i, j - i), source.slice(i, j - i), text.slice(i, j - i))
-            held.append(part)
-            size += part.num_rows
+            held.append(_postings(group[i:j], text.slice(i, j - i)))
+            size += held[-1].num_rows
             if size >= block_postings + floor:
                 held = [_compact(held)]
                 size = floor = held[0].num_rows
                 if size >= block_postings // 2:  # memory is full of different postings
-                    yield from _run(held[0])
+                    yield from _run(held[0], list(known))
                     held, size, floor = [], 0, 0
+                    pa.default_memory_pool().release_unused()
     if held:
-        yield from _run(_compact(held))
+        yield from _run(_compact(held), list(known))
 
 
 # ---------------------------------------------------------------- merge
@@ -178,7 +188,7 @@ def frequencies(docs: DataFrame, *, min_docs: int = MIN_DOCS, block_postings: in
     """(lang, term, sources, counts) of the kept terms: the sources that hold
     the term, ascending, and how often."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_BYTES)
     runs = saved(docs.select("lang", "source", "text").mapInArrow(lambda it: _runs(it, block_postings), _RUN))
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // shard_entries))
     dealt = runs.withColumn("shard", F.col("shard") % F.lit(shards))
