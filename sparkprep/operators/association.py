@@ -68,10 +68,11 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
-    """sqrt(chi2 / (n * (min(rows, cols) - 1)))."""
+    """sqrt(chi2 / (n * (min(rows, cols) - 1))); null where one of the columns
+    has a single category."""
     cs = chi_square(df, a, b)
-    return cs.select("chi2", "n", F.sqrt(F.col("chi2") / (
-        F.col("n") * (F.least("n_rows", "n_cols") - 1))).alias("cramers_v"))
+    return cs.select("chi2", "n", F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (
+        F.least("n_rows", "n_cols") - 1))).alias("cramers_v"))
 
 
 def _corr(x: str, y: str) -> Column:

@@ -117,15 +117,17 @@ def scalar_quantile(df: DataFrame, col: str, prob: float) -> Column:
 
 
 def corrected_skewness(c: str) -> Column:
-    """Bias-corrected sample skewness G1 (pandas ``skew``)."""
+    """Bias-corrected sample skewness G1 (pandas ``skew``; null under three
+    values)."""
     n = F.count(c).cast("double")
-    return F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2)
+    return F.try_divide(F.skewness(c) * F.sqrt(n * (n - 1)), n - 2)
 
 
 def corrected_kurtosis(c: str) -> Column:
-    """Bias-corrected excess kurtosis G2 (pandas ``kurt``)."""
+    """Bias-corrected excess kurtosis G2 (pandas ``kurt``; null under four
+    values)."""
     n = F.count(c).cast("double")
-    return (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)
+    return F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6)
 
 
 def mode_values(df: DataFrame, col: str) -> DataFrame:

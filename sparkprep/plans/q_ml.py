@@ -8,13 +8,18 @@ from pyspark.ml.feature import CountVectorizer, RegexTokenizer
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD2
+from ..operators import boosting as BO
 from ..operators import ml as ML
+from ..operators import trees as TR
 from ..operators.sampling import split_hash
 from ..sources import files as IO
 from ..sources.tables import load
 from .registry import query
 
 
+GBT_ROUNDS = 100
+
+
 def _emb_split(spark, sf, binary: bool):
     e = load(spark, sf, "embeddings")
     e = e.withColumn("label", ((F.col("label") < 5).cast("double") if binary
@@ -42,18 +47,24 @@ def q_linear_svm(spark, sf):
                                         F.lit(margin).cast("double").alias("margin"))
 
 
+def _emb_classes(spark, sf):
+    """Training and test rows, and the number of classes (labels are 0, 1, ...)."""
+    e = split_hash(load(spark, sf, "embeddings").select("vec_id", "label", "embedding"), "vec_id", (0.8, 0.2), ("train", "test"))
+    k = e.agg(F.max("label")).first()[0]
+    return e.filter(F.col("split") == "train"), e.filter(F.col("split") == "test"), 0 if k is None else int(k) + 1
+
+
 @query("tree_entropy")
 def q_tree_entropy(spark, sf):
-    train, test = _emb_split(spark, sf, binary=False)
-    model = ML.entropy_tree().fit(train)
-    return model.transform(test).select("vec_id", "label", "prediction")
+    train, test, k = _emb_classes(spark, sf)
+    out = TR.predict_tree(TR.grow_tree(train, k, features="embedding"), test, "embedding")
+    return out.select("vec_id", F.col("label").cast("double").alias("label"), "prediction")
 
 
 @query("tree_rules")
 def q_tree_rules(spark, sf):
-    train, _ = _emb_split(spark, sf, binary=False)
-    model = ML.entropy_tree().fit(train)
-    return ML.tree_rules(spark, model, [f"dim_{i}" for i in range(64)])
+    train, _, k = _emb_classes(spark, sf)
+    return TR.tree_table(TR.grow_tree(train, k, features="embedding"), [f"dim_{i}" for i in range(64)])
 
 
 @query("random_forest")
@@ -74,11 +85,22 @@ def _orders_features(spark, sf):
     return split_hash(f, "o_orderkey", (0.8, 0.2), ("train", "test"))
 
 
+def _orders_model(spark, sf):
+    f = _orders_features(spark, sf).withColumn("x", F.array("o_totalprice", "prio", "year"))
+    model = BO.boost(f.filter(F.col("split") == "train"), 3, 3, features="x", rounds=GBT_ROUNDS)
+    return model, f.filter(F.col("split") == "test")
+
+
 @query("gbt_multiclass")
 def q_gbt_multiclass(spark, sf):
-    f = _orders_features(spark, sf)
-    model = ML.gbt_multiclass().fit(f.filter(F.col("split") == "train"))
-    return model.transform(f.filter(F.col("split") == "test")).select("o_orderkey", "label", "prediction")
+    model, test = _orders_model(spark, sf)
+    return BO.predict(model, test.select("o_orderkey", "label", "x"), "x").select("o_orderkey", "label", "prediction")
+
+
+@query("gbt_loss")
+def q_gbt_loss(spark, sf):
+    """Mean softmax loss of the training rows before each round and after the last."""
+    return _orders_model(spark, sf)[0].loss_table(spark)
 
 
 @query("mlp_grid")

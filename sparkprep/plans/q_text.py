@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import html as H
 from ..operators import index as IX
+from ..operators import nearest as NQ
 from ..operators import retrieval as R
 from ..operators import sequences as SQ
+from ..operators import simjoin as SJ
 from ..operators import text as TX
+from ..operators.encoding import label_index
 from ..operators.ordering import global_rank
 from ..operators.sampling import split_hash
+from ..session import cut_lineage
 from ..sources.tables import load, spread
 from .common import rounded, sig_round, sig_round_sql
 from .registry import query
@@ -198,15 +202,61 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER B
 SELECT doc_id, item_id, coalesce(cosine, 0.0) AS cosine FROM documents LEFT JOIN best USING (doc_id)
 """)
 def q_cosine_rank(spark, sf):
-    """The benchmark item nearest to every document: all items are scored."""
+    """The benchmark item nearest to every document, of all items; items are
+    passed over by the impact bounds of their blocks and terms."""
     tf = IX.term_frequencies(vec_token_rows(spark, sf), materialize=True)
     idf = IX.idf_smooth_fit(tf, IX.doc_count(_docs(spark, sf)))
     qtoks = load(spark, sf, "benchmark").select("item_id", F.explode(T.vectorizer_tokens(F.col("text"))).alias("token"))
-    best = IX.nearest_query(tf, IX.term_frequencies(qtoks, "item_id"), idf, query="item_id")
+    best = NQ.nearest_query(tf, IX.term_frequencies(qtoks, "item_id"), idf, query="item_id")
     return (_docs(spark, sf).select("doc_id").join(best, "doc_id", "left")
             .select("doc_id", "item_id", F.coalesce("cosine", F.lit(0.0)).alias("cosine")))
 
 
+_CLASS_SQL = _SMOOTH_SQL + """
+, sig AS (SELECT doc_id, md5(string_agg(token || ' ' || tf, ',' ORDER BY token)) AS h FROM tf GROUP BY doc_id),
+cls AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS rep FROM sig)
+"""
+
+
+@query("cosine_join_sparse", _CLASS_SQL + """
+, r AS (SELECT nw.* FROM nw JOIN cls USING (doc_id) WHERE doc_id = rep),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, round(sum(a.weight * b.weight), 9) AS cosine
+      FROM r a JOIN r b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY ALL),
+n AS (SELECT rep, count(*) AS n FROM cls GROUP BY rep)
+SELECT a AS doc_a, b AS doc_b, cosine, x.n AS copies_a, y.n AS copies_b
+FROM p JOIN n x ON x.rep = a JOIN n y ON y.rep = b WHERE cosine >= 0.8
+""")
+def q_cosine_join_sparse(spark, sf):
+    """Pairs of documents at a TF-IDF cosine of 0.8 or more; documents with
+    equal vectors are counted on their smallest one."""
+    pairs, member = SJ.similarity_join(_smooth_doc_weights(spark, sf)[2], 0.8)
+    n = member.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
+    return (pairs.join(n.select(F.col("rep").alias("a"), F.col("n").alias("copies_a")), "a")
+                 .join(n.select(F.col("rep").alias("b"), F.col("n").alias("copies_b")), "b")
+                 .select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"), "cosine", "copies_a", "copies_b"))
+
+
+@query("cosine_pairwise_sparse", _SMOOTH_SQL + """
+, l AS (SELECT lang, dense_rank() OVER (ORDER BY lang) - 1 AS cluster, doc_id FROM documents),
+size AS (SELECT cluster, count(*) AS n FROM l GROUP BY cluster),
+c AS (SELECT cluster, token, sum(weight) / any_value(n) AS m FROM nw JOIN l USING (doc_id) JOIN size USING (cluster)
+      GROUP BY cluster, token),
+cn AS (SELECT cluster, sqrt(sum(m * m)) AS cn FROM c GROUP BY cluster),
+d AS (SELECT doc_id, cluster, sum(weight * m) AS dot FROM nw JOIN c USING (token) GROUP BY ALL)
+SELECT doc_id, CAST(cn.cluster AS INTEGER) AS cluster, round(1 - coalesce(dot, 0.0) / cn, 9) AS distance
+FROM (SELECT DISTINCT doc_id FROM nw) x CROSS JOIN cn LEFT JOIN d USING (doc_id, cluster)
+""")
+def q_cosine_pairwise_sparse(spark, sf):
+    """Distances of sparse TF-IDF rows to dense vectors: the mean row of each language."""
+    nw = cut_lineage(_smooth_doc_weights(spark, sf)[2])
+    docs = _docs(spark, sf).select("doc_id", "lang")
+    ids = label_index(docs, "lang", "cluster").withColumnRenamed("value", "lang")
+    sizes = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).join(ids, "lang")
+    cents = (nw.join(docs.join(F.broadcast(sizes), "lang"), "doc_id").groupBy("cluster", "token")
+               .agg((F.sum("weight") / F.max("n")).alias("weight")))
+    return rounded(SJ.centroid_distances(nw, cents, ids.count()), 9)
+
+
 # ------------------------------------------------------------ retrieval metrics
 # One ranked list per language: documents by length (n_chars desc, doc_id),
 # relevant = labelled quality 1 (unlabelled documents are not relevant).

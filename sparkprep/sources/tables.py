@@ -12,10 +12,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters."""
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters. NaN is
+    missing, as after every source (``nan_to_null``)."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -29,6 +30,8 @@ def spread(df: DataFrame) -> DataFrame:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """pandas treats NaN as missing; Spark keeps NaN distinct from NULL and
     NaN poisons aggregates. Map NaN to NULL in float/double columns."""
+    if not any(isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in df.schema.fields):
+        return df
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
