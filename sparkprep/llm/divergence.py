@@ -48,7 +48,7 @@ from .common import ASCII_LOWER, bounded_batches, buffers, saved, slices, string
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
-BLOCK_POSTINGS = 1 << 19
+BLOCK_POSTINGS = 1 << 20
 SHARD_ENTRIES = 1 << 17
 MAX_GROUPS = 1 << 20
 TILE, MAX_TILES = 256, 16
@@ -156,31 +156,39 @@ def _runs(batches, block_postings: int):
 
 def _heap_merge(table: pa.Table, min_docs: int) -> pa.Table:
     """The entries of one shard, merged. An entry's run is not told: a run is
-    where the sorted order breaks."""
+    where the sorted order breaks. The heap orders the entries; their numbers
+    are then added up by arrays."""
     table = table.combine_chunks()
-    langs, terms = table.column("lang").to_pylist(), table.column("term").to_pylist()
-    keys = list(zip(langs, terms))
+    lang, term = table.column("lang").combine_chunks(), table.column("term").combine_chunks()
+    keys = list(zip(*(c.to_numpy(zero_copy_only=False).tolist() for c in (lang, term))))
     cuts = [0, *(k for k in range(1, len(keys)) if keys[k] < keys[k - 1]), len(keys)]
-    order = [k for _, k in heapq.merge(*(((keys[k], k) for k in range(a, b)) for a, b in zip(cuts, cuts[1:])))]
-    docs = table.column("docs").to_numpy()
-    sources, counts = table.column("sources").to_pylist(), table.column("counts").to_pylist()
-    out = {"lang": [], "term": [], "sources": [], "counts": []}
-    k = 0
-    while k < len(order):
-        key, total, by = keys[order[k]], 0, {}
-        while k < len(order) and keys[order[k]] == key:
-            at = order[k]
-            total += int(docs[at])
-            for s, n in zip(sources[at], counts[at]):
-                by[s] = by.get(s, 0) + n
-            k += 1
-        if total >= min_docs:
-            names = sorted(by)
-            for name, value in zip(out, (*key, names, [by[s] for s in names])):
-                out[name].append(value)
-    lists = pa.list_(pa.string()), pa.list_(pa.int64())
-    return pa.table({"lang": pa.array(out["lang"], pa.string()), "term": pa.array(out["term"], pa.string()),
-                     "sources": pa.array(out["sources"], lists[0]), "counts": pa.array(out["counts"], lists[1])})
+    runs = (zip(keys[a:b], range(a, b)) for a, b in zip(cuts, cuts[1:]))
+    order = np.fromiter((k for _, k in heapq.merge(*runs)), np.int64, len(keys))
+    first = np.ones(len(keys), bool)
+    first[1:] = [keys[a] != keys[b] for a, b in zip(order[1:], order[:-1])]
+    entry = np.empty(len(keys), np.int64)  # merged entry of each row
+    entry[order] = np.cumsum(first) - 1
+    docs = np.zeros(int(first.sum()), np.int64)
+    np.add.at(docs, entry, table.column("docs").to_numpy())
+    kept = np.flatnonzero(docs >= min_docs)
+
+    sources, counts = (table.column(c).combine_chunks() for c in ("sources", "counts"))
+    coded = sources.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    ranked = sorted(range(len(names)), key=names.__getitem__)
+    rank = np.empty(len(names), np.int64)
+    rank[ranked] = np.arange(len(names))
+    of = np.repeat(entry, np.diff(sources.offsets.to_numpy()))
+    on = docs[of] >= min_docs if len(of) else np.empty(0, bool)
+    width = max(1, len(names))
+    cell, place = np.unique(of[on] * width + rank[coded.indices.to_numpy()[on]], return_inverse=True)
+    total = np.zeros(len(cell), np.int64)
+    np.add.at(total, place, counts.flatten().to_numpy()[on])
+    offs = pa.array(np.append(np.searchsorted(cell // width, kept), len(cell)).astype(np.int32))
+    at = pa.array(order[first][kept])
+    held = pa.array([names[k] for k in ranked], pa.string()).take(pa.array(cell % width))
+    return pa.table({"lang": lang.take(at), "term": term.take(at), "sources": pa.ListArray.from_arrays(offs, held),
+                     "counts": pa.ListArray.from_arrays(offs, pa.array(total))})
 
 
 def frequencies(docs: DataFrame, *, min_docs: int = MIN_DOCS, block_postings: int = BLOCK_POSTINGS,
