@@ -1,23 +1,20 @@
 """Nearest-neighbour style lookups: gazetteer geocoding (forward by
-normalised name, reverse by great-circle distance) and k-nearest-neighbour
-classification.
+normalised name, reverse by great-circle distance, ``geo``) and k-nearest-
+neighbour classification (``knn``).
 
-One plan for every size: reference tables are met by equi-joins on a blocking
-key (latitude bands) or block by block (k-NN), never shipped whole.
+One plan for every size: reference tables are met by equi-joins on cells,
+rings or names, never shipped whole.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .geo import EARTH_KM, geocode_reverse, haversine_km
+from .knn import knn_classify
 
-EARTH_KM = 6371.0
-BLOCK_BYTES = 8 << 20
-DIST_DIGITS = 6
+__all__ = ["EARTH_KM", "geocode_forward", "geocode_reverse", "haversine_km", "knn_classify", "normalise_name"]
 
 
 def normalise_name(c: Column) -> Column:
@@ -31,100 +28,3 @@ def geocode_forward(df: DataFrame, place: str, gazetteer: DataFrame, name: str =
     broadcast the gazetteer when it is small and shuffle-join it when not."""
     g = gazetteer.withColumn("_k", normalise_name(F.col(name)))
     return df.withColumn("_k", normalise_name(F.col(place))).join(g, "_k", "left").drop("_k")
-
-
-def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    p1, p2 = F.radians(lat1), F.radians(lat2)
-    dp, dl = p2 - p1, F.radians(lng2) - F.radians(lng1)
-    a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    return 2 * EARTH_KM * F.asin(F.sqrt(a))
-
-
-KM_PER_DEG_LAT = EARTH_KM * math.pi / 180
-
-
-def geocode_reverse(points: DataFrame, lat: str, lng: str, gazetteer: DataFrame, name: str = "name",
-                    glat: str = "lat", glng: str = "lng", cell_deg: float = 1.0) -> DataFrame:
-    """Nearest gazetteer place by great-circle distance (rounded distance,
-    then name, decide ties). Adds ``place`` and ``distance_km``; every point
-    row gives one row, repeated ones too; a point without coordinates, or an
-    empty gazetteer, gives nulls.
-
-    Places are keyed by a latitude band of ``cell_deg`` degrees (an
-    equi-join key). Pass 1 compares each point with the places of its own
-    and the two adjacent bands, giving an upper bound d1 on the nearest
-    distance. A great-circle distance is never shorter than the latitude
-    difference (111.19 km per degree), so pass 2 only needs the bands
-    within d1 of the point; points with no candidate in pass 1 widen to
-    every band. Every (point, place) comparison is an equi-join match on a
-    band, never a cross product."""
-    n_bands = int(math.ceil(180 / cell_deg)) + 1
-    band = lambda c: F.floor((F.col(c) + 90) / cell_deg).cast("int")
-    g = gazetteer.select(F.col(name).alias("place"), F.col(glat).cast("double").alias("_glat"),
-                         F.col(glng).cast("double").alias("_glng"), band(glat).alias("_band"))
-    # the row number is fixed by a checkpoint, so every pass sees the same one
-    pts = cut_lineage(points.withColumn("_rid", F.monotonically_increasing_id()))
-    at = pts.select("_rid", F.col(lat).alias("_lat"), F.col(lng).alias("_lng"), band(lat).alias("_pband")
-                    ).where(F.col("_lat").isNotNull() & F.col("_lng").isNotNull())
-    d = F.round(haversine_km(F.col("_lat"), F.col("_lng"), F.col("_glat"), F.col("_glng")), DIST_DIGITS)
-    near = at.withColumn("_band", F.explode(F.array(F.col("_pband") - 1, F.col("_pband"), F.col("_pband") + 1)))
-    first = near.join(g, "_band").groupBy("_rid").agg(F.min(d).alias("_d1"))
-    bounded = at.join(first, "_rid", "left")
-    span = F.when(F.col("_d1").isNull(), F.lit(n_bands)).otherwise(
-        F.ceil(F.col("_d1") / (KM_PER_DEG_LAT * cell_deg)).cast("int") + 1)
-    window = bounded.withColumn("_band", F.explode(F.sequence(
-        F.greatest(F.col("_pband") - span, F.lit(0)), F.least(F.col("_pband") + span, F.lit(n_bands)))))
-    best = window.join(g, "_band").groupBy("_rid").agg(F.min(F.struct(d.alias("d"), F.col("place"))).alias("_b"))
-    return pts.join(best, "_rid", "left").select(
-        *points.columns, F.col("_b.place").alias("place"), F.col("_b.d").alias("distance_km"))
-
-
-def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, vec: str, label: str, k: int = 3,
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Brute-force k nearest neighbours by Euclidean distance, majority vote
-    (count desc, label asc): ``(qkey, pred, votes)``.
-
-    Both sides are dealt into blocks of about ``block_bytes``; a task holds
-    one block of queries and one of the training set, computes their
-    distances in numpy and keeps k per query, and a last top-k merges the
-    blocks. Distances are summed left to right and rounded to 9 places, so
-    ties resolve alike at every size: (distance, label)."""
-    import numpy as np
-    import pandas as pd
-
-    q = queries.select(F.col(qkey).alias("key"), F.col(vec).cast("array<double>").alias("v"))
-    t = train.select(F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("y"))
-    key_type, y_type = dict(q.dtypes)["key"], dict(t.dtypes)["y"]
-
-    def blocks(df):
-        size = df.agg(F.sum(F.size("v") * 8)).first()[0] or 0
-        return int(size // block_bytes) + 1
-
-    nq, nt = blocks(q), blocks(t)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(nq)).cast("int")).withColumn("tb", every(nt))
-    t = t.withColumn("tb", F.pmod(F.xxhash64("v", "y"), F.lit(nt)).cast("int")).withColumn("qb", every(nq))
-
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"key": left["key"][:0], "d": np.empty(0), "y": right["y"][:0]})
-        if left.empty or right.empty:
-            return none
-        x, y = np.stack(right["v"].to_numpy()), right["y"].to_numpy()
-        out = []
-        step = max(1, 2_000_000 // x.size)
-        for at in range(0, len(left), step):
-            part = left.iloc[at:at + step]
-            diff = np.stack(part["v"].to_numpy())[:, None, :] - x[None, :, :]
-            d = np.round(np.sqrt(np.cumsum(diff * diff, axis=2)[:, :, -1]), 9)
-            for row, name in zip(d, part["key"]):
-                best = np.lexsort((y, row))[:k]
-                out.append(pd.DataFrame({"key": [name] * len(best), "d": row[best], "y": y[best]}))
-        return pd.concat(out) if out else none
-
-    cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
-             .applyInPandas(nearest, f"key {key_type}, d double, y {y_type}"))
-    top = (cand.groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k).alias("nn"))
-               .select("key", F.inline("nn")))
-    votes = top.groupBy("key", "y").agg(F.count(F.lit(1)).alias("c"))
-    return votes.groupBy("key").agg(F.min(F.struct((-F.col("c")).alias("nc"), F.col("y"))).alias("b")).select(
-        F.col("key").alias(qkey), F.col("b.y").alias("pred"), (-F.col("b.nc")).alias("votes"))

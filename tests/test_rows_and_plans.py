@@ -102,12 +102,12 @@ def test_reverse_geocode_keeps_repeated_points(spark):
     assert NB.geocode_reverse(pts, "lat", "lng", none).where("place is null").count() == 4
 
 
-def test_knn_does_not_depend_on_the_block_size(spark):
+def test_knn_does_not_depend_on_pivots_and_rings(spark):
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     e = e.unionByName(e.where("vec_id % 5 = 0").withColumn("label", F.col("label") + 1))  # tied distances
     q, t = e.filter(F.col("vec_id") < 50), e.filter(F.col("vec_id") >= 50)
     a = NB.knn_classify(q, t, "vec_id", "embedding", "label", 3)
-    b = NB.knn_classify(q, t, "vec_id", "embedding", "label", 3, block_bytes=20_000)
+    b = NB.knn_classify(q, t, "vec_id", "embedding", "label", 3, pivots=5, ring_rows=9)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
 
 
