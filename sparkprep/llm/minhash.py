@@ -26,9 +26,10 @@ With 32 bands of 4 a pair at similarity 0.75 is no candidate with a chance of
 about 5e-6, one at 0.85 of less than 1e-10.
 
 Null or empty texts and texts without words have no set and are linked with
-nothing. Rows that repeat a doc_id and text get equal results; a null doc_id
-never names a component (a class of null ids only has a null component and is
-kept). Very long texts are hashed whole.
+nothing. Ids may repeat, with equal or with different texts, and may be null:
+links and classes belong to texts, and rows that repeat an id and a text get
+equal results. A null doc_id never names a component (a component of null ids
+only has a null component_id). Very long texts are hashed whole.
 """
 
 from __future__ import annotations
@@ -80,12 +81,12 @@ def _signatures(batches, size: int):
             n = np.diff(bounds)
             some = n > 0
             at = bounds[:-1][some]
-            ids = batch.column(0).slice(i, j - i)
+            ids, text_hash = batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i)
             if not len(at):
                 none = pa.nulls(j - i, pa.int64())
                 lists = pa.nulls(j - i, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), none, none, lists, lists],
-                                                 names=["doc_id", "n", "s1", "s2", "bands", "sig"])
+                yield pa.RecordBatch.from_arrays([ids, text_hash, pa.array(n, pa.int64()), none, none, lists, lists],
+                                                 names=["doc_id", "th", "n", "s1", "s2", "bands", "sig"])
                 continue
             low = np.empty((len(at), PERMUTATIONS), np.uint64)
             for k in range(PERMUTATIONS):
@@ -109,15 +110,16 @@ def _signatures(batches, size: int):
                 return flat
 
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), spread(s1), spread(s2), lists_of(band), lists_of(packed)],
-                names=["doc_id", "n", "s1", "s2", "bands", "sig"])
+                [ids, text_hash, pa.array(n, pa.int64()), spread(s1), spread(s2), lists_of(band), lists_of(packed)],
+                names=["doc_id", "th", "n", "s1", "s2", "bands", "sig"])
 
 
 def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """Per row: set size, 128-bit set hash, band keys and packed signature."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
+    """Per row: hash of the text, set size, 128-bit set hash, band keys and
+    packed signature."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("th"))
     return source.mapInArrow(lambda it: _signatures(it, size),
-                             "doc_id long, n long, s1 long, s2 long, bands array<long>, sig array<long>")
+                             "doc_id long, th long, n long, s1 long, s2 long, bands array<long>, sig array<long>")
 
 
 def least_matches(similarity: tuple[int, int]) -> int:
@@ -153,7 +155,6 @@ def _confirm(batches, size: int, similarity: tuple[int, int]):
         key = ids.to_numpy(zero_copy_only=False)
         first = np.ones(len(key), bool)
         first[1:] = key[1:] != key[:-1]
-        # a repeated id may stand for two texts: those rows are told apart by the set hash below
         group = np.cumsum(first) - 1
         out = []
         for _, _, words in batch_words(texts.filter(pa.array(first)), BY_SPACE):
@@ -224,14 +225,13 @@ def _samples(rest: DataFrame, need: int) -> DataFrame:
 
 
 def _codes(batches, size: int):
-    """(rep, sorted 32-bit codes of its shingles) of each text."""
+    """(rep, its shingle hashes, sorted) of each text."""
     for batch in batches:
         for i, j, words in batch_words(batch.column(1), BY_SPACE):
             h, bounds = shingle_sets(words, size)
-            c = (h >> np.uint64(32)).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i),
-                 pa.array([np.unique(c[p:q]).tobytes() for p, q in zip(bounds[:-1], bounds[1:])], pa.binary())],
+                 pa.array([h[p:q].tobytes() for p, q in zip(bounds[:-1], bounds[1:])], pa.binary())],
                 names=["rep", "codes"])
 
 
@@ -256,12 +256,12 @@ def _shared(codes: list[np.ndarray]):
 
 def _compare(table: pa.Table, need: int, similarity: tuple[int, int]) -> pa.Table:
     """Pairs of one group from different components that pass the signature
-    estimate and reach the threshold on their shingle codes."""
+    estimate and reach the threshold on their shingle sets."""
     some, of = similarity
     table = table.combine_chunks()
     rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
     sig = np.array(table.column("sig").to_pylist(), np.int64).view(np.uint64)
-    codes = [np.frombuffer(c, np.uint32) for c in table.column("codes").to_pylist()]
+    codes = [np.frombuffer(c, np.uint64) for c in table.column("codes").to_pylist()]
     n = np.array([len(c) for c in codes], np.int64)
     lane, shared, out_a, out_b = np.uint64(0x1111111111111111), None, [], []
     for k in range(len(rep) - 1):
@@ -282,7 +282,7 @@ def _compare(table: pa.Table, need: int, similarity: tuple[int, int]) -> pa.Tabl
 
 def _across(rest: DataFrame, need: int, texts: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
     """Pairs from different components of the same band that reach the
-    threshold on 32-bit shingle codes (to be confirmed on the full sets).
+    threshold on their shingle hashes (and are confirmed as all links are).
     ``rest``: band, rep, component, sig of bands with several components."""
     n_main = F.ceil(F.col("n_main") / BLOCK).cast("int")
     n_rest = F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int")
@@ -299,7 +299,7 @@ def _across(rest: DataFrame, need: int, texts: DataFrame, size: int, similarity:
             F.transform(upto(F.col("n_rest")), lambda o: F.struct(
                 F.lit(1).alias("kind"), F.least(o, F.col("block")).alias("p"), F.greatest(o, F.col("block")).alias("q")))))
     wanted = texts.join(rest.select("rep").distinct(), "rep", "left_semi").select("rep", "t")
-    codes = saved(wanted.mapInArrow(lambda it: _codes(it, size), "rep long, codes binary").dropDuplicates(["rep"]))
+    codes = saved(wanted.mapInArrow(lambda it: _codes(it, size), "rep long, codes binary"))
     # one key for the pair of blocks, dealt out anew: a hot band spreads
     parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (rows.select("band", F.explode(where).alias("g"), "rep", "component", "sig")
@@ -309,14 +309,17 @@ def _across(rest: DataFrame, need: int, texts: DataFrame, size: int, similarity:
         lambda t: _compare(t, need, similarity), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-                    similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id reachable by
-    links, its own included) and kept (it is that id)."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: tuple[int, int]) -> DataFrame:
+    """Per row: doc_id, th (hash of the text), n (set size), component (null
+    without a set) and component_id. A class is known inside by the stored
+    number of its first row, so ids may be null or repeat, with equal or
+    different texts."""
     bounded_batches(docs.sparkSession)
-    signed = saved(signatures(docs, id_col=id_col, text_col=text_col, size=size))
-    classes = saved(signed.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
-    reps = saved(signed.join(classes, ["s1", "s2"]).where("doc_id = rep").select("rep", "s1", "bands", "sig"))
+    signed = saved(signatures(docs, id_col=id_col, text_col=text_col, size=size).withColumn("row", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "th"))
+    classes = saved(signed.where("n > 0").groupBy("s1", "s2").agg(first.alias("f")).select(
+        "s1", "s2", F.col("f.row").alias("rep"), F.col("f.doc_id").alias("rep_id"), F.col("f.th").alias("rep_th")))
+    reps = saved(signed.join(classes, ["s1", "s2"]).where("row = rep").select("rep", "rep_id", "rep_th", "s1", "bands", "sig"))
     need = least_matches(similarity)
 
     bands = reps.select("rep", F.explode("bands").alias("band"))
@@ -326,10 +329,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     star = saved(members.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     sig = reps.select("rep", "sig")
     close = saved(_close(star, sig, need))
-    ids = saved(members.select("rep").distinct())
-    texts = saved(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t")).join(ids, "rep"))
-    first = saved(_linked(close, reps, texts, size, similarity))
-    label = components(first)
+    ids = saved(members.select("rep").distinct().join(reps.select("rep", "rep_id", "rep_th"), "rep"))
+    source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("th"))
+    texts = saved(source.join(ids, F.col("i").eqNullSafe(F.col("rep_id")) & (F.col("th") == F.col("rep_th"))).select("rep", "t"))
+    if texts.count() > ids.count():  # rows that repeat id and text
+        texts = saved(texts.dropDuplicates(["rep"]))
+    linked = saved(_linked(close, reps, texts, size, similarity))
+    label = components(linked)
 
     def merged(label, links):
         """Components of the old ones and the new links."""
@@ -348,16 +354,39 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         links = saved(_linked(pairs, reps, texts, size, similarity))
         if not is_empty(links):
             label = saved(merged(label, links))
-    return (signed.join(classes, ["s1", "s2"], "left")
-                  .join(saved(label).select(F.col("id").alias("rep"), "component"), "rep", "left")
-                  .withColumn("component_id", F.coalesce("component", "rep", "doc_id"))
-                  .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                          F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+    named = saved(classes.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                         .select("s1", "s2", "rep_id", F.coalesce("component", "rep").alias("component")))
+    least = saved(named.groupBy("component").agg(F.min("rep_id").alias("component_id")))
+    return signed.select("doc_id", "th", "n", "s1", "s2").join(
+        saved(named.join(least, "component").select("s1", "s2", "component", "component_id")), ["s1", "s2"], "left").select(
+        "doc_id", "th", "n", "component", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(
+            F.col("component_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+                    similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest id reachable by
+    links, its own included) and kept (it is that id)."""
+    rows = _labelled(docs, id_col, text_col, size, similarity)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
                          similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """One document of each component, with all its columns."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, size=size, similarity=similarity).where(
-        "not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row of each component, with all its columns: the one of the
+    smallest id (null last), then text hash; rows that repeat id and text
+    count once. Rows without words all stay."""
+    rows = saved(_labelled(docs, id_col, text_col, size, similarity).where("component is not null"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    stays = saved(rows.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__gone_id"), F.col("k.th").alias("__gone_text")))
+    here = lambda other: F.col("__id").eqNullSafe(other["__gone_id"]) & (F.col("__text") == other["__gone_text"])
+    named = rows.groupBy("doc_id", "th").agg(F.count("*").alias("_n")).select(F.col("doc_id").alias("__id"), F.col("th").alias("__text"), "_n")
+    gone = saved(named.join(stays, here(stays), "left_anti").select(F.col("__id").alias("__gone_id"), F.col("__text").alias("__gone_text")))
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__text": F.xxhash64(text_col)})
+    kept = keyed.join(gone, here(gone), "left_anti")
+    twice = saved(named.where("_n > 1").join(stays, here(stays), "left_semi").select(F.col("__id").alias("__gone_id"), F.col("__text").alias("__gone_text")))
+    if not is_empty(twice):
+        once = kept.join(twice, here(twice), "left_semi").dropDuplicates(["__id", "__text"])
+        kept = kept.join(twice, here(twice), "left_anti").unionByName(once)
+    return kept.drop("__id", "__text")

@@ -136,3 +136,32 @@ def test_set_by_set_counts_equal_bit_rows():
     for k in range(19):
         at = np.arange(k + 1, 20)
         assert fast(k, at).tolist() == [len(np.intersect1d(codes[k], codes[j])) for j in at]
+
+
+def test_ids_with_several_texts_and_null_ids(make_docs):
+    a, b = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(1, a), (None, a), (2, a), (2, b), (3, b), (4, b), (4, b), (4, b + " end"), (None, "c d e f g h"), (None, ""), (7, None)]
+    df = make_docs(rows)
+    assert run(df) == brute(rows)
+    out = M.drop_near_duplicates(df)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (None, "c d e f g h"), (None, ""), (7, None)], key=str)
+
+
+def test_rows_that_repeat_stay_once(make_docs):
+    a = " ".join(f"a{k}" for k in range(30))
+    assert [(r["doc_id"], r["text"]) for r in M.drop_near_duplicates(make_docs([(5, a), (5, a), (6, a)])).collect()] == [(5, a)]
+    assert M.drop_near_duplicates(make_docs([(None, a), (None, a)])).count() == 1
+
+
+def test_hashes_that_agree_in_32_bits_are_told_apart():
+    import pyarrow as pa
+    high = np.uint64(7 << 32)
+    one = np.sort(np.array([high + np.uint64(k) for k in (1, 2)] + [1 << 40, 1 << 41], np.uint64))
+    two = np.sort(np.append(one[:3], np.uint64(1 << 50)))
+    three = np.sort(np.append(one[:2], np.array([1 << 51, 1 << 52], np.uint64)))
+    table = pa.table({"rep": [1, 2, 3], "component": [1, 2, 3], "sig": [[0] * 8] * 3,
+                      "codes": pa.array([x.tobytes() for x in (one, two, three)], pa.binary())})
+    # 3 of 5 shared reach 60 in 100, 2 of 6 do not
+    assert M._compare(table, 1, (60, 100)).to_pylist() == [{"a": 1, "b": 2}]
