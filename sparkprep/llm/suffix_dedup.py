@@ -16,7 +16,7 @@ strings at all byte positions are judged, by a sparse suffix array:
    row per task.
 3. *Suffixes.* The remaining anchors' suffixes (with the bytes to their left
    that owned strings reach) are range-partitioned by their leading bytes,
-   with splitters taken from a bounded sample of documents. Splitters also
+   with splitters from a sample that follows the number of buckets. Splitters also
    hold the document and position, so a hot suffix is cut across buckets.
 4. *Buckets* sort their suffixes locally by multikey quicksort over 8-byte
    symbols, and likewise the reversed left contexts. Longest common prefixes
@@ -43,6 +43,7 @@ bucket of about ``BUCKET_ROWS`` suffixes, or about ``BORDER_STRINGS`` hashes.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,8 @@ LENGTH = 100
 GRAM = 24
 BUCKET_ROWS = 60_000
 BORDER_STRINGS = 1 << 20
-SAMPLE_DOCS = 400
+PER_SPLITTER = 16  # sampled suffixes a bucket
+BROADCAST_SAMPLE = 200_000
 _FLUSH = 16 << 20
 
 
@@ -509,7 +511,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                    gram: int = GRAM, bucket_rows: int = BUCKET_ROWS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+                    gram: int = GRAM, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Byte ranges to remove, possibly overlapping: doc, chk, start, stop."""
     if not 8 <= gram < length <= 255:
         raise ValueError("8 <= gram < length <= 255")
@@ -534,7 +536,7 @@ def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = wanted.agg(F.sum(F.size("at"))).first()[0] or 0
 
     buckets = max(least, int(rows // bucket_rows) + 1)
-    splitters, cut = _splitters(source, wanted, buckets, sample_docs, length, gram)
+    splitters, cut = _splitters(source, wanted, buckets, rows, length, gram)
     held = spark.sparkContext.broadcast((splitters, cut))
     suffixes = source.join(wanted, "doc").select("doc", "text", "chk", "at").mapInArrow(
         lambda it: _deal_suffixes(it, held.value[0], length, gram), "part int, n int, z binary")
@@ -552,10 +554,17 @@ def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return ranges.unionByName(whole)
 
 
-def _splitters(source: DataFrame, wanted: DataFrame, buckets: int, sample_docs: int, length: int, gram: int):
-    """Range splitters from the suffixes of at most ``sample_docs``
-    documents, and the leading bytes that a splitter cuts."""
-    sample = wanted.orderBy(F.xxhash64("doc"), "doc").limit(sample_docs)
+def _splitters(source: DataFrame, wanted: DataFrame, buckets: int, rows: int, length: int, gram: int):
+    """Range splitters for ``buckets`` buckets of ``rows`` suffixes in all,
+    and the leading bytes that a splitter cuts. Suffixes are sampled by a hash
+    of their place, ``PER_SPLITTER`` a bucket, so that the sample follows the
+    buckets: ``gram`` + 12 bytes a sampled suffix come to the driver, and as
+    many a bucket go back."""
+    share = min(1 << 30, math.ceil((PER_SPLITTER * buckets << 30) / max(1, rows)))
+    sample = saved(wanted.select("doc", F.filter("at", lambda p: F.pmod(F.xxhash64("doc", p), F.lit(1 << 30)) < share).alias("at"))
+                         .where(F.size("at") > 0))
+    if PER_SPLITTER * buckets <= BROADCAST_SAMPLE:
+        sample = F.broadcast(sample)
 
     def keys(batches):
         for s in _kept_suffixes(batches, length, gram):
@@ -563,8 +572,7 @@ def _splitters(source: DataFrame, wanted: DataFrame, buckets: int, sample_docs:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x.ljust(gram + 12, b"\0") for x in k.tolist()], pa.binary())], names=["k"])
 
-    got = source.join(F.broadcast(sample), "doc").select("doc", "text", "chk", "at").mapInArrow(keys, "k binary")
-    # bounded: the suffixes of sample_docs documents
+    got = source.join(sample, "doc").select("doc", "text", "chk", "at").mapInArrow(keys, "k binary")
     seen = sorted(bytes(r["k"]) for r in got.collect())
     kind = f"S{gram + 12}"
     if len(seen) < buckets:

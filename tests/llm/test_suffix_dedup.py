@@ -123,3 +123,24 @@ def test_a_splitter_tells_positions_of_one_document_apart():
     same = np.tile(np.frombuffer(b"x" * 100, np.uint8), (3, 1))
     keys = S._keys(same, np.array([4, 4, 4]), np.array([10, 300, 70000]), 24)
     assert keys[0] < keys[1] < keys[2]
+
+
+def test_buckets_follow_the_rows(make_docs, sample, monkeypatch):
+    """As many buckets as the rows ask for, none much larger than asked."""
+    import numpy as np
+    seen = {}
+    plain, resolve = S._splitters, S._deal_suffixes
+
+    def splitters(source, wanted, buckets, rows, length, gram):
+        cuts, lead = plain(source, wanted, buckets, rows, length, gram)
+        sizes = source.join(wanted, "doc").select("doc", "text", "chk", "at").mapInArrow(
+            lambda it: resolve(it, cuts, length, gram), "part int, n int, z binary").groupBy("part").sum("n").toPandas()
+        seen.update(asked=buckets, got=len(cuts) + 1, largest=int(sizes.iloc[:, 1].max()))
+        return cuts, lead
+
+    monkeypatch.setattr(S, "_splitters", splitters)
+    rows = [(i, t) for i, t in sample]
+    got = S.digest(make_docs(rows), bucket_rows=20).count()
+    assert got == len(rows)
+    assert seen["asked"] > 50 and seen["got"] >= 0.9 * seen["asked"]
+    assert seen["largest"] <= 8 * 20
