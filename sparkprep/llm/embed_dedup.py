@@ -165,8 +165,9 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
                           F.col(vec_col).alias("v")).withColumn("ok", _usable("v") & F.col("label").isNotNull())
     usable = rows.where("ok").select("vec_id", "label", "v")
-    classes = saved(usable.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-                          .where("rep is not null").withColumn("dim", F.size("v")))
+    # a class is known by a stored number, as its ids may all be null
+    classes = saved(usable.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+                          .withColumn("rep", F.monotonically_increasing_id()).withColumn("dim", F.size("v")))
     dims = [r["dim"] for r in classes.select("dim").distinct().collect()]
     axes = {d: principal_axes(classes.where(F.col("dim") == d), d) for d in dims}
     held = spark.sparkContext.broadcast(axes)
@@ -182,7 +183,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str
 
     kind = classes.schema["label"].dataType.simpleString()
     element = classes.schema["v"].dataType.simpleString()
-    coord = classes.mapInArrow(first_coordinate,
+    coord = classes.select("label", "v", "rep", "copies", "dim").mapInArrow(first_coordinate,
                                f"label {kind}, v {element}, rep long, copies long, dim int, c double")
     tiled = saved(_rank_in_label(coord, tile))
     ends = saved(tiled.groupBy("label", "dim", "tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi")))
@@ -219,10 +220,12 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str
     found = saved(dealt.groupBy("label", "dim", "p", "q").applyInArrow(links, "rep long, n long, b long"))
     counts = saved(found.where("n is not null").groupBy("rep").agg(F.sum("n").alias("n")))
     label = saved(components(found.where("b is not null").select(F.col("rep").alias("a"), "b")))
-    per_class = saved(classes.join(counts, "rep", "left").join(
+    named = saved(classes.join(counts, "rep", "left").join(
         label.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        .select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component", "rep").alias("component_id")))
+        .select("label", "v", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                F.coalesce("component", "rep").alias("component")))
+    smallest = saved(named.groupBy("component").agg(F.min("least").alias("component_id")))
+    per_class = saved(named.join(smallest, "component").select("label", "v", "n_links", "component_id"))
     usable_out = usable.join(per_class, ["label", "v"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"))

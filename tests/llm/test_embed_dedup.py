@@ -82,3 +82,10 @@ def test_bounds_lose_nothing():
         i, j = E.tile_links(x, y, axes, .9, False, step=4, block=16)
         cos = E._unit(x) @ E._unit(y).T
         assert sorted(zip(i, j)) == sorted(zip(*np.nonzero(cos >= .9)))
+
+
+def test_classes_of_null_ids_link(spark):
+    rows = [(None, 1, [1.0, 0.0]), (2, 1, [1.0, 0.001]), (None, 2, [0.0, 1.0]), (None, 2, [0.0, 1.0]), (5, 3, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in E.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 1, 2, False), (2, 1, 2, True), (None, 1, None, True), (None, 1, None, True), (5, 0, 5, True)], key=str)
