@@ -183,11 +183,12 @@ def _feature_rows(batches):
 def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
           text_col: str = "text", max_train: int = MAX_TRAIN, **fit_options) -> Machine:
     """Fit on at most ``max_train`` labelled documents; their ids are
-    broadcast, so the document scan stays in place."""
+    broadcast, so the document scan stays in place. Of an id that stands for
+    several texts the one of the smallest hash is taken."""
     sample = label_sample(labels, label_col, max_train)
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
-                .join(F.broadcast(sample), "doc_id").select("y", "t", "doc_id")
-                .limit(2 * max_train).select("y", "t")
+                .join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y")
+                .agg(F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t")).select("y", "t")
                 .mapInArrow(_feature_rows, "y double, idx array<int>, val array<float>").toArrow())
     idx = [np.asarray(x.values, dtype=np.int64) for x in rows.column("idx")]
     val = [np.asarray(x.values, dtype=np.float64) for x in rows.column("val")]
