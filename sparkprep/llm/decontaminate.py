@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import BY_LETTER, Words, arrow_schema, batch_words, buffers
 
@@ -168,7 +169,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     parts = _parts(items, max_broadcast_bytes)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(source.schema["doc_id"].dataType)
     if parts > 1:
         # hits of the parts are united by id and text, so repeated ids keep their own rows
         source = source.select(F.struct("doc_id", F.xxhash64("t").alias("k")).alias("doc_id"), "t")

@@ -94,3 +94,12 @@ def test_longest_match_and_place(spark, make_docs):
     got = {r["doc_id"]: r for r in D.digest(D.matches(make_docs(make_texts()), bench)).collect()}
     assert (got[10]["longest"], got[10]["longest_at"], got[10]["longest_item"]) == (20, 2000, "4")
     assert got[8]["longest"] == 0 and got[8]["longest_item"] is None
+
+
+def test_ids_of_other_types(spark):
+    from sparkprep.llm import decontaminate as D
+    item = spark.createDataFrame([("b", " ".join(f"w{k}" for k in range(14)))], "item_id string, text string")
+    for kind, value in (("smallint", 3), ("double", 3.5), ("decimal(9,0)", None), ("date", None)):
+        df = spark.createDataFrame([(value, "x " + " ".join(f"w{k}" for k in range(14)))], f"doc_id {kind}, text string")
+        got = D.digest(D.matches(df, item)).collect()
+        assert [(r["doc_id"], r["n_hit"], r["contaminated"]) for r in got] == [(value, 14, True)]
