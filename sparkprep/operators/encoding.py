@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .ordering import global_rank
 
+MAX_DENSE = 1_000
+
 
 def label_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
     """Table ``(value, index)``: 0-based alphabetical index of the distinct
@@ -44,6 +46,16 @@ def onehot_sparse(df: DataFrame, col: str, index: DataFrame | None = None, out:
                         size.alias(f"{out}_size"))
 
 
+def categories(df: DataFrame, col: str, limit: int = MAX_DENSE) -> list:
+    """The distinct non-null values of a column, ascending, for a dense
+    one-hot code. More than ``limit`` raise: a schema cannot grow with the
+    data; ``onehot_sparse`` takes any number."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{col} has more than {limit} categories; use onehot_sparse")
+    return sorted(r[0] for r in rows)
+
+
 def onehot_drop_first(df: DataFrame, col: str, cats, keep_source: bool = False) -> DataFrame:
     """Dense 0/1 columns ``<col>_<value>`` for every given category except
     the first (scikit-learn ``drop='first'``, ``sparse=False``). The caller

@@ -22,6 +22,22 @@ def q_src_csv(spark, sf):
     return IO.read_csv(spark, path, _CUSTOMER_SCHEMA)
 
 
+@query("src_csv_inferred", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
+       o_orderpriority, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS gaps,
+       o_orderkey % 2 = 0 AS even
+FROM orders
+""")
+def q_src_csv_inferred(spark, sf):
+    """Round trip without a schema: integers, numbers, text, integers with
+    gaps (numbers) and booleans are told apart."""
+    o = load(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority",
+        F.when(F.col("o_orderkey") % 9 == 0, F.lit("NA")).otherwise(F.col("o_custkey").cast("string")).alias("gaps"),
+        (F.col("o_orderkey") % 2 == 0).alias("even"))
+    return IO.read_csv_inferred(spark, IO.write_csv(o, IO.scratch_path(spark, "orders-csv")))
+
+
 @query("src_csv_text", "SELECT doc_id, text, lang FROM documents")
 def q_src_csv_text(spark, sf):
     """Round trip of texts with line breaks, quotes and commas."""
@@ -110,7 +126,6 @@ FROM customer
 def q_concat_columns(spark, sf):
     """Encoded block placed next to the remaining columns: derived columns
     are added to the same rows, so no positional join is needed."""
-    from ..operators.encoding import onehot_drop_first
-    from .pipelines import SEGMENTS
+    from ..operators.encoding import categories, onehot_drop_first
     c = load(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    return onehot_drop_first(c, "c_mktsegment", list(SEGMENTS))
+    return onehot_drop_first(c, "c_mktsegment", categories(c, "c_mktsegment"))

@@ -12,7 +12,6 @@ from ..operators import sampling as SP
 from ..operators import scaling as SC
 from ..sources.tables import load
 from .common import rounded
-from .pipelines import SEGMENTS
 from .registry import query
 
 _PART_RANGE = """
@@ -174,7 +173,19 @@ FROM customer
 """)
 def q_onehot_drop_first(spark, sf):
     c = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return E.onehot_drop_first(c, "c_mktsegment", list(SEGMENTS))
+    return E.onehot_drop_first(c, "c_mktsegment", E.categories(c, "c_mktsegment"))
+
+
+@query("onehot_sparse", """
+WITH i AS (SELECT c_mktsegment, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS k FROM (
+             SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL))
+SELECT c_custkey, c_mktsegment, CASE WHEN k > 0 THEN CAST(k - 1 AS INTEGER) END AS hot,
+       CAST((SELECT count(*) - 1 FROM i) AS BIGINT) AS hot_size
+FROM customer LEFT JOIN i USING (c_mktsegment)
+""")
+def q_onehot_sparse(spark, sf):
+    """Any number of categories: the place of the 1 and the width of the code."""
+    return E.onehot_sparse(load(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", out="hot")
 
 
 @query("label_encode", """

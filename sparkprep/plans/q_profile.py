@@ -9,6 +9,7 @@ from ..operators import association as A
 from ..operators import distribution as D
 from ..operators import profile as P
 from ..operators import quality as Q
+from ..operators import sketches as SK
 from ..operators import stats as S
 from ..sources.tables import load
 from .common import HOLEY_CUSTOMER_SQL, holey_customer, rounded, sig_round, sig_round_sql
@@ -283,6 +284,24 @@ def q_agg_median(spark, sf):
     return rounded(P.median(load(spark, sf, "lineitem"), LI_NUM))
 
 
+@query("agg_median_approx", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, true AS within_error FROM lineitem" for c in LI_NUM))
+def q_agg_median_approx(spark, sf):
+    """Medians from sketches of slices, merged: whether their exact rank is
+    within the stated error of one half."""
+    li = load(spark, sf, "lineitem")
+    slices = SK.sketch_columns(li, LI_NUM, by=["l_returnflag"])
+    merged = SK.merge_sketches(slices)
+    found = SK.approx_quantiles(merged, [0.5]).join(merged.select("column", "n"), "column")
+    ranked = S.ranked_values(li, LI_NUM).select("column", F.col("value").alias("v"), F.col("n").alias("c"), "cum")
+    below, upto = (F.max(F.when(F.col("v") < F.col("value"), F.col("cum"))), F.max(F.when(F.col("v") <= F.col("value"), F.col("cum"))))
+    at = ranked.join(F.broadcast(found), "column").groupBy("column", "n").agg(
+        F.coalesce(below, F.lit(0)).alias("lo"), F.coalesce(upto, F.lit(0)).alias("hi"))
+    error = SK.rank_error()
+    return at.select("column", "n", ((F.col("lo") <= (0.5 + error) * F.col("n")) & (F.col("hi") >= (0.5 - error) * F.col("n"))
+                                     ).alias("within_error"))
+
+
 @query("agg_mode", """
 WITH c AS (SELECT l_quantity, count(*) AS n FROM lineitem GROUP BY l_quantity)
 SELECT l_quantity FROM c WHERE n = (SELECT max(n) FROM c)
