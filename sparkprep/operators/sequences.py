@@ -12,6 +12,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordering import global_rank
 
 # Character vocabulary of the name generator: padding "",
@@ -110,10 +111,12 @@ def bigrams(tokens: Column, bos: str = "<s>", eos: str = "</s>") -> Column:
 
 
 def bigram_model(sentences: DataFrame, tokens_col: str) -> DataFrame:
-    """Maximum-likelihood ``(w1, w2, p)`` with p = c(w1 w2) / c(w1 .)."""
+    """Maximum-likelihood ``(w1, w2, p)`` with p = c(w1 w2) / c(w1 .). Both
+    counts are stored first: the join then reads plain tables, and the pairs
+    of a first word that begins a third of them are split over tasks."""
     pairs = sentences.select(F.inline(bigrams(F.col(tokens_col))))
-    c = pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c"))
-    h = c.groupBy("w1").agg(F.sum("c").alias("ch"))
+    c = cut_lineage(pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")))
+    h = cut_lineage(c.groupBy("w1").agg(F.sum("c").alias("ch")))
     return c.join(h, "w1").select("w1", "w2", (F.col("c") / F.col("ch")).alias("p"))
 
 

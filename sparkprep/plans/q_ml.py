@@ -11,6 +11,7 @@ from ..functions.text import WORD2
 from ..operators import boosting as BO
 from ..operators import ml as ML
 from ..operators import trees as TR
+from ..operators.encoding import label_encode, label_index
 from ..operators.sampling import split_hash
 from ..sources import files as IO
 from ..sources.tables import load
@@ -190,9 +191,9 @@ def q_embedding_classifier(spark, sf):
                               ).withColumnRenamed("mean", "pooled")
     docs = load(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     d = docs.join(pooled, "doc_id")
-    langs = {"de": 0.0, "en": 1.0, "es": 2.0, "fr": 3.0}
-    lab = F.create_map(*[x for k, v in langs.items() for x in (F.lit(k), F.lit(v))])
-    d = d.withColumn("label", lab[F.col("lang")]).filter(F.col("label").isNotNull())
+    # every language that occurs, by its place in alphabetical order
+    d = label_encode(d.where("lang is not null"), "lang", out="label", index=label_index(docs, "lang")).withColumn(
+        "label", F.col("label").cast("double"))
     d = d.withColumn("x", concat_features(F.col("pooled"), F.array(F.log1p(F.col("n_chars")))))
     d = split_hash(ML.vectorize(d, array_col="x"), "doc_id", (0.8, 0.2), ("train", "test"))
     train = d.filter(F.col("split") == "train")

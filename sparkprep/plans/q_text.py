@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import stems as ST
 from ..functions import text as T
 from ..operators import html as H
 from ..operators import index as IX
@@ -113,6 +114,22 @@ def q_stem_vocab(spark, sf):
                                               "doc_id", "text"))
 
 
+def _stems(spark, sf, stem):
+    """Counts by stem: the distinct words are stemmed, not their occurrences."""
+    vocab = TX.token_counts(TX.clean_token_rows(_text_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id", "text"))
+    return stem(vocab, "token").groupBy("stem").agg(F.sum("n").alias("n"))
+
+
+@query("stem_porter")
+def q_stem_porter(spark, sf):
+    return _stems(spark, sf, ST.porter)
+
+
+@query("stem_snowball")
+def q_stem_snowball(spark, sf):
+    return _stems(spark, sf, ST.snowball)
+
+
 @query("lemma_lookup", "WITH " + _VEC_TOKENS_SQL + """
 , vocab AS (SELECT DISTINCT lower(token) AS form FROM vt),
 lem AS (SELECT v.form, substring(v.form, 1, length(v.form) - 1) AS lemma FROM vocab v
@@ -123,8 +140,9 @@ FROM vt LEFT JOIN lem ON lem.form = lower(vt.token) GROUP BY 1
 """)
 def q_lemma_lookup(spark, sf):
     toks = vec_token_rows(spark, sf)
-    lemmas = TX.plural_lemmas(toks)
-    return TX.token_counts(TX.lemma_lookup(toks, lemmas), "lemma")
+    # distinct forms meet the lemma table, not occurrences
+    forms = cut_lineage(TX.token_counts(toks))
+    return TX.lemma_lookup(forms, TX.plural_lemmas(forms)).groupBy("lemma").agg(F.sum("n").alias("n"))
 
 
 @query("token_pairs", "WITH " + _WORD_TOKENS_SQL + "SELECT DISTINCT token, doc_id FROM wt")
