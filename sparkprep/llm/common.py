@@ -49,7 +49,7 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, limit: int = 32 << 20) -> None:
+def bounded_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
     """Keep the Arrow batches of this session under ``limit`` bytes (or one
     row), so that long texts and wide pairs fit a Python worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

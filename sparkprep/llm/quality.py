@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BY_SPACE, Words, buffers, held_out, slices
+from .common import BY_SPACE, Words, bounded_batches, buffers, held_out, slices
 
 WORD_BITS = 13
 FACTORS = 8
@@ -185,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_
     """Fit on at most ``max_train`` labelled documents; their ids are
     broadcast, so the document scan stays in place. Of an id that stands for
     several texts the one of the smallest hash is taken."""
+    bounded_batches(docs.sparkSession)
     sample = label_sample(labels, label_col, max_train)
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
                 .join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y")
@@ -209,6 +210,7 @@ def scores(batches, machine: Machine, text_at: int):
 def score_documents(docs: DataFrame, machine: Machine, *, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and the prediction of every row."""
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):
@@ -226,6 +228,7 @@ def score_documents(docs: DataFrame, machine: Machine, *, id_col: str = "doc_id"
 def accept(docs: DataFrame, machine: Machine, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents the classifier accepts, with all their columns (a filter
     inside the scan tasks)."""
+    bounded_batches(docs.sparkSession)
     held, at = docs.sparkSession.sparkContext.broadcast(machine), docs.columns.index(text_col)
 
     def run(batches):
