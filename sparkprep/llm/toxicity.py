@@ -2,19 +2,25 @@
 
 A document is cut into clauses, a clause into a string over a small alphabet
 of word classes: insult, threat, target, negation, report, quote mark, other.
-Four transducers run over that string and are composed:
-
-* the insult and threat transducers accept a core (an insult word; a threat
-  verb after an announcing word or before a target);
-* the target transducer marks a core that has a target word (a pronoun or
-  a form of address) within reach as *directed*;
-* the negation transducer marks a core within the scope of a negation;
-* the reported-speech transducer marks everything after a reporting verb, or
-  between quotation marks, as *reported*.
-
-The composition reads each word once and emits one clause type per core:
-(core, directed, negated, reported). Clause types, not words, are scored:
-each carries a weight, and the score is the logistic of the weighted counts.
+Two machines read that string. From right to left, the *ahead* transducer
+rewrites every word to (class, is a target within reach ahead). From left to
+right, one machine composed of four transducers reads the pairs:
+
+* the target transducer knows whether a target (a pronoun or a form of
+  address) stands within reach before;
+* the announcement transducer knows whether "will", "going" and the like do,
+  without which a threat verb needs a target;
+* the negation transducer knows whether a negation does;
+* the reported-speech transducer knows whether a reporting verb came before,
+  or quotation marks are open.
+
+``compose`` builds the product: its states are the reachable combinations of
+the four, and a transition on an insult or a threat emits one clause type,
+(core, directed, negated, reported). Clause types, not words, are scored: each
+carries a weight, and the score is the logistic of the weighted counts. A stem
+that also occurs in clean texts is a weak insult: it has clause types of its
+own, which tell by their number. A type that is negated or reported never has a weight above 0, so
+such clauses alone leave a text where one without any match is.
 
 Insult words come from two places: a short fixed list, and stems learned from
 the labels. A stem (leading letters of a word) enters when it occurs in at
@@ -22,7 +28,7 @@ least ``min_support`` toxic rows and is ``min_log_odds`` likelier in toxic
 rows; a greedy cover, which charges a stem for the clean rows it occurs in, keeps
 only stems that explain ``min_explained`` different toxic texts no earlier
 stem explains, so that the chance words of a copied toxic text stay out. Weights
-are a regularised logistic fit. Both use at most ``max_train`` labelled rows
+are a regularised logistic fit of the clause types. Both use at most ``max_train`` labelled rows
 (in the order of a hash of their id), none of them marked by ``held_out``;
 ids, languages and sources are never read. Scoring is a map over the scan.
 
@@ -43,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import bounded_batches, held_out
 from .quality import label_sample
 
 MAX_TRAIN = 20_000
@@ -52,8 +58,8 @@ MIN_SUPPORT = 8
 MIN_LOG_ODDS = 2.5
 MIN_EXPLAINED = 3  # distinct toxic texts that a further stem must explain
 CLEAN_COST = 5  # texts a stem must explain for each clean row it occurs in
-STEM_LENGTHS = (4, 5, 6)
-RECURRENCES = (2, 3)  # "s@n": a stem that marks toxicity only where n words share it
+STEM_LENGTHS = (4, 5, 6, 7)
+RECURRENCES = (2, 3)  # "s@n": a stem that tells toxicity where n clauses hold it
 
 # Word lists of the grammar (English, German, French, Spanish).
 INSULTS = """idiot moron stupid loser scum trash worthless pathetic disgusting clown
@@ -69,7 +75,7 @@ pas jamais aucun sans nunca jamás sin ningún""".split()
 REPORTS = """said says saying told tells reported reports claimed claims wrote writes quoted called
 sagte sagt behauptet schrieb zitiert dit disait affirme écrit dijo dice afirma escribió""".split()
 
-OTHER, INSULT, THREAT, WILL, TARGET, NEGATION, REPORT, QUOTE = range(8)
+OTHER, INSULT, THREAT, WILL, TARGET, NEGATION, REPORT, QUOTE, WEAK = range(9)
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"«»„“”]|[.!?;\n]")
 _BREAK = frozenset(".!?;\n")
@@ -99,53 +105,77 @@ def _within(trigger: int, reach: int) -> Transducer:
 NEGATED = _within(NEGATION, REACH)
 ANNOUNCED = _within(WILL, REACH)
 TARGETED = _within(TARGET, REACH)
+AHEAD = _within(TARGET, REACH)  # read from right to left
 #: state 0 plain, 1 after a reporting verb, 2 inside quotation marks
 REPORTED = Transducer(0, {(0, REPORT): (1, 1), (0, QUOTE): (2, 1), (1, QUOTE): (2, 1), (2, QUOTE): (0, 0)},
                       {0: (0, 0), 1: (1, 1), 2: (2, 1)})
 
-#: clause types: core x directed x negated x reported
-N_TYPES = 2 * 2 * 2 * 2
-
-
-def compose(symbols: list[int]) -> list[int]:
-    """Clause types that the composed transducers emit for one clause."""
-    n, r, w, t = NEGATED.start, REPORTED.start, ANNOUNCED.start, TARGETED.start
-    behind = [0] * len(symbols)  # target within reach to the right
-    s = TARGETED.start
+#: clause types: core (insult, threat, weak insult) x directed x negated x reported
+CORES = {INSULT: 0, THREAT: 1, WEAK: 2}
+N_TYPES = len(CORES) * 2 * 2 * 2
+CLASSES = 9
+NOTHING = -1
+
+
+def clause_type(symbol: int, ahead: int, negated: int, announced: int, before: int, reported: int) -> int:
+    """What the composed machine emits on a word, from its parts' outputs."""
+    directed = before or ahead
+    if symbol not in CORES or (symbol == THREAT and not (announced or directed)):
+        return NOTHING
+    return CORES[symbol] * 8 + (1 if directed else 0) * 4 + negated * 2 + reported
+
+
+def compose(*parts: Transducer) -> tuple[list[list[int]], list[list[int]]]:
+    """The product of left-to-right transducers over the alphabet (class,
+    target ahead): next state and emitted clause type by state and letter
+    2 * class + ahead. State 0 is the start; only reachable states exist."""
+    states = {tuple(p.start for p in parts): 0}
+    todo, move, emit = list(states), [], []
+    for state in todo:  # grows while states are found
+        to, out = [], []
+        for symbol in range(CLASSES):
+            steps = [p(q, symbol) for p, q in zip(parts, state)]
+            after = tuple(q for q, _ in steps)
+            if after not in states:
+                states[after] = len(states)
+                todo.append(after)
+            for ahead in (0, 1):
+                to.append(states[after])
+                out.append(clause_type(symbol, ahead, *(o for _, o in steps)))
+        move.append(to)
+        emit.append(out)
+    return move, emit
+
+
+MOVE, EMIT = compose(NEGATED, ANNOUNCED, TARGETED, REPORTED)
+
+
+def clause_types(symbols: list[int]) -> list[int]:
+    """Clause types that the two machines emit for one clause."""
+    letters, s = [0] * len(symbols), AHEAD.start
     for k in range(len(symbols) - 1, -1, -1):
-        s, behind[k] = TARGETED(s, symbols[k])
-    found = []
-    for k, x in enumerate(symbols):
-        n, negated = NEGATED(n, x)
-        r, reported = REPORTED(r, x)
-        w, announced = ANNOUNCED(w, x)
-        t, before = TARGETED(t, x)
-        directed = before or behind[k]
-        if x == INSULT or (x == THREAT and (announced or directed)):
-            found.append((x == THREAT) * 8 + (1 if directed else 0) * 4 + negated * 2 + reported)
+        s, mark = AHEAD(s, symbols[k])
+        letters[k] = 2 * symbols[k] + mark
+    found, state = [], 0
+    for letter in letters:
+        kind = EMIT[state][letter]
+        if kind != NOTHING:
+            found.append(kind)
+        state = MOVE[state][letter]
     return found
 
 
-WEAK = 16  # class of the first stem that must recur
-
-
 class Lexicon:
     """Word classes: fixed lists, and insult stems by their length. A stem
-    "s@n" makes an insult of the words that begin with s in a text that has
-    at least n of them."""
+    given as "s@n" is a weak one."""
 
     def __init__(self, stems: list[str] = ()):
         fixed = [(INSULTS, INSULT), (THREATS, THREAT), (ANNOUNCE, WILL), (TARGETS, TARGET),
                  (NEGATIONS, NEGATION), (REPORTS, REPORT)]
         self.words = {w: c for ws, c in fixed for w in ws}
         self.stems = frozenset(s for s in stems if "@" not in s)
-        self.weak, self.least = {}, []
-        for s in sorted(s for s in stems if "@" in s):
-            stem, n = s.split("@")
-            if stem not in self.weak and stem not in self.stems:
-                self.weak[stem] = WEAK + len(self.least)
-                self.least.append(int(n))
-        self.lengths = sorted({len(s) for s in (*self.stems, *self.weak)})
+        self.weak = frozenset(s.split("@")[0] for s in stems if "@" in s) - self.stems
+        self.lengths = sorted({len(s) for s in self.stems | self.weak})
         self._seen: dict[str, int] = {}
 
     def __getstate__(self):
@@ -157,10 +187,10 @@ class Lexicon:
             c = self.words.get(token, OTHER)
             if token in _QUOTES:
                 c = QUOTE
-            elif any(token[:n] in self.stems for n in self.lengths):
+            elif c == OTHER and any(token[:n] in self.stems for n in self.lengths):
                 c = INSULT
-            elif c == OTHER:
-                c = next((self.weak[token[:n]] for n in self.lengths if token[:n] in self.weak), c)
+            elif c == OTHER and any(token[:n] in self.weak for n in self.lengths):
+                c = WEAK
             if len(self._seen) > 200_000:
                 self._seen.clear()
             self._seen[token] = c
@@ -170,41 +200,33 @@ class Lexicon:
 def clause_counts(text: str | None, lexicon: Lexicon) -> np.ndarray:
     """Matched clauses of a text by type."""
     out = np.zeros(N_TYPES)
-    clauses, clause, core, weak = [], [], False, None
+    clause, core = [], False
     seen, of = lexicon._seen, lexicon.of
-    for token in _TOKEN.findall((text or "").lower()):
+    for token in _TOKEN.findall((text or "").lower()) + [";"]:
         if token in _BREAK:
             if core:
-                clauses.append(clause)
+                for k in clause_types(clause):
+                    out[k] += 1
             clause, core = [], False
             continue
         c = seen.get(token)
         if c is None:
             c = of(token)
         clause.append(c)
-        if c == INSULT or c == THREAT:
-            core = True
-        elif c >= WEAK:
-            core = True
-            weak = weak or Counter()
-            weak[c] += 1
-    if core:
-        clauses.append(clause)
-    if weak:
-        enough = {c: INSULT if n >= lexicon.least[c - WEAK] else OTHER for c, n in weak.items()}
-        clauses = [[enough.get(c, c) for c in x] for x in clauses]
-    for x in clauses:
-        for k in compose(x):
-            out[k] += 1
+        core = core or c in CORES
     return out
 
 
 def _vector(counts: np.ndarray) -> np.ndarray:
-    """Type counts (saturating), and whether anything matched plainly."""
-    return np.concatenate([np.minimum(counts, 3) / 3, [float(counts.sum() > 0), float(counts.sum() > 1)]])
+    """Counts of the clause types: one plain insult or threat tells most,
+    weak insults tell by their number."""
+    return np.where(IS_WEAK, np.minimum(counts, 4) / 4, 1 - 0.5 ** counts)
 
 
-N_FEATURES = N_TYPES + 2
+N_FEATURES = N_TYPES
+IS_WEAK = np.arange(N_TYPES) >= 8 * CORES[WEAK]
+#: types whose clause is negated or reported
+DENIED = np.array([bool(k & 3) for k in range(N_TYPES)])
 
 
 @dataclass
@@ -219,23 +241,19 @@ class Grammar:
 
 
 def default_weights() -> tuple[np.ndarray, float]:
-    """Weights before any label is seen: a plain match counts, negated and
-    reported ones count less, a directed one more."""
-    w = np.zeros(N_FEATURES)
-    for k in range(N_TYPES):
-        directed, negated, reported = k >> 2 & 1, k >> 1 & 1, k & 1
-        w[k] = (6.0 + 3.0 * directed) * (0.3 if negated else 1) * (0.3 if reported else 1)
-    w[N_TYPES], w[N_TYPES + 1] = 1.5, 1.0
-    return w, -3.0
+    """Weights before any label is seen: a plain match counts, a directed one
+    more, negated and reported ones not at all."""
+    directed = np.array([bool(k & 4) for k in range(N_TYPES)])
+    return np.where(DENIED, 0.0, np.where(IS_WEAK, 6.0, 7.0) + 2.0 * directed), -3.0
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton steps, pulled to the defaults."""
+def _newton(x: np.ndarray, y: np.ndarray, free: np.ndarray, ridge: float, rounds: int) -> np.ndarray:
+    """Ridge logistic regression on the free coefficients, pulled to the
+    defaults; the others are 0. The last coefficient is the bias."""
     w0, b0 = default_weights()
-    prior = np.r_[w0, b0]
-    a = np.c_[x, np.ones(len(x))]
-    pull = np.full(a.shape[1], ridge)
-    pull[-1] = 1e-3
+    prior = np.r_[w0, b0][free]
+    a = np.c_[x, np.ones(len(x))][:, free]
+    pull = np.where(np.arange(N_FEATURES + 1)[free] == N_FEATURES, 1e-3, ridge)
     theta = prior.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ theta, -30, 30)))
@@ -245,7 +263,24 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) ->
         theta -= np.clip(move, -2, 2)
         if np.abs(move).max() < 1e-8:
             break
-    return theta[:-1], float(theta[-1])
+    out = np.zeros(N_FEATURES + 1)
+    out[free] = theta
+    return out
+
+
+def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Weights by clause type and the bias. Plain types weigh 0 or more,
+    negated and reported ones 0 or less: what breaks that is held at 0 and
+    the rest is fitted again."""
+    free = np.ones(N_FEATURES + 1, bool)
+    while True:
+        theta = _newton(x, y, free, ridge, rounds)
+        wrong = free & np.r_[np.where(DENIED, theta[:-1] > 1e-9, theta[:-1] < -1e-9), False]
+        if not wrong.any():
+            plain = theta[:-1].reshape(-1, 2, 4)[:, :, 0]  # by core: without a target, with one
+            plain[:, 1] = plain.max(1)  # a target never speaks for a clause
+            return theta[:-1], float(theta[-1])
+        free &= ~wrong
 
 
 def _stems(token: str):
@@ -257,13 +292,15 @@ def _stems(token: str):
 
 
 def _stem_sets(text: str | None) -> set[str]:
-    """Stems of the words of a text, with "@n" where n words share one."""
-    words = Counter(t for t in _TOKEN.findall((text or "").lower()) if t not in _BREAK and t not in _QUOTES)
-    n = Counter()
-    for w, k in words.items():
-        for s in _stems(w):
-            n[s] += k
-    return {s for s in n} | {f"{s}@{m}" for s, k in n.items() for m in RECURRENCES if k >= m}
+    """Stems of the words of a text, with "@n" where n clauses hold one."""
+    n, clause = Counter(), set()
+    for t in _TOKEN.findall((text or "").lower()) + [";"]:
+        if t in _BREAK:
+            n.update(s for w in clause for s in set(_stems(w)))
+            clause = set()
+        elif t not in _QUOTES:
+            clause.add(t)
+    return set(n) | {f"{s}@{m}" for s, k in n.items() for m in RECURRENCES if k >= m}
 
 
 def _count_stems(batches):
@@ -366,6 +403,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_co
 def score_documents(docs: DataFrame, grammar: Grammar, *, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and the prediction of every row."""
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(grammar)
 
     def run(batches):

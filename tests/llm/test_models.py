@@ -144,3 +144,62 @@ def test_default_weights_rank_clause_types():
     g = T.Grammar(T.Lexicon(T.INSULTS), *T.default_weights())
     s = [g.score(t) for t in ("fine words", "he is not a moron", "a moron is here", "you moron")]
     assert s == sorted(s) and s[0] < 0.3 < s[2]
+
+
+def plain_types(symbols):
+    """Clause types by looking at every word's surroundings."""
+    out, quoted, said = [], False, False
+    for k, x in enumerate(symbols):
+        if x == T.QUOTE:
+            quoted, said = not quoted, False
+        elif x == T.REPORT and not quoted:
+            said = True
+        near = lambda c, lo, hi: int(c in symbols[max(0, lo):hi + 1])
+        directed = near(T.TARGET, k - T.REACH, k + T.REACH)
+        if x in (T.INSULT, T.WEAK) or (x == T.THREAT and (directed or near(T.WILL, k - T.REACH, k))):
+            out.append(T.CORES[x] * 8 + 4 * directed + 2 * near(T.NEGATION, k - T.REACH, k) + int(quoted or said))
+    return out
+
+
+def test_the_composed_machine_equals_a_plain_reading():
+    rnd = random.Random(4)
+    for _ in range(3000):
+        symbols = [rnd.choice([T.OTHER] * 4 + list(range(T.CLASSES))) for _ in range(rnd.randint(0, 25))]
+        assert T.clause_types(symbols) == plain_types(symbols)
+    assert 100 < len(T.MOVE) <= (T.REACH + 1) ** 3 * 3  # one product of all four parts
+
+
+def test_negated_and_reported_clauses_change_predictions(spark, make_docs):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("bcdfgaeiou") for _ in range(6))
+    rows, toxic = [], []
+    for k in range(300):
+        said = ["he is a moron here", "you are an idiot now", "they are not a moron now", "she said that he is an idiot",
+                'the word "moron" is old', "fine words only"][k % 6]
+        rows.append((k, f"{word()} {word()}. {said}. {word()} {word()}"))
+        toxic.append(int(k % 6 < 2))
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    g = T.train(make_docs(rows), labels)
+    got = {r["doc_id"]: r["predicted"] for r in T.score_documents(make_docs(rows), g).collect()}
+    assert got == dict(enumerate(toxic))  # the rule "any insult" has 150 of them wrong
+    for text in ("You are not an idiot.", "He said that you are an idiot.", "Nobody is worthless.", 'Never say "moron".'):
+        assert g.score(text) < 0.3 and g.score(text) <= g.score("a text without a match")
+    assert g.score("You are an idiot.") >= max(0.3, g.score("an idiot"))
+    assert g.score("You are not an idiot. You are an idiot.") <= g.score("You are an idiot.")
+
+
+def test_weak_insults_tell_by_their_number():
+    g = T.Grammar(T.Lexicon(T.INSULTS + ["zorg@2"]), *T.default_weights())
+    assert g.score("a zorgal here") < 0.3 <= g.score("a zorgal here. a zorgit there")
+    assert g.score("not a zorgal here. no zorgit there") < 0.3
+
+
+def test_repeated_label_rows(spark, make_docs):
+    rows = [(k, "a moron" if k % 3 == 0 else "fine words") for k in range(60)]
+    once = [(k, k % 3 == 0) for k in range(60)]
+    frame = lambda r: spark.createDataFrame([(k, int(t), int(not t)) for k, t in r], "doc_id long, toxic int, quality int")
+    for labels in (frame(once), frame(once * 2), frame(once + [(5, True)])):
+        docs = make_docs(rows + rows[:10])
+        for module in (T, Q):
+            out = module.score_documents(docs, module.train(docs, labels)).collect()
+            assert len(out) == 70 and all(0 <= r["score"] <= 1 for r in out)
