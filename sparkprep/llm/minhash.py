@@ -225,14 +225,15 @@ def _samples(rest: DataFrame, need: int) -> DataFrame:
 
 
 def _codes(batches, size: int):
-    """(rep, its shingle hashes, sorted) of each text."""
+    """(rep, set size, sorted 32-bit codes of its shingles) of each text."""
     for batch in batches:
         for i, j, words in batch_words(batch.column(1), BY_SPACE):
             h, bounds = shingle_sets(words, size)
+            c = (h >> np.uint64(32)).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i),
-                 pa.array([h[p:q].tobytes() for p, q in zip(bounds[:-1], bounds[1:])], pa.binary())],
-                names=["rep", "codes"])
+                [batch.column(0).slice(i, j - i), pa.array(np.diff(bounds), pa.int64()),
+                 pa.array([np.unique(c[p:q]).tobytes() for p, q in zip(bounds[:-1], bounds[1:])], pa.binary())],
+                names=["rep", "n", "codes"])
 
 
 def _shared(codes: list[np.ndarray]):
@@ -256,13 +257,15 @@ def _shared(codes: list[np.ndarray]):
 
 def _compare(table: pa.Table, need: int, similarity: tuple[int, int]) -> pa.Table:
     """Pairs of one group from different components that pass the signature
-    estimate and reach the threshold on their shingle sets."""
+    estimate and can reach the threshold: shingles of one set that share a
+    code may each be shared, so the codes lost to that are added back."""
     some, of = similarity
     table = table.combine_chunks()
     rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
     sig = np.array(table.column("sig").to_pylist(), np.int64).view(np.uint64)
-    codes = [np.frombuffer(c, np.uint64) for c in table.column("codes").to_pylist()]
-    n = np.array([len(c) for c in codes], np.int64)
+    codes = [np.frombuffer(c, np.uint32) for c in table.column("codes").to_pylist()]
+    n = table.column("n").to_numpy()
+    lost = n - np.array([len(c) for c in codes], np.int64)
     lane, shared, out_a, out_b = np.uint64(0x1111111111111111), None, [], []
     for k in range(len(rep) - 1):
         x = sig[k + 1:] ^ sig[k]
@@ -271,7 +274,7 @@ def _compare(table: pa.Table, need: int, similarity: tuple[int, int]) -> pa.Tabl
         hit = np.flatnonzero((same >= need) & (comp[k + 1:] != comp[k])) + k + 1
         if len(hit):
             shared = shared or _shared(codes)
-            both = shared(k, hit)
+            both = shared(k, hit) + np.minimum(lost[k], lost[hit])
             hit = hit[of * both >= some * (n[k] + n[hit] - both)]
             out_a.append(np.minimum(rep[hit], rep[k]))
             out_b.append(np.maximum(rep[hit], rep[k]))
@@ -282,7 +285,8 @@ def _compare(table: pa.Table, need: int, similarity: tuple[int, int]) -> pa.Tabl
 
 def _across(rest: DataFrame, need: int, texts: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
     """Pairs from different components of the same band that reach the
-    threshold on their shingle hashes (and are confirmed as all links are).
+    threshold on 32-bit shingle codes, with an allowance for equal ones (and
+    are confirmed on the full sets, as all links are).
     ``rest``: band, rep, component, sig of bands with several components."""
     n_main = F.ceil(F.col("n_main") / BLOCK).cast("int")
     n_rest = F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int")
@@ -299,7 +303,7 @@ def _across(rest: DataFrame, need: int, texts: DataFrame, size: int, similarity:
             F.transform(upto(F.col("n_rest")), lambda o: F.struct(
                 F.lit(1).alias("kind"), F.least(o, F.col("block")).alias("p"), F.greatest(o, F.col("block")).alias("q")))))
     wanted = texts.join(rest.select("rep").distinct(), "rep", "left_semi").select("rep", "t")
-    codes = saved(wanted.mapInArrow(lambda it: _codes(it, size), "rep long, codes binary"))
+    codes = saved(wanted.mapInArrow(lambda it: _codes(it, size), "rep long, n long, codes binary"))
     # one key for the pair of blocks, dealt out anew: a hot band spreads
     parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = (rows.select("band", F.explode(where).alias("g"), "rep", "component", "sig")
