@@ -74,7 +74,7 @@ def test_nearest_query_of_empty_tables(spark):
     assert NQ.nearest_query(tf, qf.limit(0), idf).count() == 0
 
 
-@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+@pytest.mark.parametrize("threshold", [0.5, 0.9])
 def test_similarity_join_equals_brute_force(spark, threshold):
     docs, _, idf = made(70, 3, 8)
     docs[7_000] = Counter({w: n * 2 for w, n in docs[3].items()})  # another length, the same direction
