@@ -51,6 +51,7 @@ PERMUTATIONS = BANDS * ROWS
 MARGIN = 4.5
 SAMPLES = 4
 BLOCK = 1024
+BROADCAST_IDS = 1_000_000
 
 _XOR = mix(constants(PERMUTATIONS, 101))
 _MUL = constants(PERMUTATIONS, 211)
@@ -335,7 +336,9 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int, similarity
     close = saved(_close(star, sig, need))
     ids = saved(members.select("rep").distinct().join(reps.select("rep", "rep_id", "rep_th"), "rep"))
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("th"))
-    texts = saved(source.join(ids, F.col("i").eqNullSafe(F.col("rep_id")) & (F.col("th") == F.col("rep_th"))).select("rep", "t"))
+    # 24 bytes a row: sent to the scan while they are few, else both sides are shuffled
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = saved(source.join(wanted, F.col("i").eqNullSafe(F.col("rep_id")) & (F.col("th") == F.col("rep_th"))).select("rep", "t"))
     if texts.count() > ids.count():  # rows that repeat id and text
         texts = saved(texts.dropDuplicates(["rep"]))
     linked = saved(_linked(close, reps, texts, size, similarity))
