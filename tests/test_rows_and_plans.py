@@ -36,8 +36,12 @@ def test_kmeans_assignments_cover_all_rows(spark):
     assert out.filter((F.col("cluster") < 0) | (F.col("cluster") > 3)).count() == 0
 
 
-def test_tree_rules_form_a_tree(spark):
-    rules = Q["tree_rules"](spark, SF_SMALL).collect()
+@pytest.fixture(scope="module")
+def rules(spark):
+    return Q["tree_rules"](spark, SF_SMALL).orderBy("node").collect()
+
+
+def test_tree_rules_form_a_tree(rules):
     assert rules and rules[0]["parent"] is None
     ids = {r["node"] for r in rules}
     assert all(r["parent"] in ids for r in rules[1:])
@@ -119,8 +123,8 @@ def test_sparse_onehot_takes_any_number_of_categories(spark):
     assert len(got) == 12_001 and got[0] == (None, 11_999) and got[7] == (6, 11_999) and got[-1] == (None, 11_999)
 
 
-def test_tree_dump_counts_every_training_row(spark):
-    rows = Q["tree_rules"](spark, SF_SMALL).collect()
+def test_tree_dump_counts_every_training_row(rules):
+    rows = rules
     by = {r["node"]: r for r in rows}
     for r in rows:
         assert sum(r["class_counts"]) == r["n_samples"]
