@@ -110,6 +110,21 @@ def test_common_terms_are_not_looked_up(spark):
         SJ.similarity_join(df, 0.0)
 
 
+def test_sketches_bound_products_and_drop_most_candidates(spark):
+    # all rows share a heavy term, the rest differs; 0 and 1 are nearly equal
+    docs = {i: {"both": 1.0} | {f"w{0 if i < 2 else i}_{j}": 0.2 for j in range(100)} for i in range(30)}
+    docs[1]["more"] = 0.3
+    df = spark.createDataFrame([(i, t, w) for i, d in docs.items() for t, w in d.items()], "doc_id long, token string, weight double")
+    short = {r["doc"]: np.frombuffer(r["sketch"], np.uint8) * r["step"] for r in SJ.sketches(SJ.unit_rows(df)).collect()}
+    unit = {i: {t: w / math.sqrt(sum(x * x for x in d.values())) for t, w in d.items()} for i, d in docs.items()}
+    for a in docs:
+        for b in range(a + 1, 30):
+            bound = float(short[a] @ short[b])
+            assert bound >= sum(w * unit[b].get(t, 0.0) for t, w in unit[a].items())
+            assert (bound >= 0.8) == ((a, b) == (0, 1))
+    assert [(r["a"], r["b"]) for r in SJ.similarity_join(df, 0.8)[0].collect()] == [(0, 1)]
+
+
 def test_sparse_rows_to_dense_centroids(spark):
     rows = spark.createDataFrame([(1, "0", 3.0), (1, "2", 4.0), (2, "1", 1.0), (3, "9", 1.0), (4, "0", 0.0)], "doc_id long, token string, weight double")
     dense = spark.createDataFrame([(0, [3.0, 0.0, 4.0]), (1, [0.0, 2.0, 0.0]), (2, [0.0, 0.0, 0.0])], "c int, v array<double>")
