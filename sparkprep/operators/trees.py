@@ -7,6 +7,8 @@ value, and the best value of each node is an aggregate again. Thresholds are
 mid-points of neighbouring values of the node, so no value is binned. The tree
 is a table; rows move to the children by a join on the node, and pure nodes
 leave the work. Nothing but the number of open nodes reaches the driver.
+A node of at most ``LOCAL_ROWS`` rows is grown to its leaves by one task, by
+the same splits, so the number of passes follows the large nodes only.
 
 A node's name is its path of ``L`` and ``R`` from the root; paths sorted as
 text are the nodes in depth-first order, which numbers them.
@@ -21,6 +23,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +34,8 @@ from .scan import grouped_scan
 
 #: Open nodes (a row each) that may be broadcast; more are joined by shuffles.
 BROADCAST_NODES = 100_000
+#: Rows of a node that one task grows to its leaves.
+LOCAL_ROWS = 1_000
 
 
 def _entropy(counts: list[Column], n: Column) -> Column:
@@ -52,6 +58,65 @@ def _few(nodes: DataFrame, n: int) -> DataFrame:
     return F.broadcast(nodes) if n <= BROADCAST_NODES else nodes
 
 
+def _impurity_of(counts: np.ndarray, n: np.ndarray, criterion: str) -> np.ndarray:
+    """As ``IMPURITY``, over the last axis."""
+    p = counts / np.maximum(n, 1)[..., None]
+    if criterion == "gini":
+        return 1 - (p * p).sum(-1)
+    return -(p * (np.log(np.where(p > 0, p, 1.0)) / np.log(2.0))).sum(-1)
+
+
+def _best_split(x: np.ndarray, hot: np.ndarray, criterion: str):
+    """(feature, value) of the smallest rounded impurity, or None. A feature
+    that a row does not have is NaN: the row goes right."""
+    counts, best = hot.sum(0), None
+    n = counts.sum()
+    for f in range(x.shape[1]):
+        here = np.flatnonzero(~np.isnan(x[:, f]))
+        here = here[np.argsort(x[here, f], kind="stable")]
+        v = x[here, f]
+        last = np.flatnonzero(np.append(v[1:] != v[:-1], True)) if len(v) else np.empty(0, int)
+        left = np.cumsum(hot[here], axis=0)[last]
+        nl = left.sum(1)
+        last, left, nl = (a[nl < n] for a in (last, left, nl))
+        if len(last):
+            score = np.round((nl * _impurity_of(left, nl, criterion) + (n - nl) * _impurity_of(counts - left, n - nl, criterion)) / n, 12)
+            at = int(score.argmin())
+            if best is None or score[at] < best[0]:
+                best = (score[at], f, v[last[at]])
+    return best and best[1:]
+
+
+def _grow_small(table: pa.Table, k: int, criterion: str, depth: int, max_depth: int | None) -> pa.Table:
+    """All nodes under the one whose rows ``table`` holds."""
+    lists = table.column("x").combine_chunks()
+    sizes = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], int)
+    x = np.full((len(sizes), max(sizes, default=0)), np.nan)
+    x[np.arange(x.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    hot = (table.column("y").to_numpy()[:, None] == np.arange(k)).astype(np.int64)
+    nodes, todo = [], [(table.column("path")[0].as_py(), depth, np.arange(len(x)))]
+    while todo:
+        path, d, rows = todo.pop()
+        counts, feature, threshold = hot[rows].sum(0), None, None
+        if counts.max(initial=0) != counts.sum() and (max_depth is None or d < max_depth):
+            split = _best_split(x[rows], hot[rows], criterion)
+            if split:
+                at = x[rows, split[0]]
+                left, above = at <= split[1], at[at > split[1]]
+                if len(above):
+                    feature, middle = split[0], (split[1] + above.min()) / 2
+                    threshold = float(split[1] if middle == above.min() else middle)
+                todo += [(path + "L", d + 1, rows[left]), (path + "R", d + 1, rows[~left])]
+        nodes.append((path, d, feature, threshold, *counts.tolist()))
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.float64()] + [pa.int64()] * k
+    names = ["path", "depth", "feature", "threshold"] + [f"c{j}" for j in range(k)]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*nodes), kinds)], names=names)
+
+
+def _grower(k: int, criterion: str, depth: int, max_depth: int | None):
+    return lambda table: _grow_small(table, k, criterion, depth, max_depth)
+
+
 def grow_tree(rows: DataFrame, k: int, label: str = "label", features: str = "features", criterion: str = "entropy",
               max_depth: int | None = None) -> DataFrame:
     """``(path, depth, feature, threshold, impurity, n_samples,
@@ -66,17 +131,26 @@ def grow_tree(rows: DataFrame, k: int, label: str = "label", features: str = "fe
         F.transform(F.col(features).cast("array<double>"), value).alias("x")))
     counts_of = [F.sum((F.col("y") == j).cast("long")) for j in range(k)]
     level = cut_lineage(active.groupBy("path").agg(*[c.alias(n) for c, n in zip(counts_of, names)]).withColumn("depth", F.lit(0)))
-    done = []
+    done, done_small = [], []
     pure = F.greatest(*cols, F.lit(0)) == F.col("n")
     while True:
         level = level.withColumn("n", _total(cols)).withColumn("h", impurity(cols, F.col("n")))
-        open_ = level.where(~pure)
-        width = open_.count() if max_depth is None or len(done) < max_depth else 0
+        deep = max_depth is None or len(done) < max_depth
+        open_ = level.where(~pure & (F.col("n") > LOCAL_ROWS))
+        if deep:
+            small = level.where(~pure & (F.col("n") <= LOCAL_ROWS)).select("path")
+            grown = cut_lineage(active.join(small, "path", "left_semi").groupBy("path").applyInArrow(
+                _grower(k, criterion, len(done), max_depth), "path string, depth int, feature int, threshold double, " + ", ".join(f"{c} long" for c in names)))
+            done_small.append(grown.withColumn("n", _total(cols)).withColumn("h", impurity(cols, F.col("n"))).select(
+                "path", "depth", "feature", "threshold", "h", "n", *names))
+            level = level.where(pure | (F.col("n") > LOCAL_ROWS))
+        width = open_.count() if deep else 0
         if width == 0:
             done.append(level.select("path", "depth", F.lit(None).cast("int").alias("feature"),
                                      F.lit(None).cast("double").alias("threshold"), "h", "n", *names))
             break
-        counts = active.select("path", "y", F.posexplode("x").alias("f", "v")).groupBy("path", "f", "v").agg(
+        large = active.join(_few(open_.select("path"), width), "path", "left_semi")
+        counts = large.select("path", "y", F.posexplode("x").alias("f", "v")).groupBy("path", "f", "v").agg(
             *[c.alias(f"w{j}") for j, c in enumerate(counts_of)])
         scan = grouped_scan(counts, ["path", "f"], ["v"], {f"l{j}": ("sum", f"w{j}") for j in range(k)})
         left = [F.col(f"l{j}") for j in range(k)]
@@ -100,7 +174,7 @@ def grow_tree(rows: DataFrame, k: int, label: str = "label", features: str = "fe
         active = cut_lineage(moved.select(F.concat("path", F.when(F.col("at") <= F.col("cut"), "L").otherwise("R")).alias("path"),
                                           "y", "x"))
         active = active.join(_few(level.withColumn("n", _total(cols)).where(~pure).select("path"), 2 * width), "path", "left_semi")
-    whole = reduce(DataFrame.unionByName, done)
+    whole = reduce(DataFrame.unionByName, done + done_small)
     return whole.select("path", "depth", "feature", "threshold", F.col("h").alias("impurity"), F.col("n").alias("n_samples"),
                         F.array(*cols).alias("class_counts"))
 

@@ -85,6 +85,24 @@ def test_tree_edges(spark):
     assert TR.grow_tree(gaps.limit(0), 2).count() == 0
 
 
+@pytest.mark.parametrize("local", [0, 12])
+def test_small_nodes_are_grown_by_one_task(spark, monkeypatch, local):
+    """The same tree however many nodes are grown locally; missing features and vectors too."""
+    rows = made(40, 3, 4, 4) + [(90, 1, None), (91, 2, [None, 1.0]), (92, 0, [2.0, float("nan"), 1.0, 1.0])]
+    df = spark.createDataFrame(rows, ROWS).repartition(2)
+    passes = []
+    monkeypatch.setattr(TR, "grouped_scan", lambda *a, f=TR.grouped_scan, **kw: passes.append(1) or f(*a, **kw))
+    whole = sorted(map(tuple, TR.grow_tree(df, 3).collect()), key=lambda r: r[0])
+    assert not passes  # no pass over the table for a tree of small nodes only
+    monkeypatch.setattr(TR, "LOCAL_ROWS", local)
+    parts = sorted(map(tuple, TR.grow_tree(df, 3, max_depth=None if local else 3).collect()), key=lambda r: r[0])
+    assert passes
+    if local:
+        assert parts == whole
+    else:
+        assert [r for r in parts if r[1] < 3] == [r for r in whole if r[1] < 3]
+
+
 def test_leaf_counts_in_sql(spark, duck):
     """Every inner node's counts are the sums of its children's, and leaves hold all rows."""
     rows = made(40, 3, 9, 4)
