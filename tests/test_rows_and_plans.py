@@ -174,3 +174,24 @@ def test_apply_to_stream_writes_cleaned_rows(spark, tmp_path):
     got = spark.read.parquet(sink)
     exp = Q["clean_html_cjk"](spark, SF_SMALL)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("name", ["mlp_grid", "defects_pipeline"])
+def test_grid_fits_read_a_stored_table(spark, monkeypatch, name):
+    """No fit of a grid computes its input again."""
+    from sparkprep.operators import ml as ML
+    seen = []
+
+    class Enough(Exception):
+        pass
+
+    def search(train, val, *args, **kw):
+        seen.extend([train, val])
+        raise Enough
+
+    monkeypatch.setattr(ML, "grid_search", search)
+    with pytest.raises(Enough):
+        Q[name](spark, SF_SMALL)
+    for df in seen:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Scan ExistingRDD" in plan and "Exchange" not in plan and "FileScan" not in plan
