@@ -106,3 +106,26 @@ def test_dense_cells_split(spark):
     pts = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(*globe(12, 6)))],
                                 "_rid long, _lat double, _lng double")
     assert G.candidate_leaves(pts, cells, deepest).count() < 8 * pts.count()
+
+
+def test_knn_comparison_takes_only_what_the_reach_allows():
+    """The matrix product picks rows; distances, ties and copies are as in full."""
+    import numpy as np
+    import pyarrow as pa
+    from sparkprep.operators import knn as KN
+    rng = np.random.default_rng(5)
+    ring = np.round(rng.normal(size=(300, 6)), 1) * 50
+    ring[200:] = ring[:100]  # ties
+    query = np.concatenate([ring[:40], rng.normal(size=(20, 6)) * 50])
+    y, n = rng.integers(0, 4, 300), rng.integers(1, 3, 300)
+    exact = KN._distances(query, ring)
+    assert np.abs(KN._far(query, ring) - exact).max() < KN.SLACK / 10
+    right = pa.table({"v": pa.array(ring.tolist()), "y": y, "n": n})
+    for reach in (np.full(60, np.inf), np.sort(exact, axis=1)[:, 2]):
+        left = pa.table({"key": np.arange(60), "v": pa.array(query.tolist()), "reach": reach})
+        got = KN._nearest(left, right, 3)
+        for q in range(60):
+            order = np.lexsort((y, exact[q]))[:3]
+            order = order[:int(np.searchsorted(np.cumsum(n[order]), 3)) + 1]
+            mine = [(d, c) for k, d, c in zip(*(got.column(x).to_pylist() for x in ("key", "dist", "y"))) if k == q]
+            assert mine == [(exact[q, r], y[r]) for r in order]
