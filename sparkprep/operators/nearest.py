@@ -27,11 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, store
+from .bags import Block, as_bags, meet
 from .scan import grouped_scan
 
 BLOCK_POSTINGS = 1 << 18
 DOCS_PER_TASK = 2_000
+#: (term, block) impacts that may be broadcast; more are joined by shuffles
+BROADCAST_IMPACTS = 100_000
 FEW = 4
 SLACK = 2e-9  # cosines are compared after rounding to 9 digits
 
@@ -129,6 +132,14 @@ def _visit(docs: pa.Table, postings: pa.Table) -> pa.Table:
                      pa.array([n for k, _, n in found if k >= 0], pa.int64())], schema=schema)
 
 
+def _unit_terms(b: Block) -> pa.Table:
+    """Unit weights of the terms that some query holds."""
+    w = b.values * b.table.column("idf").to_numpy()[b.at]
+    norm = np.sqrt(b.per_doc(w * w))[b.row]
+    asked = b.table.column("asked").to_numpy()[b.at].astype(bool)
+    return b.lists((norm > 0) & asked, w=np.divide(w, norm, out=np.zeros(len(w)), where=norm > 0)).drop_columns(["block"])
+
+
 def _score(visits: DataFrame, vectors: DataFrame, blocks: DataFrame, docs_per_task: int) -> DataFrame:
     """Best query of each visited (doc, block)."""
     parts = cut_lineage(visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / docs_per_task).cast("int").alias("parts")))
@@ -157,15 +168,17 @@ def visited(tf: DataFrame, query_tf: DataFrame, idf: DataFrame, doc: str = "doc_
     """One row a document and visited block: its best query there."""
     weigh = lambda df: df.join(idf, token).withColumn("w", F.col("tf") * F.col("idf"))
     blocks = cut_lineage(query_blocks(weigh(query_tf).select(query, token, "w"), query, token, block_postings))
-    w = weigh(tf).select(F.col(doc).alias("doc"), F.col(token).alias("token"), "w")
     impacts = cut_lineage(blocks.groupBy("token", "block").agg(F.max("x").alias("impact")))
     # norms take all terms; from here on only terms that some query holds
-    norm = w.groupBy("doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    shared = w.join(impacts.select("token").distinct(), "token", "left_semi")
-    vectors = cut_lineage(shared.groupBy("doc").agg(F.collect_list(F.struct("token", "w")).alias("terms")).join(norm, "doc").where(
-        "norm > 0").select("doc", F.expr("transform(terms, t -> struct(t.token as token, t.w / norm as w))").alias("terms")))
+    known = idf.select(F.col(token).alias("token"), "idf").join(
+        impacts.select("token").distinct().withColumn("asked", F.lit(True)), "token", "left").select(
+        "token", "idf", F.col("asked").isNotNull().alias("asked"))
+    bags = as_bags(tf, doc, token)
+    vectors = store(meet(bags, known, _unit_terms, f"doc {dict(bags.rows.dtypes)['doc']}, tokens {dict(bags.rows.dtypes)['tokens']}, w array<double>"
+                         ).select("doc", F.arrays_zip(F.col("tokens").alias("token"), "w").alias("terms")))
     unit = vectors.select("doc", F.inline("terms"))
-    bounds = cut_lineage(unit.join(impacts, "token").groupBy("doc", "block").agg(
+    small = impacts.count() <= BROADCAST_IMPACTS
+    bounds = cut_lineage(unit.join(F.broadcast(impacts) if small else impacts, "token").groupBy("doc", "block").agg(
         F.sum(F.col("w") * F.col("impact")).alias("bound")))
     first = bounds.withColumn("_r", F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("bound"), "block")))
     opening = first.where("_r = 1").select("doc", "block", F.lit(0.0).alias("floor"))

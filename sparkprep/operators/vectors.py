@@ -7,12 +7,15 @@ Element-wise work uses array higher-order functions (``zip_with``,
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .bags import Bags, Block, as_bags, meet
 
 
 def _sum(arr: Column) -> Column:
@@ -104,23 +107,44 @@ def group_mean_fixed(df: DataFrame, group, vec: str, dim: int, out: str = "mean"
     return sums.select(*group, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(out))
 
 
-def doc_mean_vectors(tf: DataFrame, vectors: DataFrame, doc: str, token: str,
+#: postings whose vectors are multiplied at a time
+_MEAN_CHUNK = 1 << 15
+
+
+def _block_means(b: Block, dim: int) -> pa.Table:
+    flat = b.table.column("v").combine_chunks().flatten()
+    vectors = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    holes = ~np.asarray(flat.is_valid()).reshape(-1, dim) if flat.null_count else None
+    if holes is not None:
+        vectors = np.where(holes, 0.0, vectors)
+    tf = b.values.astype(np.float64)
+    start = np.flatnonzero(np.diff(b.row, prepend=-1))  # of each document with a known term
+    total, blank = np.zeros((len(start), dim)), np.zeros((len(start), dim), bool)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(start, start[lo] + _MEAN_CHUNK)))
+        s = slice(start[lo], start[hi] if hi < len(start) else len(tf))
+        total[lo:hi] = np.add.reduceat(vectors[b.at[s]] * tf[s, None], start[lo:hi] - start[lo])
+        if holes is not None:
+            blank[lo:hi] = np.logical_and.reduceat(holes[b.at[s]], start[lo:hi] - start[lo])
+        lo = hi
+    mean = total / np.add.reduceat(tf, start)[:, None] if len(start) else total
+    return pa.table({"doc": b.docs.column("doc").take(pa.array(b.row[start])),
+                     "mean": pa.ListArray.from_arrays(pa.array(np.arange(len(start) + 1) * dim, pa.int32()),
+                                                      pa.array(mean.ravel(), mask=blank.ravel()))})
+
+
+def doc_mean_vectors(tf: DataFrame | Bags, vectors: DataFrame, doc: str, token: str,
                      vec: str, dim: int, tf_col: str = "tf") -> DataFrame:
     """Average word vector ``(doc, mean array)`` of each document's
-    in-vocabulary tokens, from term frequencies ``(doc, token, tf)``:
-    each distinct token of a document joins its vector once.
-    The fixed-width vector is spread into ``dim`` columns, so the weighted
-    sums are ``dim + 1`` plain sum aggregates in one code-generated hash
-    aggregate (partial per task, then final per document)."""
-    tf = tf.select(doc, token, F.col(tf_col).alias("_tf"))
-    wide = vectors.select(token, *[F.element_at(vec, i + 1).cast("double").alias(f"_v{i}")
-                                   for i in range(dim)])
-    # neither side has a size bound (postings, vocabulary): shuffle both on
-    # the token and build the hash table from the vocabulary side
-    joined = tf.join(wide.hint("shuffle_hash"), token)
-    sums = joined.groupBy(doc).agg(F.sum("_tf").alias("_w"), *[
-        F.sum(F.col("_tf") * F.col(f"_v{i}")).alias(f"_s{i}") for i in range(dim)])
-    return sums.select(doc, F.array(*[F.col(f"_s{i}") / F.col("_w") for i in range(dim)]).alias("mean"))
+    in-vocabulary tokens, from bags or term frequencies ``(doc, token, tf)``.
+    A token's vector is sent to a block of documents once (``bags.meet``), so
+    no vector is shuffled for a posting; the weighted sums are made there."""
+    bags = as_bags(tf, doc, token, tf_col)
+    wide = vectors.select(token, F.array(*[F.element_at(vec, i + 1) for i in range(dim)]).alias("v"))
+    means = meet(bags, wide, lambda b: _block_means(b, dim),
+                 f"doc {dict(bags.rows.dtypes)['doc']}, mean array<double>", token)
+    return means.withColumnRenamed("doc", doc)
 
 
 def attention_weights(keys: DataFrame, queries: DataFrame, group, vec: str, qvec: str,
