@@ -250,7 +250,8 @@ class _Pairs:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, make) -> DataFrame:
-    """doc_id, row_key, and ``make`` of the words by line."""
+    """doc_id, row_key, and ``make`` of the words by line (one line at
+    least, so callers explode it as outer: no filter evaluates it twice)."""
     by_line = F.transform(paragraphs(F.col(text_col)), words_of)
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("row_key"),
                        F.transform(F.array(by_line), make)[0].alias("made"))
@@ -260,7 +261,8 @@ def _scored(units: DataFrame, model: Model, pairs: _Pairs, weights: DataFrame) -
     """Sums per unit. ``units``: doc_id, row_key, paragraph, words and across
     (the pair over the end of the line, or null). The pairs of a unit are the
     bits of o0, ..., with the one across those of x0, ..."""
-    hits = units.select("doc_id", "row_key", "paragraph", F.explode(F.concat(
+    # never empty; of an inner explode Spark makes a filter that works out the list again
+    hits = units.select("doc_id", "row_key", "paragraph", F.explode_outer(F.concat(
         F.transform(_with_pairs(F.col("words")), lambda t: F.struct(t.alias("term"), F.lit(False).alias("over"))),
         F.array(F.struct(F.col("across").alias("term"), F.lit(True).alias("over"))))).alias("t"))
     hits = hits.select("doc_id", "row_key", "paragraph", "t.term", "t.over").join(F.broadcast(weights), "term")
@@ -358,7 +360,7 @@ def _wrapped(docs: DataFrame, held: DataFrame, model: Model, pairs: _Pairs, weig
         return F.transform(lines, lambda w, k: F.struct(F.slice(
             w, F.greatest(F.size(w) - reach + 1, F.lit(1)), reach).alias("w"), after(lines, k).alias("next")))
 
-    lines = _lines(mine, id_col, text_col, groups).select("doc_id", "row_key", F.posexplode("made").alias("paragraph", "g"))
+    lines = _lines(mine, id_col, text_col, groups).select("doc_id", "row_key", F.posexplode_outer("made").alias("paragraph", "g"))
     units = saved(lines.where((F.size("g.w") > 0) & (F.col("g.next.n") > 0)).select(
         "doc_id", "row_key", "paragraph", F.concat("g.w", F.slice("g.next.w", 1, reach)).alias("words"),
         (F.col("paragraph") + F.col("g.next.n")).alias("last")).dropDuplicates(["doc_id", "row_key", "paragraph"]))
@@ -380,7 +382,7 @@ def scan(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
         w.alias("words"), F.when((F.size(w) > 0) & (F.size(F.get(lines, k + 1)) > 0), F.concat_ws(
             " ", F.element_at(w, -1), F.get(lines, k + 1)[0])).alias("across")))
     lines = _lines(docs, id_col, text_col, follows).select(
-        "doc_id", "row_key", F.posexplode("made").alias("paragraph", "line")).select(
+        "doc_id", "row_key", F.posexplode_outer("made").alias("paragraph", "line")).select(
             "doc_id", "row_key", "paragraph", "line.words", "line.across")
     any_pair = F.lit(False)
     for j in range(pairs.longs):
