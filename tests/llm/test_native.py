@@ -223,3 +223,20 @@ def test_negatives_are_whole_lines(make_docs):
     late = "word " * 600 + "terms of the end"
     rows = [r["text"] for r in L.training_rows(make_docs([(1, late)])).where("weight = 1").collect()]
     assert late in rows
+
+
+def test_words_of_a_line_are_found_once(spark, monkeypatch):
+    """No filter of the licence scan works out the words a second time."""
+    from sparkprep.llm import licenses as L
+    plans, real = [], L.saved
+
+    def saved(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(L, "saved", saved)
+    from tables_dir import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    L.scan(docs, L.train(docs))
+    assert any("transform(split(" in p for p in plans)
+    assert not any("Filter ((size(transform(array(transform(split(" in p for p in plans)
