@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
@@ -284,10 +285,8 @@ def _decoded(sp, flat: np.ndarray, offs: np.ndarray):
     return (sp.decode(flat[a:b].tolist()) for a, b in zip(offs[:-1], offs[1:]))
 
 
-def encode(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
-    """(id, ids) of every row: its piece ids, without begin or end; with
-    ``with_text`` also ``decoded``, as ``decode`` adds it, from the same task."""
+def _by_block(docs: DataFrame, model: bytes, id_col: str, text_col: str, block_bytes: int, rows_of, columns: str) -> DataFrame:
+    """``rows_of(block's documents, answers)`` of every block."""
     spark = docs.sparkSession
     bounded_batches(spark, BLOCK_BYTES)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -299,9 +298,15 @@ def encode(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: s
     answers = (rows.where("shard >= 0").select("block", "shard", "blob").repartition(shards, "shard")
                    .mapInArrow(lambda it: _answered(it, model), "block long, shard int, blob binary"))
     return (rows.where("shard < 0").groupBy("block").cogroup(answers.groupBy("block"))
-                .applyInArrow(lambda d, a: _joined(d, a, model if with_text else None),
-                              f"id {kind}, ids array<int>" + ", decoded string" * with_text)
-                .withColumnRenamed("id", id_col))
+                .applyInArrow(rows_of, f"id {kind}, {columns}").withColumnRenamed("id", id_col))
+
+
+def encode(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: str = "text",
+           block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
+    """(id, ids) of every row: its piece ids, without begin or end; with
+    ``with_text`` also ``decoded``, as ``decode`` adds it, from the same task."""
+    return _by_block(docs, model, id_col, text_col, block_bytes, lambda d, a: _joined(d, a, model if with_text else None),
+                     "ids array<int>" + ", decoded string" * with_text)
 
 
 def _texts(batches, model: bytes):
@@ -323,10 +328,20 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     return filled.mapInArrow(lambda it: _texts(it, model), f"{schema}, decoded string")
 
 
+def _digested(encoded: pa.Table) -> pa.Table:
+    """``digest``'s columns of the rows that ``_joined`` gives with their text."""
+    ids, text = (encoded.column(c).combine_chunks() for c in ("ids", "decoded"))
+    flat, offs = ids.values.to_numpy(), ids.offsets.to_numpy()
+    of_ids = (sha256(",".join(map(str, flat[a:b].tolist())).encode()).hexdigest() for a, b in zip(offs[:-1], offs[1:]))
+    of_text = (sha256(t.as_buffer()).hexdigest() for t in text)
+    return pa.table([encoded.column("id"), pa.array(np.diff(offs).astype(np.int64)), pa.array(of_ids, pa.string()),
+                     pa.array(of_text, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def digest(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: str = "text",
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row: number of ids, and SHA-256 of the ids and of the decoded text."""
-    both = encode(docs, model, id_col=id_col, text_col=text_col, block_bytes=block_bytes, with_text=True)
-    return both.select(id_col, F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    """Per row: number of ids, and SHA-256 of the ids and of the decoded text.
+    The hashes are taken where the ids are, so the JVM never holds an id as a
+    string of its own."""
+    return _by_block(docs, model, id_col, text_col, block_bytes, lambda d, a: _digested(_joined(d, a, model)),
+                     "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -102,3 +102,8 @@ def test_a_changed_order_is_noticed(model):
     answers = pa.Table.from_batches(list(SP._answered(two.slice(1).to_batches(), model)))
     with pytest.raises(RuntimeError, match="another order"):
         SP._joined(one.slice(0, 1), answers)
+
+
+def test_digest_hands_the_jvm_hashes_only(spark, make_docs, model):
+    plan = SP.digest(make_docs([(1, "one two")]), model)._jdf.queryExecution().executedPlan().toString()
+    assert "concat_ws" not in plan and "decoded#" not in plan and "ids#" not in plan.split("FlatMapCoGroupsInArrow")[0]
