@@ -7,7 +7,7 @@ from sparkprep.llm import queries
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {q[:q.index("_") + 1] for q in names if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q[:q.index("_") + 1] for q in names if q.startswith("op")}
     assert "pipeline" in names and set(queries.ORACLES) <= set(queries.QUERIES)
 
 
