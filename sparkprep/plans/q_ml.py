@@ -100,16 +100,14 @@ def q_gbt_multiclass(spark, sf):
 
 @query("mlp_grid")
 def q_mlp_grid(spark, sf):
-    f = _orders_features(spark, sf)
     from ..operators.scaling import standard_fit, standard_transform
     cols = ["o_totalprice", "prio", "year"]
-    train = f.filter(F.col("split") == "train").drop("features")
-    fit = standard_fit(train, cols)
-    f = ML.vectorize(standard_transform(f.drop("features"), fit, cols), cols)
-    tv = split_hash(f.filter(F.col("split") == "train").drop("split"), "o_orderkey", (0.9, 0.1),
-                    ("train", "val"))
+    # one split: a second one by the same hash would find all training rows under its threshold
+    f = split_hash(_orders_features(spark, sf).drop("features", "split"), "o_orderkey", (0.72, 0.08, 0.2), ("train", "val", "test"))
+    fit = standard_fit(f.filter(F.col("split") != "test"), cols)
+    f = ML.vectorize(standard_transform(f, fit, cols), cols)
+    tv = cut_lineage(f.filter(F.col("split") != "test"))  # all fits read it
     grid = [{"layers": [3, h, 3], "step_size": s} for h in (4, 8, 16, 32) for s in (0.01, 0.03, 0.1, 0.3)]
-    tv = cut_lineage(tv)  # sixteen fits read it
     best, model, scores = ML.grid_search(tv.filter(F.col("split") == "train"),
                                          tv.filter(F.col("split") == "val"),
                                          lambda layers, step_size: ML.mlp(layers, step_size), grid)
