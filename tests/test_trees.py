@@ -182,3 +182,30 @@ def test_quantile_bins_follow_the_rows(spark):
     assert len(cuts[0]) == 15 and len(cuts[1]) == 0 and len(cuts[2]) == 0
     sizes = np.diff([0, *cuts[0], 1000])
     assert sizes.max() <= 1000 / 16 + 1
+
+
+def test_a_large_node_is_grown_by_one_task_and_a_deep_tree_predicts_in_one_step(spark, monkeypatch):
+    """No pass over the table for 2,000 rows, and a plan without a join a level; the same rows as by joins."""
+    rng = np.random.default_rng(8)
+    x, y = rng.integers(0, 400, (2000, 3)).astype(float), rng.integers(0, 3, 2000)
+    rows = [(i, int(c), [None if v == 7 else float(v) for v in r][:3 if i % 50 else 1]) for i, (c, r) in enumerate(zip(y, x))]
+    df = spark.createDataFrame([*rows, (2001, 1, None), (2002, 0, [float("nan"), 5.0, None])], ROWS).repartition(3)
+    monkeypatch.setattr(TR, "grouped_scan", lambda *a, **kw: pytest.fail("a pass over the table"))
+    tree = TR.grow_tree(df, 3)
+    depth = tree.agg(F.max("depth")).first()[0]
+    assert depth > 8
+    out = TR.predict_tree(tree, df)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    small = TR.grow_tree(df, 3, max_depth=4).localCheckpoint()
+    sent = {r["id"]: r["prediction"] for r in TR.predict_tree(small, df).collect()}
+    monkeypatch.setattr(TR, "SENT_NODES", 0)
+    assert {r["id"]: r["prediction"] for r in TR.predict_tree(small, df).collect()} == sent and len(sent) == 2002
+    got = {r["id"]: r["prediction"] for r in out.collect()}
+    leaves = {r["path"]: r for r in tree.collect()}
+    for i, _, v in rows[::17]:
+        p = ""
+        while leaves[p]["feature"] is not None:
+            f = leaves[p]["feature"]
+            here = v[f] if f < len(v) else None
+            p += "L" if here is None or here <= leaves[p]["threshold"] else "R"
+        assert got[i] == float(np.argmax(leaves[p]["class_counts"]))
