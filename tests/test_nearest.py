@@ -132,3 +132,35 @@ def test_sparse_rows_to_dense_centroids(spark):
     got = {(r["doc_id"], r["cluster"]): round(r["distance"], 9) for r in out.collect()}
     want = {(1, 0): 0.0, (2, 1): 0.0}
     assert got == {(d, c): want.get((d, c), 1.0) for d in (1, 2, 3, 4) for c in range(3)}
+
+
+def test_candidates_stay_in_the_task(spark, monkeypatch):
+    """400 rows share their rarest term, so all pairs may be near: none becomes a row unless it is; blocks of any size."""
+    import itertools
+    near = lambda i, j, k, more=0.0: [(i, "s", 0.6), (i, f"c{j}", 0.8 / 2 ** 0.5 + more), (i, f"c{k}", 0.8 / 2 ** 0.5)]
+    rows = [r for i, (j, k) in enumerate(itertools.islice(itertools.combinations(range(30), 2), 400)) for r in near(i, j, k)]
+    rows += [r for i in range(400, 900) for r in ((i, f"c{j}", 1.0) for j in range(30))]  # makes the others common
+    rows += near(1000, 0, 1, 0.1)
+    df = spark.createDataFrame(rows, "doc_id long, token string, weight double")
+    kept = []
+    for name in ("cut_lineage", "store"):
+        made_by = getattr(SJ, name)
+        monkeypatch.setattr(SJ, name, lambda *args, f=made_by, **kw: kept.append((out := f(*args, **kw)).count()) or out)
+    pairs, member = SJ.similarity_join(df, 0.8)
+    got = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert got == [(0, 1000)] and member.select("rep").distinct().count() == 402
+    assert max(kept) < 40_000  # no table of the 79,800 pairs
+    monkeypatch.setattr(SJ, "BLOCK_POSTINGS", 100)
+    monkeypatch.setattr(SJ, "MEET_CELLS", 64)
+    monkeypatch.setattr(SJ, "BROADCAST_REPS", 0)
+    assert [(r["a"], r["b"]) for r in SJ.similarity_join(df, 0.8)[0].collect()] == got
+
+
+def test_similarity_join_of_bags_with_factors(spark):
+    from sparkprep.operators.bags import term_bags
+    tf = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "a", 4), (2, "b", 2), (3, "a", 1), (4, "z", 1), (None, "a", 1)], "doc_id long, token string, n long")
+    idf = spark.createDataFrame([("a", 1.0), ("b", 0.5)], "token string, idf double")
+    pairs, member = SJ.similarity_join(term_bags(tf, value="n"), 0.8, factors=idf)
+    assert {(r["doc"], r["rep"]) for r in member.collect()} == {(1, 1), (2, 1), (3, 3), (None, 3)}  # z has no factor
+    assert [tuple(r) for r in pairs.collect()] == [(1, 3, round(2 / (4 + 0.25) ** 0.5, 9))]
+    assert SJ.similarity_join(tf.limit(0), 0.8, w="n")[0].count() == 0
